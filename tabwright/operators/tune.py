@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.operators import text
 from tabwright.operators.curves import curve_table, roc_auc
 from tabwright.operators.metrics import binary_scores
+from tabwright.session import materialize
 
 
 def compare_models(scored: DataFrame, by: str, positive=1) -> DataFrame:
@@ -27,13 +30,14 @@ def cv_results(fold_scores: DataFrame, params: Sequence[str], score: str = "scor
     per_point = fold_scores.groupBy(*params).agg(
         F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"), F.count(score).alias("folds")
     )
-    order = Window.partitionBy().orderBy(F.desc("mean_score"))
-    return per_point.withColumn("rank", F.rank().over(order))
+    # rounding keeps points that differ only by summation order tied
+    order = Window.partitionBy().orderBy(F.round("mean_score", 9).desc())
+    return per_point.withColumn("rank", F.rank().over(order).cast("long"))
 
 
 def best_point(results: DataFrame, params: Sequence[str], grid_order: Sequence | None = None) -> dict:
     """Parameters of rank 1; ties are broken by the given column order."""
-    row = results.orderBy(F.desc("mean_score"), *(grid_order or params)).first()
+    row = results.orderBy("rank", *(grid_order or params)).first()
     return {p: row[p] for p in params}
 
 
@@ -48,3 +52,110 @@ def score_curve(results: DataFrame, x: str, fixed: Mapping[str, object]) -> Data
 def pivot_scores(results: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
     """Mean score by two parameters (heat-map data); the column values are given, not searched."""
     return results.groupBy(row).pivot(col, list(values)).agg(F.avg("mean_score"))
+
+
+def nb_grid(
+    docs: DataFrame, id_col: str, text_col: str, label: str, fold: str,
+    his: Sequence[int] = (1, 2), alphas: Sequence[float] = (0.01, 0.1, 0.5, 1.0), k: int = 5,
+    min_df: int = 2, max_df: float = 0.9, scorer: str = "f1_weighted",
+) -> DataFrame:
+    """Cross-validated tf-idf + multinomial NB for every (n-gram range, alpha) at once.
+
+    Folds and grid points are columns: training statistics of fold f are totals minus the
+    counts of fold f, so the texts are read and tokenised once for all points. Labels are 0/1.
+    """
+    fs = range(k)
+    # documents per (fold, class): k x 2 numbers of fitted state
+    cells = {(r[0], r[1]): r[2] for r in docs.groupBy(fold, label).count().collect()}
+    n_class = [[sum(c for (f2, y), c in cells.items() if f2 != f and y == v) for v in (0, 1)] for f in fs]
+    n_train = [sum(n_class[f]) for f in fs]
+
+    words = docs.select(id_col, label, fold, text.tokens(F.col(text_col)).alias("_w"))
+
+    def sized(n: int) -> Column:
+        return F.transform(text.ngrams(F.col("_w"), n, n), lambda t: F.struct(F.lit(n).alias("n"), t.alias("term")))
+
+    by_size = [sized(n) for n in range(1, max(his) + 1)]
+    terms = words.select(id_col, label, fold, F.explode(F.concat(*by_size)).alias("t")).select(
+        id_col, label, fold, F.col("t.n").alias("n"), F.col("t.term").alias("term")
+    )
+    counts = materialize(terms.groupBy(id_col, label, fold, "n", "term").agg(F.count(F.lit(1)).alias("tf")), "grid-counts")
+
+    # idf per fold, one row per term: document frequency outside fold f
+    in_fold = [F.sum(F.when(F.col(fold) == f, 1).otherwise(0)).alias(f"_d{f}") for f in fs]
+    freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"), *in_fold)
+    idf = []
+    for f in fs:
+        d = F.col("_df") - F.col(f"_d{f}")
+        keep = (d >= min_df) & (d <= F.lit(max_df * n_train[f]))
+        idf.append(F.when(keep, F.log((1.0 + n_train[f]) / (1.0 + d)) + 1.0).alias(f"_i{f}"))
+    vocab = freq.select("term", *idf).where(" OR ".join(f"_i{f} IS NOT NULL" for f in fs))
+    vocab = materialize(vocab, "grid-idf")
+    size = vocab.count()
+
+    # values of every document under every fold's idf, for each n-gram range it belongs to
+    raw = text.join_terms(counts, vocab, size, spread=id_col)
+    raw = raw.withColumn("hi", F.explode(F.filter(F.array(*[F.lit(h) for h in his]), lambda h: h >= F.col("n"))))
+    tf = 1.0 + F.log(F.col("tf").cast("double"))
+    raw = raw.withColumns({f"_x{f}": tf * F.col(f"_i{f}") for f in fs})
+    per_doc = Window.partitionBy("hi", id_col)
+    values = raw.select(
+        "hi", id_col, label, fold, "term",
+        *[(F.col(f"_x{f}") / F.sqrt(F.sum(F.col(f"_x{f}") * F.col(f"_x{f}")).over(per_doc))).alias(f"_v{f}") for f in fs],
+    )
+    values = materialize(values, "grid-values")
+
+    sums = []
+    for f in fs:
+        for c in (0, 1):
+            part = (F.col(fold) != f) & (F.col(label) == c)
+            sums.append(F.sum(F.when(part, F.coalesce(f"_v{f}", F.lit(0.0))).otherwise(0.0)).alias(f"_s{f}_{c}"))
+        sums.append(F.count(F.when(F.col(fold) != f, F.col(f"_v{f}"))).alias(f"_n{f}"))
+    fit = materialize(values.groupBy("hi", "term").agg(*sums), "grid-sums")
+    totals = {
+        r["hi"]: r
+        for r in fit.groupBy("hi").agg(
+            *[F.sum(f"_s{f}_{c}").alias(f"t{f}_{c}") for f in fs for c in (0, 1)],
+            *[F.sum(F.when(F.col(f"_n{f}") > 0, 1).otherwise(0)).alias(f"v{f}") for f in fs],
+        ).collect()
+    }
+
+    def of_fold(names: Sequence[str]) -> Column:
+        return F.element_at(F.array(*[F.col(n) for n in names]), F.col(fold) + 1)
+
+    held = values.select("hi", id_col, fold, "term", of_fold([f"_v{f}" for f in fs]).alias("value")).where("value IS NOT NULL")
+    held = text.join_terms(held, fit, size * len(his), ("hi", "term"), id_col).select(
+        "hi", id_col, fold, "value", of_fold([f"_s{f}_0" for f in fs]).alias("s0"), of_fold([f"_s{f}_1" for f in fs]).alias("s1")
+    )
+    margins = held.groupBy("hi", id_col).agg(
+        F.sum("value").alias("_sv"),
+        *[
+            F.sum(F.col("value") * (F.log(F.col("s1") + a) - F.log(F.col("s0") + a))).alias(f"_m{i}")
+            for i, a in enumerate(map(float, alphas))
+        ],
+    )
+
+    def constant(hi: int, f: int, a: float) -> tuple[float, float]:
+        """Smoothing denominators and prior of one grid point, as log differences."""
+        t = totals.get(hi)
+        prior = math.log(n_class[f][1] / n_train[f]) - math.log(n_class[f][0] / n_train[f])
+        if t is None or not t[f"v{f}"]:
+            return 0.0, prior
+        return math.log(t[f"t{f}_1"] + a * t[f"v{f}"]) - math.log(t[f"t{f}_0"] + a * t[f"v{f}"]), prior
+
+    points = [
+        F.struct(
+            F.lit(h).alias("hi"), F.lit(float(a)).alias("alpha"), F.lit(i).alias("_a"),
+            F.element_at(F.array(*[F.lit(constant(h, f, a)[0]) for f in fs]), F.col(fold) + 1).alias("_c"),
+            F.element_at(F.array(*[F.lit(constant(h, f, a)[1]) for f in fs]), F.col(fold) + 1).alias("_p"),
+        )
+        for h in his for i, a in enumerate(alphas)
+    ]
+    all_points = docs.select(id_col, label, fold, F.explode(F.array(*points)).alias("g")).select(id_col, label, fold, "g.*")
+    packed = margins.select("hi", id_col, "_sv", F.array(*[f"_m{i}" for i in range(len(alphas))]).alias("_m"))
+    margin = F.coalesce(F.element_at("_m", F.col("_a") + 1) - F.col("_sv") * F.col("_c"), F.lit(0.0)) + F.col("_p")
+    predicted = all_points.join(packed, ["hi", id_col], "left").select(
+        "hi", "alpha", fold, F.col(label).alias("y"), (margin > 0).cast("int").alias("pred")
+    )
+    scores = binary_scores(predicted, "y", "pred", 1, ["hi", "alpha", fold], [scorer]).withColumnRenamed(scorer, "score")
+    return cv_results(scores, ["hi", "alpha"])
