@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.ordering import ordered_rows, running_sums
@@ -31,34 +31,34 @@ def curve_table(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> Da
     if keys:
         return upto.join(fitted(dist.groupBy(*keys).agg(*total)), keys)
     sums = dist.agg(*total).first()
-    return upto.withColumns({"rows": F.lit(sums["rows"] or 0), "positives": F.lit(sums["positives"] or 0)})
+    return upto.withColumns({c: F.lit(sums[c] or 0).cast("long") for c in ("rows", "positives")})
+
+
+def _auc() -> Column:
+    # doubles: a product of two row counts leaves the range of a long at a few billion rows
+    fp_here = (F.col("n") - F.col("pos")).cast("double")
+    tp_before = (F.col("tp") - F.col("pos")).cast("double")
+    pairs = F.col("positives").cast("double") * (F.col("rows") - F.col("positives")).cast("double")
+    return ratio(F.sum(fp_here * (tp_before + F.col("pos") / 2.0)), F.max(pairs))
+
+
+def _ap() -> Column:
+    """Sum of recall steps times precision (no interpolation)."""
+    step = F.col("pos") / F.col("positives") * (F.col("tp") / F.col("seen"))
+    return F.coalesce(F.sum(F.when(F.col("positives") > 0, step)), F.lit(0.0))
 
 
 def roc_auc(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Area under ROC; tied scores get half credit."""
-    fp_here = F.col("n") - F.col("pos")
-    tp_before = F.col("tp") - F.col("pos")
-    area = F.sum(fp_here * (tp_before + F.col("pos") / 2.0))
-    return curve.groupBy(*by).agg(
-        ratio(area, F.max(F.col("positives") * (F.col("rows") - F.col("positives")))).alias("roc_auc")
-    )
+    return curve.groupBy(*by).agg(_auc().alias("roc_auc"))
 
 
 def average_precision(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Sum of recall steps times precision (no interpolation)."""
-    step = F.col("pos") / F.col("positives") * (F.col("tp") / F.col("seen"))
-    return curve.groupBy(*by).agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision"))
+    return curve.groupBy(*by).agg(_ap().alias("average_precision"))
 
 
 def auc_and_ap(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    fp_here = F.col("n") - F.col("pos")
-    area = F.sum(fp_here * (F.col("tp") - F.col("pos") + F.col("pos") / 2.0))
-    return curve.groupBy(*by).agg(
-        ratio(area, F.max(F.col("positives") * (F.col("rows") - F.col("positives")))).alias("roc_auc"),
-        F.coalesce(F.sum(F.col("pos") / F.col("positives") * (F.col("tp") / F.col("seen"))), F.lit(0.0)).alias(
-            "average_precision"
-        ),
-    )
+    return curve.groupBy(*by).agg(_auc().alias("roc_auc"), _ap().alias("average_precision"))
 
 
 def roc_curve(curve: DataFrame) -> DataFrame:
@@ -121,10 +121,10 @@ def cumulative_gain(df: DataFrame, y: str, id_col: str, score: str, points: int
     n, p = sums["n"] or 0, sums["p"] or 0
     ranked = ordered_rows(flags, id_col, score, {"_one": "position", "_y": "captured"})
     if points:
-        step = lambda c: F.floor(c * points / F.lit(n))
+        step = lambda c: F.floor(c * points / F.lit(float(n)))
         ranked = ranked.where(step(F.col("position")) > step(F.col("position") - 1))
     return ranked.select(
         "position",
-        ratio(F.col("position"), F.lit(n)).alias("share_contacted"),
-        ratio(F.col("captured"), F.lit(p)).alias("share_captured"),
+        ratio(F.col("position"), F.lit(n).cast("long")).alias("share_contacted"),
+        ratio(F.col("captured"), F.lit(p).cast("long")).alias("share_captured"),
     )

@@ -18,7 +18,7 @@ def _quota(counts: DataFrame, label: str, size: Column, n: str, out: str) -> Dat
     """
     whole = Window.partitionBy()
     total = F.sum(n).over(whole)
-    exact = F.col(n) * F.col("_size") / total
+    exact = F.col(n).cast("double") * F.col("_size") / total
     sized = counts.withColumn("_size", size).withColumn("_exact", exact)
     sized = sized.withColumn("_floor", F.floor("_exact"))
     left = F.col("_size") - F.sum("_floor").over(whole)
