@@ -56,21 +56,23 @@ def _nearest(q: np.ndarray, t: np.ndarray, metric: str, k: int) -> Iterator[tupl
 
 
 def _tile_function(metrics: Sequence[str], k: int):
+    columns = ("metric", "space", "query", "neighbor", "y", "distance")
+
     def tile(key: tuple, queries: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        parts = []
+        parts: dict[str, list] = {c: [] for c in columns}
         if len(queries) and len(train):
             q, t = np.array(queries["x"].tolist(), dtype=float), np.array(train["tx"].tolist(), dtype=float)
             qid, tid, tlab = queries["id"].to_numpy(), train["tid"].to_numpy(), train["y"].to_numpy()
             for metric in metrics:
                 for i, at, dist in _nearest(q, t, metric, k):
                     order = np.lexsort((tid[at], dist))[:k]
-                    parts.append(
-                        pd.DataFrame({"metric": metric, "space": int(key[0]), "query": qid[i], "neighbor": tid[at][order],
-                                      "y": tlab[at][order], "distance": dist[order]})
-                    )
-        if not parts:
-            return pd.DataFrame({c: [] for c in ("metric", "space", "query", "neighbor", "y", "distance")})
-        return pd.concat(parts, ignore_index=True)
+                    parts["metric"].append(np.full(len(order), metric, dtype=object))
+                    parts["space"].append(np.full(len(order), key[0]))
+                    parts["query"].append(np.full(len(order), qid[i]))
+                    parts["neighbor"].append(tid[at][order])
+                    parts["y"].append(tlab[at][order])
+                    parts["distance"].append(dist[order])
+        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in parts.items()})
 
     return tile
 

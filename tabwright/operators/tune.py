@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -159,3 +161,45 @@ def nb_grid(
     )
     scores = binary_scores(predicted, "y", "pred", 1, ["hi", "alpha", fold], [scorer]).withColumnRenamed(scorer, "score")
     return cv_results(scores, ["hi", "alpha"])
+
+
+def grid_search(
+    rows: DataFrame, fit: Callable, predict: Callable, grid: Sequence[Mapping], scorer: str = "f1", positive=1,
+    label: str = "y", fold: str = "fold", k: int = 5, parallelism: int = 4,
+) -> DataFrame:
+    """Cross-validated search for iterative models: (params..., mean_score, std_score, folds, rank).
+
+    ``fit(train, params)`` gives a model, ``predict(model, rows)`` adds ``pred``. The encoded
+    rows are kept once for all points; points run from a few driver threads so that small
+    fits overlap, and each fit is itself a distributed job.
+    """
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def run(task: tuple[int, int]) -> tuple:
+        point, f = task
+        model = fit(kept.where(F.col(fold) != f), grid[point])
+        held = predict(model, kept.where(F.col(fold) == f))
+        return point, f, float(binary_scores(held, label, "pred", positive, (), [scorer]).first()[0])
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            done = pool.map(run, [(p, f) for p in range(len(grid)) for f in range(k)])
+    finally:
+        kept.unpersist()
+    names = list(grid[0])
+    scores = rows.sparkSession.createDataFrame(done, "point int, fold int, score double")
+    table = cv_results(scores, ["point"])
+    values = F.array(*[F.struct(*[F.lit(g[n]).alias(n) for n in names]) for g in grid])
+    return table.select(F.element_at(values, F.col("point") + 1).alias("_p"), "*").select(
+        "point", "_p.*", "mean_score", "std_score", "folds", "rank"
+    )
+
+
+def ablation(scored: Mapping[str, DataFrame], label: str = "y") -> DataFrame:
+    """AUC per variant and its gap to the best: a large gap flags a leaky column."""
+    parts = [df.select(F.lit(name).alias("variant"), F.col(label).alias("y"), "score") for name, df in scored.items()]
+    long = parts[0]
+    for part in parts[1:]:
+        long = long.unionByName(part)
+    area = roc_auc(curve_table(long, "y", "score", ["variant"]), ["variant"])
+    return area.withColumn("gap", F.max("roc_auc").over(Window.partitionBy()) - F.col("roc_auc"))

@@ -1,6 +1,6 @@
 """Imports every plan module, which registers its queries."""
 
-from tabwright.plans import evaluate, nearest, prepare, texts  # noqa: F401
+from tabwright.plans import encoders, evaluate, fitted, nearest, prepare, texts  # noqa: F401
 from tabwright.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
