@@ -13,28 +13,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.keys import id_hash
-from tabwright.session import bucket_target, materialize
+from tabwright.session import bucket_target, fitted, materialize
 
 _ALL = "_all"
 
 
+def hash_digits(spark) -> int:
+    """Leading hex digits used as bucket: 4096 buckets per group, 65536 on wide clusters."""
+    return 3 if bucket_target(spark) <= 512 else 4
+
+
+def hash_buckets(df: DataFrame, id_col: str, seed, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., _hb, _n): rows per hash bucket, a written table of bounded size per group."""
+    head = F.substring(id_hash(seed, F.col(id_col)), 1, hash_digits(df.sparkSession))
+    return fitted(df.groupBy(*by, head.alias("_hb")).agg(F.count(F.lit(1)).alias("_n")), "buckets")
+
+
 def hash_rank(
-    df: DataFrame, id_col: str, seed, by: Sequence[str] = (), rank: str = "rank", digits: int = 3
+    df: DataFrame, id_col: str, seed, by: Sequence[str] = (), rank: str = "rank", buckets: DataFrame | None = None
 ) -> DataFrame:
     """1-based rank in seeded hash order inside each ``by`` group.
 
-    The leading hex digits are the bucket, so one class holding most rows is still
-    spread over ``16**digits`` window partitions.
+    The leading hex digits are the bucket, so one class holding most rows is still spread
+    over thousands of window partitions. ``buckets`` reuses counts made by hash_buckets.
     """
     keys = [*by, "_hb"]
+    counts = hash_buckets(df, id_col, seed, by) if buckets is None else buckets
+    before = Window.partitionBy(*by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     hashed = df.withColumn("_h", id_hash(seed, F.col(id_col))).withColumn(
-        "_hb", F.substring("_h", 1, digits)
-    )
-    counts = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_hb").rowsBetween(
-        Window.unboundedPreceding, -1
+        "_hb", F.substring("_h", 1, hash_digits(df.sparkSession))
     )
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*keys).orderBy("_h", id_col)
     return (
         hashed.withColumn("_in", F.row_number().over(inside))

@@ -48,20 +48,21 @@ def standardize(fit_df: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFr
 
 
 def level_table(fit_df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, level, position) in the natural order of each column's type, one scan."""
-    parts = []
+    """Distinct (column, level, number) of several columns in one scan.
+
+    ``number`` carries the numeric value, so integer codes sort 1, 2, 10.
+    """
     types = dict(fit_df.dtypes)
     packed = [
         F.struct(
             F.lit(c).alias("column"),
             F.col(f"`{c}`").cast("string").alias("level"),
-            (F.lit(None) if types[c] == "string" else F.col(f"`{c}`")).cast("double").alias("_num"),
+            (F.lit(None) if types[c] == "string" else F.col(f"`{c}`")).cast("double").alias("number"),
         )
         for c in cols
     ]
-    parts = fit_df.select(F.explode(F.array(*packed)).alias("p")).select("p.*").where("level IS NOT NULL")
-    order = Window.partitionBy("column").orderBy("_num", "level")
-    return parts.distinct().withColumn("position", F.row_number().over(order)).drop("_num")
+    cells = fit_df.select(F.explode(F.array(*packed)).alias("p")).select("p.*")
+    return cells.where("level IS NOT NULL").distinct()
 
 
 def fit_levels(fit_df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
@@ -70,7 +71,7 @@ def fit_levels(fit_df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     if len(rows) > MAX_LEVELS:
         raise ValueError("too many levels for indicator columns; use one_hot_long")
     found: dict[str, list] = {c: [] for c in cols}
-    for r in sorted(rows, key=lambda r: (r["column"], r["position"])):
+    for r in sorted(rows, key=lambda r: (r["number"] or 0.0, r["level"])):
         found[r["column"]].append(r["level"])
     return found
 
@@ -81,7 +82,8 @@ def one_hot_long(
     """(id, feature) for every indicator equal to 1; unseen levels and nulls give no row."""
     levels = level_table(fit_df, cols)
     if drop == "first":
-        levels = levels.where("position > 1")
+        first = levels.groupBy("column").agg(F.min(F.struct("number", "level")).alias("_first"))
+        levels = levels.join(first, "column").where(F.col("level") != F.col("_first.level"))
     pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("level")) for c in cols]
     long = df.select(id_col, F.explode(F.array(*pairs)).alias("p")).select(id_col, "p.*")
     hit = long.join(fitted(levels.select("column", "level")), ["column", "level"])

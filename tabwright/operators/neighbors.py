@@ -21,7 +21,8 @@ from tabwright.session import bucket_target, fitted, materialize
 
 BLOCK = 4096
 METRICS = ("euclidean", "manhattan")
-_CHUNK = 64
+# numbers held at once while a tile compares rows
+_CELLS = 8_000_000
 
 
 def _tile_plan(q: DataFrame, t: DataFrame, width: int) -> DataFrame:
@@ -44,8 +45,9 @@ def _tile_plan(q: DataFrame, t: DataFrame, width: int) -> DataFrame:
 
 def _nearest(q: np.ndarray, t: np.ndarray, metric: str, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query row the positions and distances of every row tied with or nearer than the k-th."""
-    for start in range(0, len(q), _CHUNK):
-        diff = q[start : start + _CHUNK, None, :] - t[None, :, :]
+    step = max(1, _CELLS // max(1, t.size))
+    for start in range(0, len(q), step):
+        diff = q[start : start + step, None, :] - t[None, :, :]
         dist = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
         for i, row in enumerate(dist):
             if len(row) > k:

@@ -1,4 +1,8 @@
-"""Exact stratified holdouts and folds, reproducible from (seed, id) alone."""
+"""Exact stratified holdouts and folds, reproducible from (seed, id) alone.
+
+Class sizes and rank offsets both come from one small table of counts per hash bucket, so
+the input is read twice: once to count, once to rank.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.ordering import hash_rank
+from tabwright.functions.ordering import hash_buckets, hash_rank
 from tabwright.session import fitted
 
 
@@ -38,9 +42,10 @@ def stratified_split(
     df: DataFrame, id_col: str, label: str, test: float = 0.2, seed=42, out: str = "split"
 ) -> DataFrame:
     """Exact per-class holdout: adds ``split`` in {train, test}."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    buckets = hash_buckets(df, id_col, seed, [label])
+    counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
     quota = _quota(counts, label, _ceil_share("_n", test), "_n", "_q").select(label, "_q")
-    ranked = hash_rank(df, id_col, seed, [label], "_r")
+    ranked = hash_rank(df, id_col, seed, [label], "_r", buckets)
     return (
         ranked.join(fitted(quota), label)
         .withColumn(out, F.when(F.col("_r") <= F.col("_q"), "test").otherwise("train"))
@@ -53,10 +58,11 @@ def stratified_split3(
     seed=42, out: str = "split",
 ) -> DataFrame:
     """train / val / test by a nested exact split, cut on one hash rank."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    buckets = hash_buckets(df, id_col, seed, [label])
+    counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
     quota = _quota(counts, label, _ceil_share("_n", holdout), "_n", "_q1")
     quota = _quota(quota, label, _ceil_share("_q1", test_of_holdout), "_q1", "_q2")
-    ranked = hash_rank(df, id_col, seed, [label], "_r")
+    ranked = hash_rank(df, id_col, seed, [label], "_r", buckets)
     name = (
         F.when(F.col("_r") <= F.col("_q2"), "test")
         .when(F.col("_r") <= F.col("_q1"), "val")
@@ -73,10 +79,11 @@ def stratified_folds(
     df: DataFrame, id_col: str, label: str, k: int = 5, seed=42, out: str = "fold"
 ) -> DataFrame:
     """Fold number 0..k-1; class counts of two folds differ by one at most."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    buckets = hash_buckets(df, id_col, seed, [label])
+    counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
     before = Window.partitionBy().orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ranked = hash_rank(df, id_col, seed, [label], "_r")
+    ranked = hash_rank(df, id_col, seed, [label], "_r", buckets)
     return (
         ranked.join(fitted(offsets), label)
         .withColumn(out, ((F.col("_before") + F.col("_r") - 1) % k).cast("int"))

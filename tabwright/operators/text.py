@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +32,13 @@ def _run(words: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def ngrams(words: Column, lo: int = 1, hi: int = 1) -> Column:
-    parts = [words if n == 1 else _run(words, n) for n in range(lo, hi + 1)]
+def ngrams(words: str, lo: int = 1, hi: int = 1) -> Column:
+    """Runs of lo to hi tokens of a token column.
+
+    Takes the name of a computed column: an expression would be evaluated again per run.
+    """
+    col = F.col(words)
+    parts = [col if n == 1 else _run(col, n) for n in range(lo, hi + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
@@ -36,12 +46,13 @@ def tokenize(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
     return df.withColumn(out, tokens(F.col(text)))
 
 
-def term_counts(df: DataFrame, id_col: str, text: str, lo: int = 1, hi: int = 1) -> DataFrame:
-    """Bag of words: (id, term, tf)."""
-    terms = df.select(id_col, tokens(F.col(text)).alias("_w")).select(
-        id_col, F.explode(ngrams(F.col("_w"), lo, hi)).alias("term")
+def term_counts(df: DataFrame, id_col: str, text: str, lo: int = 1, hi: int = 1, keep: Sequence[str] = ()) -> DataFrame:
+    """Bag of words: (id, keep..., term, tf). Columns of the document in ``keep`` ride along."""
+    own = [id_col, *keep]
+    terms = df.select(*own, tokens(F.col(text)).alias("_w")).select(
+        *own, F.explode(ngrams("_w", lo, hi)).alias("term")
     )
-    return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return terms.groupBy(*own, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -91,3 +102,19 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str = "id", sublinear: bool
 def binarize_presence(values: DataFrame) -> DataFrame:
     """Any positive weight counts as present."""
     return values.where("value > 0").withColumn("value", F.lit(1.0))
+
+
+def fit_tfidf_vectors(train: DataFrame, terms: str, min_df: int = 2, max_df: float = 0.9, out: str = "features") -> PipelineModel:
+    """The same weights as sparse vectors, for optimisers that keep one coefficient per term.
+
+    Such an optimiser holds a dense vector of vocabulary size on the driver anyway, so the
+    vocabulary may too; it is sized from the data, never truncated.
+    """
+    distinct = train.select(F.explode(F.array_distinct(F.col(terms))).alias("term"))
+    size = distinct.groupBy("term").count().where(F.col("count") >= min_df).count()
+    counter = CountVectorizer(inputCol=terms, outputCol="_tf", minDF=min_df, maxDF=max_df, vocabSize=max(size, 1))
+    counts = counter.fit(train)
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counts.transform(train))
+    plus_one = Vectors.dense(idf.idf.toArray() + 1.0)
+    scale = ElementwiseProduct(scalingVec=plus_one, inputCol="_tf", outputCol="_w")
+    return PipelineModel([counts, scale, Normalizer(p=2.0, inputCol="_w", outputCol=out)])

@@ -75,7 +75,7 @@ def nb_grid(
     words = docs.select(id_col, label, fold, text.tokens(F.col(text_col)).alias("_w"))
 
     def sized(n: int) -> Column:
-        return F.transform(text.ngrams(F.col("_w"), n, n), lambda t: F.struct(F.lit(n).alias("n"), t.alias("term")))
+        return F.transform(text.ngrams("_w", n, n), lambda t: F.struct(F.lit(n).alias("n"), t.alias("term")))
 
     by_size = [sized(n) for n in range(1, max(his) + 1)]
     terms = words.select(id_col, label, fold, F.explode(F.concat(*by_size)).alias("t")).select(

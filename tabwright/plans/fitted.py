@@ -63,16 +63,14 @@ def logistic_weighted(spark, sf):
 
 @query("logistic_text")
 def logistic_text(spark, sf):
-    """tf-idf of one- and two-word terms into a sparse logistic model by hashed positions."""
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
-
+    """Logistic regression on unit-length tf-idf of one- and two-word terms."""
     docs = clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id")
     docs = split.stratified_split(docs, "id", "y")
-    words = docs.select("id", "y", "split", text.ngrams(text.tokens(F.col("text")), 1, 2).alias("terms"))
-    counts = materialize(HashingTF(numFeatures=1 << 18, inputCol="terms", outputCol="tf").transform(words).drop("terms"), "tf")
-    weighted = IDF(inputCol="tf", outputCol="w", minDocFreq=2).fit(_train(counts)).transform(counts)
-    table = Normalizer(inputCol="w", outputCol="features").transform(weighted)
-    model = linear.fit_logistic(_train(table), C=10.0, max_iter=50, tol=1e-6)
+    words = materialize(docs.select("id", "y", "split", text.tokens(F.col("text")).alias("tokens")), "words")
+    words = words.select("id", "y", "split", text.ngrams("tokens", 1, 2).alias("terms"))
+    table = text.fit_tfidf_vectors(_train(words), "terms").transform(words).select("id", "y", "split", "features")
+    table = materialize(table, "tfidf-vectors")
+    model = linear.fit_logistic(_train(table), C=10.0, max_iter=100, tol=1e-6)
     return linear.score_model(model, _test(table)).select("id", "y", "score", "pred")
 
 

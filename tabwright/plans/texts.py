@@ -97,8 +97,7 @@ def text_frames(spark, sf):
     """(documents with split, tf-idf values with y and split) of the deduplicated labelled texts."""
     docs = clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id")
     docs = materialize(split.stratified_split(docs, "id", "y"), "texts")
-    counts = text.term_counts(docs, "id", "text")
-    counts = materialize(counts.join(docs.select("id", "y", "split"), "id"), "counts")
+    counts = materialize(text.term_counts(docs, "id", "text", keep=["y", "split"]), "counts")
     train = counts.where("split = 'train'")
     idf = text.fit_idf(train, docs.where("split = 'train'").count())
     return docs, counts, text.tfidf(counts, idf)
