@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.keys import HEX_SPAN, hash_uniform
-from tabwright.sources.tables import read_parquet
+from tabwright.sources.tables import read_parquet, spread_scan
 
 
 def sql_hash(seed: str, *parts: str) -> str:
@@ -84,9 +84,15 @@ SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
 FROM orders)"""
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, text) of all documents."""
+    scan = read_parquet(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread_scan(scan)
+
+
 def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
     """(id, text, y): documents with a toxicity label."""
-    docs = read_parquet(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = documents(spark, sf)
     labels = read_parquet(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("toxic").alias("y"))
     return docs.join(labels, "id")
 

@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 from tabwright.functions.keys import tidy
 from tabwright.operators import bayes, clean, curves, decide, metrics, split, text, tune
 from tabwright.plans.evaluate import AP_SQL, AUC_SQL, CURVE_SQL, REPORT_SQL, tidy_report
-from tabwright.plans.frames import LABELLED_SQL, labelled_documents, orders, sql_folds, sql_split, sql_tidy, sql_uniform
+from tabwright.plans.frames import LABELLED_SQL, documents, labelled_documents, orders, sql_folds, sql_split, sql_tidy, sql_uniform
 from tabwright.plans.registry import query
 from tabwright.session import fresh_path, materialize
-from tabwright.sources import models, tables
+from tabwright.sources import models
 
 TOKENS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}', 0)"
 
 
-def _docs(spark, sf):
-    return tables.read_parquet(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-
-
 @query("tokens", f"SELECT doc_id AS id, CAST(len(w) AS BIGINT) AS n_tokens, md5(array_to_string(w, ' ')) AS digest FROM (SELECT doc_id, {TOKENS_SQL} AS w FROM documents)")
 def tokens(spark, sf):
-    words = text.tokenize(_docs(spark, sf), "text")
+    words = text.tokenize(documents(spark, sf), "text")
     return words.select("id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
@@ -31,7 +27,7 @@ t AS (SELECT id, unnest(w) AS term FROM w UNION ALL
       SELECT id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1)
 SELECT term, count(*) AS n, count(DISTINCT id) AS docs FROM t GROUP BY term""")
 def ngram_counts(spark, sf):
-    counts = text.term_counts(_docs(spark, sf), "id", "text", 1, 2)
+    counts = text.term_counts(documents(spark, sf), "id", "text", 1, 2)
     return counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("docs"))
 
 
@@ -42,14 +38,14 @@ k AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM w)
 
 @query("term_counts", f"WITH {_COUNTS_SQL} SELECT id, term, tf FROM k")
 def term_counts(spark, sf):
-    return text.term_counts(_docs(spark, sf), "id", "text")
+    return text.term_counts(documents(spark, sf), "id", "text")
 
 
 @query("vocab", f"""
 WITH {_COUNTS_SQL} SELECT term, count(*) AS df FROM k GROUP BY term
 HAVING count(*) >= 2 AND count(*) <= 0.9e0 * (SELECT count(*) FROM documents)""")
 def vocab(spark, sf):
-    docs = _docs(spark, sf)
+    docs = documents(spark, sf)
     return text.prune_vocab(text.term_counts(docs, "id", "text"), docs.count())
 
 
@@ -59,7 +55,7 @@ v AS (SELECT term, ln((1e0 + n) / (1e0 + count(*))) + 1e0 AS idf FROM k, n GROUP
 x AS (SELECT id, k.term AS term, (1e0 + ln(tf)) * idf AS x FROM k JOIN v ON k.term = v.term)
 SELECT id, term, {sql_tidy('x / sqrt(sum(x * x) OVER (PARTITION BY id))')} AS value FROM x""")
 def tfidf(spark, sf):
-    docs = _docs(spark, sf)
+    docs = documents(spark, sf)
     counts = materialize(text.term_counts(docs, "id", "text"), "counts")
     values = text.tfidf(counts, text.fit_idf(counts, docs.count()))
     return values.withColumn("value", tidy(F.col("value")))

@@ -18,6 +18,7 @@ def build_session(app: str = "tabwright", cores: int | None = None) -> SparkSess
         builder = builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", str(cores))
     return (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TABWRIGHT_DRIVER_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")

@@ -39,6 +39,16 @@ def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Give row-heavy work (tokenising long texts) at least one task per core.
+
+    A table of many files or row groups already has that and is returned as it is; only a
+    scan with fewer partitions than cores is redistributed. ``scan`` must be a plain scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def take_columns(df: DataFrame, count: int, names: Sequence[str]) -> DataFrame:
     """Keep the first ``count`` columns by position and rename them."""
     return df.select(*[F.col(f"`{c}`") for c in df.columns[:count]]).toDF(*names)
