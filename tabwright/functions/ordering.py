@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from tabwright.functions.keys import id_hash
 from tabwright.session import bucket_target, fitted, materialize
 
-_ALL = "_all"
-
 
 def hash_digits(spark) -> int:
     """Leading hex digits used as bucket: 4096 buckets per group, 65536 on wide clusters."""
@@ -54,21 +52,24 @@ def hash_rank(
 
 
 def order_buckets(
-    df: DataFrame, value: str, by: Sequence[str], descending: bool = False, bucket: str = "_b"
+    df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False, bucket: str = "_b"
 ) -> DataFrame:
     """Add an order-preserving bucket number to a table that has been materialised.
 
-    Bucket edges are approximate quantiles; they are written out before use, so all
-    readers of this plan see the same edges and the result stays exact.
+    Bucket edges are approximate quantiles, one bounded array per group. They are fixed
+    before use (a literal without groups, a written table with them), so every reader of
+    the plan sees the same edges and results stay exact.
     """
     n = bucket_target(df.sparkSession)
-    probs = [i / n for i in range(1, n)]
-    cuts = materialize(
-        df.groupBy(*by).agg(F.percentile_approx(value, probs, 10 * n).alias("_cuts")), "cuts"
-    )
+    edges = F.percentile_approx(value, [i / n for i in range(1, n)], 10 * n).alias("_cuts")
+    if by:
+        rows = df.join(fitted(df.groupBy(*by).agg(edges), "cuts"), list(by))
+    else:
+        found = df.agg(edges).first()[0] or []
+        rows = df.withColumn("_cuts", F.array(*[F.lit(c) for c in found]))
     below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
     number = F.lit(n) - below if descending else below
-    return df.join(cuts, list(by)).withColumn(bucket, number).drop("_cuts")
+    return rows.withColumn(bucket, number).drop("_cuts")
 
 
 def running_sums(
@@ -84,12 +85,12 @@ def running_sums(
     ``df`` must be materialised and hold one row per (by, value, ties).
     ``sums`` maps an input column to the name of its running sum.
     """
-    keys = [*by] or [_ALL]
-    base = df if by else df.withColumn(_ALL, F.lit(0))
-    bucketed = order_buckets(base, value, keys, descending)
+    keys = list(by)
+    bucketed = order_buckets(df, value, keys, descending)
     per_bucket = bucketed.groupBy(*keys, "_b").agg(
         *[F.sum(src).alias(f"_t_{dst}") for src, dst in sums.items()]
     )
+    # one row per bucket here, so this window is as small as the bucket count
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         *keys,
@@ -117,9 +118,8 @@ def ordered_rows(
     A single score shared by a large part of the table is split further by id range,
     so tied rows never gather in one window partition.
     """
-    keys = [*by] or [_ALL]
-    base = df if by else df.withColumn(_ALL, F.lit(0))
-    base = materialize(base.select(*keys, id_col, score, *sums), "rows")
+    keys = list(by)
+    base = materialize(df.select(*keys, id_col, score, *sums), "rows")
     rows = order_buckets(base, id_col, keys, bucket="_ib")
     cell = [*keys, score, "_ib"]
     cells = materialize(

@@ -140,7 +140,9 @@ def nb_grid(
     def constant(hi: int, f: int, a: float) -> tuple[float, float]:
         """Smoothing denominators and prior of one grid point, as log differences."""
         t = totals.get(hi)
-        prior = math.log(n_class[f][1] / n_train[f]) - math.log(n_class[f][0] / n_train[f])
+        n0, n1 = n_class[f]
+        # a training set of one class predicts that class
+        prior = math.log(n1 / n0) if n0 and n1 else math.inf * (1 if n1 else -1)
         if t is None or not t[f"v{f}"]:
             return 0.0, prior
         return math.log(t[f"t{f}_1"] + a * t[f"v{f}"]) - math.log(t[f"t{f}_0"] + a * t[f"v{f}"]), prior
