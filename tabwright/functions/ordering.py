@@ -51,6 +51,30 @@ def hash_rank(
     )
 
 
+def hash_cuts(
+    df: DataFrame, id_col: str, seed, by: str, quotas: DataFrame, names: Sequence[str], buckets: DataFrame
+) -> DataFrame:
+    """(by, names...): the hash of the row at each wanted place of a group's hash order.
+
+    With the cut known, "is among the first q rows" is a comparison on the row itself: no
+    row has to be ranked or moved. Only the rows of the one bucket that holds a cut are
+    sorted. A quota of 0 gives a null cut.
+    """
+    running = buckets.withColumn(
+        "_upto",
+        F.sum("_n").over(Window.partitionBy(by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, 0)),
+    )
+    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("q")) for n in names])
+    targets = quotas.select(by, F.explode(wanted).alias("t")).select(by, "t.name", "t.q")
+    edges = running.join(targets, by).where((F.col("_upto") >= F.col("q")) & (F.col("_upto") - F.col("_n") < F.col("q")))
+    edges = fitted(edges.select(by, "_hb", "name", (F.col("q") - F.col("_upto") + F.col("_n")).alias("_place")), "edges")
+    hashed = df.select(by, F.col(id_col).alias("_id"), id_hash(seed, F.col(id_col)).alias("_h"))
+    near = hashed.withColumn("_hb", F.substring("_h", 1, hash_digits(df.sparkSession))).join(edges, [by, "_hb"])
+    place = F.row_number().over(Window.partitionBy(by, "name").orderBy("_h", "_id"))
+    cut = near.withColumn("_at", place).where(F.col("_at") == F.col("_place"))
+    return fitted(cut.groupBy(by).agg(*[F.max(F.when(F.col("name") == n, F.col("_h"))).alias(n) for n in names]), "cuts")
+
+
 def order_buckets(
     df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False, bucket: str = "_b"
 ) -> DataFrame:

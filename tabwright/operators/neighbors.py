@@ -93,6 +93,11 @@ def knn_neighbors(
     t = train.select(
         key.cast("long").alias("space"), F.col("id").alias("tid"), F.col("x").alias("tx"), F.col("y").cast("long").alias("y")
     )
+    # of equal vectors only the k smallest ids can be neighbours: many copies cost as much as k
+    t = t.withColumn("_c", F.row_number().over(Window.partitionBy("space", "tx").orderBy("tid"))).where(
+        F.col("_c") <= k
+    ).drop("_c")
+    t = materialize(t, "train")
     plan = _tile_plan(q, t, bucket_target(train.sparkSession))
     q_tiles = (
         q.join(plan, "space")

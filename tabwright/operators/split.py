@@ -1,7 +1,8 @@
 """Exact stratified holdouts and folds, reproducible from (seed, id) alone.
 
-Class sizes and rank offsets both come from one small table of counts per hash bucket, so
-the input is read twice: once to count, once to rank.
+A holdout is "the first q rows of each class in hash order". Counts per hash bucket and one
+look into the bucket at the edge give the hash of the q-th row; from then on the split is a
+comparison inside a projection. Folds need every row's rank and use one bucketed window.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.ordering import hash_buckets, hash_rank
+from tabwright.functions.keys import id_hash
+from tabwright.functions.ordering import hash_buckets, hash_cuts, hash_rank
 from tabwright.session import fitted
 
 
@@ -38,41 +40,37 @@ def _ceil_share(n: str, share: float) -> Column:
     return F.ceil(F.sum(n).over(Window.partitionBy()) * F.lit(float(share)))
 
 
+def _by_cuts(df: DataFrame, id_col: str, label: str, seed, quotas: DataFrame, parts: dict, buckets, out: str) -> DataFrame:
+    """Name each row by the first cut its hash does not exceed; a projection, nothing moves."""
+    cuts = hash_cuts(df, id_col, seed, label, quotas, list(parts.values()), buckets)
+    renamed = cuts.select(F.col(label), *[F.col(q).alias(f"_cut{q}") for q in parts.values()])
+    h, name = id_hash(seed, F.col(id_col)), None
+    for part, q in parts.items():
+        test = h <= F.col(f"_cut{q}")
+        name = F.when(test, part) if name is None else name.when(test, part)
+    return df.join(renamed, label, "left").withColumn(out, name.otherwise("train")).select(*df.columns, out)
+
+
 def stratified_split(
     df: DataFrame, id_col: str, label: str, test: float = 0.2, seed=42, out: str = "split"
 ) -> DataFrame:
-    """Exact per-class holdout: adds ``split`` in {train, test}."""
+    """Exact per-class holdout: adds ``split`` in {train, test}. Ids must be unique."""
     buckets = hash_buckets(df, id_col, seed, [label])
     counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
-    quota = _quota(counts, label, _ceil_share("_n", test), "_n", "_q").select(label, "_q")
-    ranked = hash_rank(df, id_col, seed, [label], "_r", buckets)
-    return (
-        ranked.join(fitted(quota), label)
-        .withColumn(out, F.when(F.col("_r") <= F.col("_q"), "test").otherwise("train"))
-        .select(*df.columns, out)
-    )
+    quota = _quota(counts, label, _ceil_share("_n", test), "_n", "_q")
+    return _by_cuts(df, id_col, label, seed, quota, {"test": "_q"}, buckets, out)
 
 
 def stratified_split3(
     df: DataFrame, id_col: str, label: str, holdout: float = 0.4, test_of_holdout: float = 0.5,
     seed=42, out: str = "split",
 ) -> DataFrame:
-    """train / val / test by a nested exact split, cut on one hash rank."""
+    """train / val / test by a nested exact split, cut on one hash order."""
     buckets = hash_buckets(df, id_col, seed, [label])
     counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
     quota = _quota(counts, label, _ceil_share("_n", holdout), "_n", "_q1")
     quota = _quota(quota, label, _ceil_share("_q1", test_of_holdout), "_q1", "_q2")
-    ranked = hash_rank(df, id_col, seed, [label], "_r", buckets)
-    name = (
-        F.when(F.col("_r") <= F.col("_q2"), "test")
-        .when(F.col("_r") <= F.col("_q1"), "val")
-        .otherwise("train")
-    )
-    return (
-        ranked.join(fitted(quota.select(label, "_q1", "_q2")), label)
-        .withColumn(out, name)
-        .select(*df.columns, out)
-    )
+    return _by_cuts(df, id_col, label, seed, quota, {"test": "_q2", "val": "_q1"}, buckets, out)
 
 
 def stratified_folds(

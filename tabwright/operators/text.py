@@ -15,8 +15,8 @@ from tabwright.session import materialize
 # Fixed value: a token is a run of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
-# A fitted table up to this many rows is broadcast; a larger one is joined with a salted key.
-BROADCAST_ROWS = 500_000
+# A fitted table up to this size is broadcast; a larger one is joined with a salted key.
+BROADCAST_BYTES = 64 << 20
 SALTS = 16
 
 
@@ -66,14 +66,21 @@ def prune_vocab(counts: DataFrame, n_docs: int, min_df: int = 2, max_df: float =
     )
 
 
-def join_terms(rows: DataFrame, table: DataFrame, size: int, keys=("term",), spread: str = "id") -> DataFrame:
-    """Inner join of row-level terms to a per-term table of known size.
+def _table_bytes(table: DataFrame) -> int:
+    """Size of a per-term table in memory, from its row count and term lengths."""
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term")).alias("b")).first()
+    return (row["b"] or 0) + row["n"] * (32 + 8 * len(table.columns))
 
-    Frequent terms are hot keys. A small table is broadcast, so no row moves; a larger one
-    is repeated per salt and the rows of one term are spread over the salts.
+
+def join_terms(rows: DataFrame, table: DataFrame, keys: Sequence[str] = ("term",), spread: str = "id") -> DataFrame:
+    """Inner join of row-level terms to a written per-term table.
+
+    Frequent terms are hot keys. A table measured below BROADCAST_BYTES is broadcast, so no
+    row moves; a larger one is repeated per salt and the rows of one term are spread over
+    the salts.
     """
     keys = list(keys)
-    if size <= BROADCAST_ROWS:
+    if _table_bytes(table) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), keys)
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread_rows = rows.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS)))
@@ -92,7 +99,7 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str = "id", sublinear: bool
     tf = F.col("tf").cast("double")
     weight = (1.0 + F.log(tf)) if sublinear else tf
     keep = [c for c in counts.columns if c not in ("tf",)]
-    raw = join_terms(counts, idf.select("term", "idf"), idf.count(), spread=id_col).withColumn(
+    raw = join_terms(counts, idf.select("term", "idf"), spread=id_col).withColumn(
         "_x", weight * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(id_col)))

@@ -102,17 +102,20 @@ def oob_votes(
     Bags are hashed from (seed, tree, id), so membership is known afterwards without
     storing it: a row is out of bag where its count is 0.
     """
+    # class sums of every bag in one pass: trees x classes numbers of fitted state
+    sums = {
+        r[label]: [r[f"b{t}"] for t in range(n_trees)]
+        for r in df.groupBy(label).agg(*[F.sum(bag_count(seed, t, id_col)).alias(f"b{t}") for t in range(n_trees)]).collect()
+    }
     parts = []
     for tree in range(n_trees):
-        bag = bag_count(seed, tree, id_col)
-        bagged = df.withColumn("_bag", bag.cast("double"))
+        bagged = df.withColumn("_bag", bag_count(seed, tree, id_col).cast("double"))
         weight = F.col("_bag")
         if balanced:
-            sums = {r[0]: r[1] for r in bagged.groupBy(label).agg(F.sum("_bag")).collect() if r[1]}
-            total = sum(sums.values())
+            mine = {c: s[tree] for c, s in sums.items() if s[tree]}
             factor = F.lit(0.0)
-            for c, s in sums.items():
-                factor = F.when(F.col(label) == F.lit(c), total / (len(sums) * s)).otherwise(factor)
+            for c, s in mine.items():
+                factor = F.when(F.col(label) == F.lit(c), sum(mine.values()) / (len(mine) * s)).otherwise(factor)
             weight = weight * factor
         one = RandomForestClassifier(
             featuresCol=features, labelCol=label, numTrees=1, bootstrap=False, featureSubsetStrategy=subset,

@@ -93,10 +93,9 @@ def nb_grid(
         idf.append(F.when(keep, F.log((1.0 + n_train[f]) / (1.0 + d)) + 1.0).alias(f"_i{f}"))
     vocab = freq.select("term", *idf).where(" OR ".join(f"_i{f} IS NOT NULL" for f in fs))
     vocab = materialize(vocab, "grid-idf")
-    size = vocab.count()
 
     # values of every document under every fold's idf, for each n-gram range it belongs to
-    raw = text.join_terms(counts, vocab, size, spread=id_col)
+    raw = text.join_terms(counts, vocab, spread=id_col)
     raw = raw.withColumn("hi", F.explode(F.filter(F.array(*[F.lit(h) for h in his]), lambda h: h >= F.col("n"))))
     tf = 1.0 + F.log(F.col("tf").cast("double"))
     raw = raw.withColumns({f"_x{f}": tf * F.col(f"_i{f}") for f in fs})
@@ -126,7 +125,7 @@ def nb_grid(
         return F.element_at(F.array(*[F.col(n) for n in names]), F.col(fold) + 1)
 
     held = values.select("hi", id_col, fold, "term", of_fold([f"_v{f}" for f in fs]).alias("value")).where("value IS NOT NULL")
-    held = text.join_terms(held, fit, size * len(his), ("hi", "term"), id_col).select(
+    held = text.join_terms(held, fit, ("hi", "term"), id_col).select(
         "hi", id_col, fold, "value", of_fold([f"_s{f}_0" for f in fs]).alias("s0"), of_fold([f"_s{f}_1" for f in fs]).alias("s1")
     )
     margins = held.groupBy("hi", id_col).agg(

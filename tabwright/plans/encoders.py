@@ -20,7 +20,8 @@ _SPLIT = f"t AS ({CAMPAIGN_SQL}), s AS ({sql_split('t')}), f AS (SELECT * FROM s
 
 
 def split_campaign(spark, sf):
-    return materialize(split.stratified_split(campaign(spark, sf), "id", "y"), "campaign")
+    # the join is run once; the split itself is a projection over the written table
+    return split.stratified_split(materialize(campaign(spark, sf), "campaign"), "id", "y")
 
 
 def _train(rows):

@@ -94,7 +94,7 @@ def pipeline_model_scores(spark, sf):
 # ---- margins -----------------------------------------------------------------------------
 
 def _vector_table(spark, sf):
-    rows = materialize(split.stratified_split3(vectors(spark, sf), "id", "y"), "vectors")
+    rows = split.stratified_split3(vectors(spark, sf), "id", "y")
     scaled = neighbors.scale_arrays(_train(rows), rows)
     weighted = encode.class_weights(_train(scaled), "y").select("id", "weight")
     return scaled.join(weighted, "id", "left")

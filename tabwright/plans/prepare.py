@@ -277,12 +277,14 @@ def split_holdout(spark, sf):
     return split.stratified_split(_status_orders(spark, sf), "id", "y")
 
 
-@query("split_three", f"""
-WITH t AS ({STATUS_ORDERS_SQL}), q1 AS ({sql_quota('t', 0.4, out='_q1')}),
-q2 AS ({sql_quota('(SELECT y, _q1 AS _n FROM q1)', 0.5, n='_q1', out='_q2')}),
-r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_hash('42', 'id')}, id) AS _r FROM t)
-SELECT id, r.y AS y, CASE WHEN _r <= _q2 THEN 'test' WHEN _r <= _q1 THEN 'val' ELSE 'train' END AS split
-FROM r JOIN q1 ON r.y = q1.y JOIN q2 ON r.y = q2.y""")
+_THREE_SQL = f"""
+q1 AS ({sql_quota('t', 0.4, out='_q1')}), q2 AS ({sql_quota('(SELECT y, _q1 AS _n FROM q1)', 0.5, n='_q1', out='_q2')}),
+r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_hash('42', 'id')}, id) AS _r FROM t),
+p AS (SELECT id, r.y AS y, CASE WHEN _r <= _q2 THEN 'test' WHEN _r <= _q1 THEN 'val' ELSE 'train' END AS split
+FROM r JOIN q1 ON r.y = q1.y JOIN q2 ON r.y = q2.y)"""
+
+
+@query("split_three", f"WITH t AS ({STATUS_ORDERS_SQL}), {_THREE_SQL} SELECT id, y, split FROM p")
 def split_three(spark, sf):
     return split.stratified_split3(_status_orders(spark, sf), "id", "y")
 
@@ -292,10 +294,10 @@ def folds(spark, sf):
     return split.stratified_folds(_status_orders(spark, sf), "id", "y")
 
 
-@query("merge_splits", f"WITH t AS ({CAMPAIGN_SQL}) SELECT id FROM ({sql_split('t', 0.3)}) WHERE split IN ('train')")
+@query("merge_splits", f"WITH t AS ({STATUS_ORDERS_SQL}), {_THREE_SQL} SELECT id, split FROM p WHERE split IN ('train', 'val')")
 def merge_splits(spark, sf):
-    rows = split.stratified_split(campaign(spark, sf), "id", "y", test=0.3)
-    return split.merge_splits(rows, ["train"]).select("id")
+    rows = split.stratified_split3(_status_orders(spark, sf), "id", "y")
+    return split.merge_splits(rows, ["train", "val"]).select("id", "split")
 
 
 @query("leak_check", f"""

@@ -91,8 +91,8 @@ sc AS (SELECT id, y, 1e0 / (1e0 + exp(j0 - j1)) AS score, CAST(j1 > j0 AS INTEGE
 
 def text_frames(spark, sf):
     """(documents with split, tf-idf values with y and split) of the deduplicated labelled texts."""
-    docs = clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id")
-    docs = materialize(split.stratified_split(docs, "id", "y"), "texts")
+    docs = materialize(clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id"), "texts")
+    docs = split.stratified_split(docs, "id", "y")
     counts = materialize(text.term_counts(docs, "id", "text", keep=["y", "split"]), "counts")
     train = counts.where("split = 'train'")
     idf = text.fit_idf(train, docs.where("split = 'train'").count())
@@ -110,6 +110,20 @@ def _scored(spark, sf, alpha=0.1):
 _SCORES_OUT = f"SELECT id, y, {sql_tidy('score')} AS score, pred FROM sc"
 
 
+@query("tfidf_plain", f"""
+WITH {_COUNTS_SQL}, n AS (SELECT count(*) AS n FROM documents),
+v AS (SELECT term, ln((1e0 + n) / (1e0 + count(*))) + 1e0 AS idf FROM k, n GROUP BY term, n HAVING count(*) >= 2 AND count(*) <= 0.9e0 * n),
+x AS (SELECT id, CAST(tf AS DOUBLE) * idf AS x FROM k JOIN v ON k.term = v.term),
+u AS (SELECT id, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS value FROM x)
+SELECT id, count(*) AS terms, {sql_tidy('sum(value)')} AS total, {sql_tidy('max(value)')} AS top FROM u GROUP BY id""")
+def tfidf_plain(spark, sf):
+    docs = documents(spark, sf)
+    counts = materialize(text.term_counts(docs, "id", "text"), "counts")
+    values = text.tfidf(counts, text.fit_idf(counts, docs.count()), sublinear=False)
+    return values.groupBy("id").agg(
+        F.count(F.lit(1)).alias("terms"), tidy(F.sum("value")).alias("total"), tidy(F.max("value")).alias("top"))
+
+
 @query("nb_multinomial", f"WITH {TEXT_SQL}, {_nb_sql('xv', 0.1)} {_SCORES_OUT}")
 def nb_multinomial(spark, sf):
     return _scored(spark, sf)[3].withColumn("score", tidy(F.col("score")))
@@ -228,7 +242,7 @@ SELECT hi, alpha, {sql_tidy('mean_score')} AS mean_score, {sql_tidy('std_score')
 
 @query("nb_grid", _GRID_SQL)
 def nb_grid(spark, sf):
-    docs = clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id")
+    docs = materialize(clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id"), "texts")
     train = split.stratified_split(docs, "id", "y").where("split = 'train'").drop("split")
     folded = materialize(split.stratified_folds(train, "id", "y", 5, "folds"), "folded")
     results = tune.nb_grid(folded, "id", "text", "y", "fold", his=[1, 2], alphas=ALPHAS, k=5)

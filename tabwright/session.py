@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def build_session(app: str = "tabwright", cores: int | None = None) -> SparkSession:
@@ -31,20 +32,22 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (a local test run) is a fresh folder made and remembered in the session.
+    (a local test run) is a fresh folder made, once per application.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="tabwright-")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    return made
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="tabwright-")
+    return _LOCAL[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """New path below one folder per application, so a finished run can be removed as a whole."""
+    return f"{shared_dir(spark)}/tabwright-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -134,7 +134,7 @@ def test_salted_term_join_equals_broadcast(table, monkeypatch):
     counts = text.term_counts(df, "id", "text")
     idf = text.fit_idf(counts, 6)
     want = {tuple(r) for r in text.tfidf(counts, idf).collect()}
-    monkeypatch.setattr(text, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(text, "BROADCAST_BYTES", 0)
     assert {tuple(r) for r in text.tfidf(counts, idf).collect()} == want
 
 
