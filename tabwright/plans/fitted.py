@@ -165,6 +165,14 @@ def svm_grid(spark, sf):
         [{"C": c} for c in (0.1, 1.0, 10.0, 100.0)], scorer="f2", positive=0)
 
 
+@query("svm_kernel_grid")
+def svm_kernel_grid(spark, sf):
+    rows = split.stratified_folds(_train(_vector_table(spark, sf)).drop("split"), "id", "y", 5, "folds")
+    rows = materialize(rows, "folded")
+    gammas = {"scale": linear.gamma_scale(rows), "0.001": 0.001, "0.01": 0.01, "0.1": 0.1}
+    return tune.svm_kernel_grid(rows, ["linear", "rbf"], gammas, [0.1, 1.0, 10.0, 100.0], 64, D=512, max_iter=15)
+
+
 # ---- trees -------------------------------------------------------------------------------
 
 def _tree(spark, sf):
@@ -173,6 +181,13 @@ def _tree(spark, sf):
     return rows, design, trees.fit_tree(weighted, max_depth=4, min_leaf=30, weight="weight")
 
 
+@query("tree_scores")
+def tree_scores(spark, sf):
+    _, _, table = _encoded(spark, sf, drop=None)
+    model = trees.fit_tree(encode.class_weights(_train(table), "y"), max_depth=6, weight="weight")
+    return linear.score_model(model, _test(table)).select("id", "y", "score", "pred")
+
+
 @query("tree_rules")
 def tree_rules(spark, sf):
     rows, design, model = _tree(spark, sf)
@@ -190,7 +205,7 @@ def rules_text(spark, sf):
 def tree_grid(spark, sf):
     _, _, table = _encoded(spark, sf, drop=None)
     folded = split.stratified_folds(encode.class_weights(_train(table), "y"), "id", "y", 5, "folds")
-    grid = [{"impurity": i, "max_depth": d, "min_leaf": 30} for i in ("gini", "entropy") for d in (2, 4, 6)]
+    grid = [{"impurity": i, "max_depth": d, "min_leaf": m} for i in ("gini", "entropy") for d in (3, 4, 5, 6) for m in (10, 20, 30)]
     return tune.grid_search(
         materialize(folded, "folded"),
         lambda d, p: trees.fit_tree(d, impurity=p["impurity"], max_depth=p["max_depth"], min_leaf=p["min_leaf"], weight="weight", max_bins=64),
@@ -247,6 +262,20 @@ def sensitive_audit(spark, sf):
     return explain.sensitive_audit(trees.impurity_importance(model, design.name_table(spark)), ["segment", "priority"])
 
 
+@query("leak_ablation_forest")
+def leak_ablation_forest(spark, sf):
+    """The same forest with and without the column that gives the label away."""
+    rows = split_campaign(spark, sf)
+    variants = {}
+    for name, numeric in (("with", ["price", "balance"]), ("without", ["balance"])):
+        design = encode.fit_design(
+            _train(rows), numeric, ["priority", "segment"], ignore=["id", "y", "split", "status", "nation", "price"])
+        table = materialize(design.assemble(rows).select("id", "y", "split", "features"), name)
+        model = trees.fit_forest(_train(table), n_trees=20, max_depth=6, max_bins=64)
+        variants[name] = linear.score_model(model, _test(table))
+    return tune.ablation(variants)
+
+
 @query("permutation_importance_forest")
 def permutation_importance_forest(spark, sf):
     rows, design, _, model = _forest(spark, sf, 20)

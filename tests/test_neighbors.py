@@ -91,3 +91,12 @@ def test_hashed_search_finds_most_neighbours(table):
     recall = neighbors.neighbor_recall(found, exact).first()[0]
     assert recall > 0.9
     assert found.groupBy("query").count().agg(F.max("count")).first()[0] <= 5
+
+
+def test_many_copies_of_one_row(table):
+    schema = "id long, x array<double>, y int"
+    train = [(i, x if i % 3 else [0.1, 0.2, 0.3, 0.4], y) for i, x, y in _data(300, 8)]
+    query = _data(20, 9) + [(50 + i, [0.1, 0.2, 0.3, 0.4], 0) for i in range(10)]
+    got = _collect(neighbors.knn_neighbors(table(schema, train, 4), table(schema, query, 2), 7))
+    want = _brute(train, query, 7, "euclidean")
+    assert {q: got[("euclidean", q)] for q in want} == want

@@ -43,3 +43,22 @@ def test_folds_cover_and_balance(table):
 def test_leak_check_finds_crossing_keys(table):
     rows = table("k string, split string", [("a", "train"), ("a", "test"), ("b", "train"), ("b", "train")])
     assert [tuple(r) for r in split.leak_check(rows, "k").collect()] == [("a", 2, 2)]
+
+
+def test_holdout_is_the_head_of_the_hash_order(table):
+    import hashlib
+
+    rows = [(i, "big" if i < 900 else "tiny" if i < 903 else "one") for i in range(904)]
+    got = split.stratified_split(table("id long, y string", rows, 6), "id", "y", 0.3, seed=9).collect()
+    test = {r["id"] for r in got if r["split"] == "test"}
+    assert len(got) == 904 and len(test) == 272  # ceil(0.3 * 904)
+    for y in ("big", "tiny", "one"):
+        order = sorted((i for i, c in rows if c == y), key=lambda i: hashlib.md5(f"9~{i}".encode()).hexdigest())
+        mine = [i for i in order if i in test]
+        assert mine == order[: len(mine)]
+
+
+def test_split_moves_no_rows(table):
+    df = split.stratified_split(table("id long, y int", _labels({0: 50, 1: 9}), 3), "id", "y")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SinglePartition" not in plan and "BroadcastHashJoin" in plan
