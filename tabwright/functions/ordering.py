@@ -189,8 +189,8 @@ def exact_quantiles(
         "_pos",
         F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))).alias("_at"),
     )
-    grouped = ends.groupBy(*keys).agg(F.collect_list(F.struct("prob", "_pos", "_at")).alias("_ends"))
     # each group asks for at most 2*len(probs) ranks; a value row keeps only those it covers
+    grouped = fitted(ends.groupBy(*keys).agg(F.collect_list(F.struct("prob", "_pos", "_at")).alias("_ends")), "ranks")
     hit = (
         upto.join(grouped, keys)
         .withColumn(
