@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+# largest fitted table kept as literal rows
+SMALL_ROWS = 20_000
 
 
 def build_session(app: str = "tabwright", cores: int | None = None) -> SparkSession:
@@ -66,11 +68,14 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
 def fitted(df: DataFrame, label: str = "fitted") -> DataFrame:
     """Freeze a small fitted table (class quotas, group edges, means).
 
-    Being a written table its real size is known when the next plan is made, so Spark
-    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a
-    shuffled join above it; nothing is assumed about its size here.
+    Up to SMALL_ROWS rows travel through the driver as fitted state; a larger result is
+    written instead. Either way the real size is known when the next plan is made, so Spark
+    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles above it.
     """
-    return materialize(df, label)
+    rows = df.limit(SMALL_ROWS + 1).toArrow()
+    if rows.num_rows > SMALL_ROWS:
+        return materialize(df, label)
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def bucket_target(spark: SparkSession) -> int:

@@ -54,7 +54,7 @@ def _plan(df):
 def test_row_level_work_never_meets_in_one_partition(spark):
     scored = frames.scored_orders(spark, SF)
     for df in (
-        split.stratified_split(scored, "id", "y"),
+        split.stratified_folds(scored, "id", "y"),
         curves.cumulative_gain(scored, "y", "id", "score"),
         curves.pr_points(curves.curve_table(scored, "y", "score")),
     ):
