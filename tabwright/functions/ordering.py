@@ -7,9 +7,10 @@ inside each bucket. No window ever sees more than one bucket of row-level data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.keys import id_hash
@@ -85,15 +86,23 @@ def order_buckets(
     the plan sees the same edges and results stay exact.
     """
     n = bucket_target(df.sparkSession)
-    edges = F.percentile_approx(value, [i / n for i in range(1, n)], 10 * n).alias("_cuts")
+    step = max(2, math.isqrt(n))
+    edges = df.groupBy(*by).agg(F.percentile_approx(value, [i / n for i in range(1, n)], 10 * n).alias("_cuts"))
+    edges = edges.withColumn("_coarse", F.filter("_cuts", lambda c, i: (i + 1) % step == 0))
     if by:
-        rows = df.join(fitted(df.groupBy(*by).agg(edges), "cuts"), list(by))
+        rows = df.join(fitted(edges, "cuts"), list(by))
     else:
-        found = df.agg(edges).first()[0] or []
-        rows = df.withColumn("_cuts", F.array(*[F.lit(c) for c in found]))
-    below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+        found = edges.first()
+        rows = df.withColumns({c: F.array(*[F.lit(v) for v in found[c] or []]) for c in ("_cuts", "_coarse")})
+
+    def smaller(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c < F.col(value)))
+
+    # every step-th edge first, then the edges up to the next one: about 2 * sqrt(n) comparisons
+    rows = rows.withColumn("_at", smaller(F.col("_coarse")) * step)
+    below = F.col("_at") + smaller(F.slice("_cuts", F.col("_at") + 1, step - 1))
     number = F.lit(n) - below if descending else below
-    return rows.withColumn(bucket, number).drop("_cuts")
+    return rows.withColumn(bucket, number).drop("_cuts", "_coarse", "_at")
 
 
 def running_sums(

@@ -57,24 +57,26 @@ def _nearest(q: np.ndarray, t: np.ndarray, metric: str, k: int) -> Iterator[tupl
             yield start + i, at, row[at]
 
 
-def _tile_function(metrics: Sequence[str], k: int):
-    columns = ("metric", "space", "query", "neighbor", "y", "distance")
+# one row per query and neighbour of a tile; numbers only, the metric is its position in the list
+_TILE = {"metric": "int32", "space": "int64", "query": "int64", "neighbor": "int64", "y": "int64", "distance": "float64"}
+
 
+def _tile_function(metrics: Sequence[str], k: int):
     def tile(key: tuple, queries: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        parts: dict[str, list] = {c: [] for c in columns}
+        parts: dict[str, list] = {c: [] for c in _TILE}
         if len(queries) and len(train):
             q, t = np.array(queries["x"].tolist(), dtype=float), np.array(train["tx"].tolist(), dtype=float)
             qid, tid, tlab = queries["id"].to_numpy(), train["tid"].to_numpy(), train["y"].to_numpy()
-            for metric in metrics:
+            for number, metric in enumerate(metrics):
                 for i, at, dist in _nearest(q, t, metric, k):
                     order = np.lexsort((tid[at], dist))[:k]
-                    parts["metric"].append(np.full(len(order), metric, dtype=object))
+                    parts["metric"].append(np.full(len(order), number))
                     parts["space"].append(np.full(len(order), key[0]))
                     parts["query"].append(np.full(len(order), qid[i]))
                     parts["neighbor"].append(tid[at][order])
                     parts["y"].append(tlab[at][order])
                     parts["distance"].append(dist[order])
-        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in parts.items()})
+        return pd.DataFrame({c: np.concatenate(v or [[]]).astype(_TILE[c]) for c, v in parts.items()})
 
     return tile
 
@@ -115,10 +117,11 @@ def knn_neighbors(
         .cogroup(t_tiles.groupBy("space", "qb", "tb"))
         .applyInPandas(
             _tile_function(tuple(metrics), k),
-            "metric string, space long, query long, neighbor long, y long, distance double",
+            "metric int, space long, query long, neighbor long, y long, distance double",
         )
     )
     nearest = Window.partitionBy("metric", "space", "query").orderBy("distance", "neighbor")
+    found = found.withColumn("metric", F.array(*[F.lit(m) for m in metrics])[F.col("metric")])
     ranked = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
     return ranked.drop("space") if space is None else ranked.withColumnRenamed("space", space)
 

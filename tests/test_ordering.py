@@ -72,3 +72,16 @@ def test_exact_quantiles_match_linear_interpolation(table):
 
 def test_median_of_even_count_is_not_an_element(table):
     assert exact_quantiles(table("v int", [(1,), (2,), (3,), (4,)]), ["v"], [0.5]).first()["value"] == 2.5
+
+
+def test_many_buckets_keep_the_order(spark, table):
+    random.seed(6)
+    values = random.sample(range(100_000), 3000)
+    df = materialize(table("v double, n int", [(float(v), 1) for v in values], 4))
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        got = {r["v"]: r["s"] for r in running_sums(df, "v", {"n": "s"}).collect()}
+        empty = running_sums(df.where("v < 0"), "v", {"n": "s"}).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == {float(v): i for i, v in enumerate(sorted(values), 1)} and empty == []
