@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.keys import id_hash
-from tabwright.session import bucket_target, fitted, materialize
+from tabwright.session import SMALL_ROWS, bucket_target, fitted, materialize
 
 
 def hash_digits(spark) -> int:
@@ -22,10 +22,16 @@ def hash_digits(spark) -> int:
     return 3 if bucket_target(spark) <= 512 else 4
 
 
-def hash_buckets(df: DataFrame, id_col: str, seed, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., _hb, _n): rows per hash bucket, a written table of bounded size per group."""
-    head = F.substring(id_hash(seed, F.col(id_col)), 1, hash_digits(df.sparkSession))
-    return fitted(df.groupBy(*by, head.alias("_hb")).agg(F.count(F.lit(1)).alias("_n")), "buckets")
+def hash_buckets(df: DataFrame, id_col: str, seed, by: Sequence[str] = (), groups: int = 2) -> DataFrame:
+    """(by..., _hb, _n): rows per hash bucket, at most 16**digits per group.
+
+    ``groups`` is the expected number of ``by`` groups; it decides whether the counts stay
+    literal rows or are written.
+    """
+    digits = hash_digits(df.sparkSession)
+    head = F.substring(id_hash(seed, F.col(id_col)), 1, digits)
+    counts = df.groupBy(*by, head.alias("_hb")).agg(F.count(F.lit(1)).alias("_n"))
+    return fitted(counts, "buckets") if groups * 16**digits <= SMALL_ROWS else materialize(counts, "buckets")
 
 
 def hash_rank(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ class Roles:
     categorical: tuple[str, ...] = ()
     text: tuple[str, ...] = ()
     drop: tuple[str, ...] = ()
-    sensitive: tuple[str, ...] = field(default=())
+    sensitive: tuple[str, ...] = ()
 
     def declared(self) -> set[str]:
         return {self.id, self.label, *self.numeric, *self.categorical, *self.text, *self.drop}

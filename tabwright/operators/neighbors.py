@@ -8,15 +8,16 @@ pairs it compares, so the volume that leaves a task is (query rows) x k.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.functions.ordering import exact_quantiles
 from tabwright.session import bucket_target, fitted, materialize
 
 BLOCK = 4096
@@ -175,6 +176,26 @@ def knn_predict(
     )
 
 
+def _per_space(state: Mapping[int, Sequence[float]], space: str | None) -> Column:
+    """The fitted array that belongs to a row's space."""
+    cells = F.array(
+        *[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(float(v)) for v in vs]).alias("v")) for k, vs in state.items()]
+    )
+    key = F.col(space) if space else F.lit(0)
+    return F.filter(cells, lambda r: r["k"] == key)[0]["v"]
+
+
+def impute_arrays(fit_df: DataFrame, df: DataFrame, x: str = "x", space: str | None = None) -> DataFrame:
+    """Fill nulls of an array column with the exact medians of ``fit_df`` by position (and space)."""
+    keys = [space] if space else []
+    entries = fit_df.select(*keys, F.posexplode(x).alias("at", "v"))
+    state: dict[int, dict[int, float]] = {}
+    for r in exact_quantiles(entries, ["v"], [0.5], [*keys, "at"]).collect():
+        state.setdefault(r[space] if space else 0, {})[r["at"]] = r["value"]
+    fill = _per_space({k: [m[i] for i in sorted(m)] for k, m in state.items()}, space)
+    return df.withColumn(x, F.zip_with(F.col(x), fill, lambda a, b: F.coalesce(a, b)))
+
+
 def scale_arrays(fit_df: DataFrame, df: DataFrame, x: str = "x", space: str | None = None) -> DataFrame:
     """Standardise an array column by position with the mean and population std of ``fit_df``.
 
@@ -185,44 +206,31 @@ def scale_arrays(fit_df: DataFrame, df: DataFrame, x: str = "x", space: str | No
     sums = []
     for i in range(dims):
         sums += [F.avg(F.col(x)[i]).alias(f"m{i}"), F.stddev_pop(F.col(x)[i]).alias(f"s{i}")]
-    rows = fit_df.groupBy(*keys).agg(*sums).collect()
-    state = F.array(
-        *[
-            F.struct(
-                F.lit(r[space] if space else 0).alias("k"),
-                F.array(*[F.lit(r[f"m{i}"]) for i in range(dims)]).alias("m"),
-                F.array(*[F.lit(r[f"s{i}"] or 1.0) for i in range(dims)]).alias("s"),
-            )
-            for r in rows
-        ]
-    )
-    key = F.col(space) if space else F.lit(0)
-    mine = F.filter(state, lambda r: r["k"] == key)[0]
-    centred = F.zip_with(F.col(x), mine["m"], lambda a, b: a - b)
-    return df.withColumn(x, F.zip_with(centred, mine["s"], lambda a, b: a / b))
-
-
-def impute_arrays(fit_df: DataFrame, df: DataFrame, medians: Sequence[float], x: str = "x") -> DataFrame:
-    fill = F.array(*[F.lit(float(m)) for m in medians])
-    return df.withColumn(x, F.zip_with(F.col(x), fill, lambda a, b: F.coalesce(a, b)))
+    means, stds = {}, {}
+    for r in fit_df.groupBy(*keys).agg(*sums).collect():
+        key = r[space] if space else 0
+        means[key] = [r[f"m{i}"] for i in range(dims)]
+        stds[key] = [r[f"s{i}"] or 1.0 for i in range(dims)]
+    centred = F.zip_with(F.col(x), _per_space(means, space), lambda a, b: a - b)
+    return df.withColumn(x, F.zip_with(centred, _per_space(stds, space), lambda a, b: a / b))
 
 
 def knn_grid_predictions(
     rows: DataFrame, ks: Sequence[int], fold: str = "fold", k_folds: int = 5,
-    metrics: Sequence[str] = METRICS, classes: Sequence = (0, 1), scale: bool = True,
+    metrics: Sequence[str] = METRICS, classes: Sequence = (0, 1), scale: bool = True, impute: bool = False,
 ) -> DataFrame:
     """(metric, weights, k, fold, y, pred) of every grid point from one neighbour table.
 
     ``rows`` is (id, x, y, fold). Each fold is a space: its rows are the queries, all other
-    rows its training set, both scaled by that training set.
+    rows its training set; medians, means and deviations come from that training set only.
     """
     spaced = rows.withColumn("space", F.explode(F.sequence(F.lit(0), F.lit(k_folds - 1))))
-    train = spaced.where(F.col(fold) != F.col("space"))
-    query = spaced.where(F.col(fold) == F.col("space"))
+    held = F.col(fold) == F.col("space")
+    if impute:
+        spaced = materialize(impute_arrays(spaced.where(~held), spaced, "x", "space"), "imputed")
     if scale:
-        spaced = scale_arrays(train, spaced, "x", "space")
-        train = spaced.where(F.col(fold) != F.col("space"))
-        query = spaced.where(F.col(fold) == F.col("space"))
+        spaced = scale_arrays(spaced.where(~held), spaced, "x", "space")
+    train, query = spaced.where(~held), spaced.where(held)
     near = materialize(knn_neighbors(train, query, max(ks), metrics, "space"), "neighbors")
     pred = knn_predict(near, classes, ks, ("metric", "space", "query"))
     truth = rows.select(F.col("id").alias("query"), "y")

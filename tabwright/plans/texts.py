@@ -11,6 +11,7 @@ from tabwright.plans.frames import LABELLED_SQL, documents, labelled_documents,
 from tabwright.plans.registry import query
 from tabwright.session import fresh_path, materialize
 from tabwright.sources import models
+from tabwright.streaming import score as streaming
 
 TOKENS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}', 0)"
 
@@ -275,3 +276,17 @@ FROM s, p WHERE split = 'test'""")
 def dummy_stratified(spark, sf):
     rows = _status(spark, sf)
     return bayes.dummy_stratified(rows.where("split = 'train'"), rows.where("split = 'test'").drop("split"), "y", "id")
+
+
+@query("text_score_throughput")
+def text_score_throughput(spark, sf):
+    """Rows per second of tokenising, weighting and scoring every document."""
+    docs, counts, values = text_frames(spark, sf)
+    train = docs.where("split = 'train'")
+    idf = text.fit_idf(counts.where("split = 'train'"), train.count())
+    model = bayes.fit_multinomial_nb(values.where("split = 'train'"), train, "y", 0.1)
+
+    def scored(rows):
+        return bayes.nb_scores(model, rows.select("id"), text.tfidf(text.term_counts(rows, "id", "text"), idf))
+
+    return streaming.score_throughput(documents(spark, sf), scored)

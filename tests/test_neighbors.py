@@ -100,3 +100,10 @@ def test_many_copies_of_one_row(table):
     got = _collect(neighbors.knn_neighbors(table(schema, train, 4), table(schema, query, 2), 7))
     want = _brute(train, query, 7, "euclidean")
     assert {q: got[("euclidean", q)] for q in want} == want
+
+
+def test_medians_come_from_each_spaces_own_rows(table):
+    df = table("id long, x array<double>, s int", [(1, [1.0], 0), (2, [None], 0), (3, [4.0], 0), (4, [None], 1), (5, [9.0], 1)])
+    got = {r["id"]: r["x"][0] for r in neighbors.impute_arrays(df, df, "x", "s").collect()}
+    assert got == {1: 1.0, 2: 2.5, 3: 4.0, 4: 9.0, 5: 9.0}
+    assert neighbors.impute_arrays(df, df).where("id = 2").first()["x"] == [4.0]
