@@ -96,7 +96,8 @@ def order_buckets(
     edges = df.groupBy(*by).agg(F.percentile_approx(value, [i / n for i in range(1, n)], 10 * n).alias("_cuts"))
     edges = edges.withColumn("_coarse", F.filter("_cuts", lambda c, i: (i + 1) % step == 0))
     if by:
-        rows = df.join(fitted(edges, "cuts"), list(by))
+        # long edge lists are written; short ones may stay literal rows
+        rows = df.join((fitted if n <= 256 else materialize)(edges, "cuts"), list(by))
     else:
         found = edges.first()
         rows = df.withColumns({c: F.array(*[F.lit(v) for v in found[c] or []]) for c in ("_cuts", "_coarse")})

@@ -109,8 +109,8 @@ FIXED_WEIGHTS = [-0.9, -1.0, -1.1, -1.2, 0.05, 0.1, -0.05, 0.02, 1.5, 0.3]
 _MARGIN_SQL = f"{FIXED_INTERCEPT}e0 " + " ".join(f"+ {w}e0 * x{i}" for i, w in enumerate(FIXED_WEIGHTS))
 
 
-@query("pipeline_scores", f"WITH {_DESIGN_SQL} SELECT id, {sql_tidy(f'1e0 / (1e0 + exp(-({_MARGIN_SQL})))')} AS score FROM x")
-def pipeline_scores(spark, sf):
+@query("saved_linear_scores", f"WITH {_DESIGN_SQL} SELECT id, {sql_tidy(f'1e0 / (1e0 + exp(-({_MARGIN_SQL})))')} AS score FROM x")
+def saved_linear_scores(spark, sf):
     rows = split_campaign(spark, sf)
     design = fixed_design(rows)
     margin = f"{FIXED_INTERCEPT!r}D " + " ".join(f"+ {w!r}D * {f.sql}" for f, w in zip(design.features, FIXED_WEIGHTS))

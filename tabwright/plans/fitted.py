@@ -80,8 +80,8 @@ def odds_ratios(spark, sf):
     return explain.odds_ratios(linear.coefficient_table(spark, design.names, linear.fit_logistic(_train(table))))
 
 
-@query("pipeline_model_scores")
-def pipeline_model_scores(spark, sf):
+@query("saved_logistic_scores")
+def saved_logistic_scores(spark, sf):
     from pyspark.ml.classification import LogisticRegression
 
     rows = split_campaign(spark, sf)

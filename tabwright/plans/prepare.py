@@ -164,7 +164,7 @@ def text_length(spark, sf):
     return clean.text_length(docs, "text").select("doc_id", "n_characters")
 
 
-# the edges of the age table: fixed values, with labels per interval
+# account balance in right-closed ranges; balances above the last edge belong to no bin
 BALANCE_EDGES = [-1000.0, 0.0, 2500.0, 5000.0, 7500.0]
 BALANCE_LABELS = ["debt", "low", "middle", "high"]
 _BIN_SQL = """CASE WHEN balance > -1000 AND balance <= 0 THEN 'debt' WHEN balance > 0 AND balance <= 2500 THEN 'low'
