@@ -101,7 +101,8 @@ def knn_neighbors(
         F.col("_c") <= k
     ).drop("_c")
     t = materialize(t, "train")
-    plan = _tile_plan(q, t, bucket_target(train.sparkSession))
+    width = bucket_target(train.sparkSession)
+    plan = _tile_plan(q, t, width)
     q_tiles = (
         q.join(plan, "space")
         .withColumn("qb", F.pmod(F.xxhash64("id"), F.col("nq")))
@@ -112,10 +113,16 @@ def knn_neighbors(
         .withColumn("tb", F.pmod(F.xxhash64("tid"), F.col("nt")))
         .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1)))
     )
-    q_tiles, t_tiles = q_tiles.drop("nq", "nt"), t_tiles.drop("nq", "nt")
+    tile = ["space", "qb", "tb"]
+    # a fixed number of partitions: tiles are small in bytes but heavy in work, so they must
+    # not be merged by size; sixteen tiles per task at most
+    tasks = plan.agg(F.sum(F.col("nq") * F.col("nt"))).first()[0] or 1
+    parts = max(min(tasks, width), math.ceil(tasks / 16))
+    q_tiles = q_tiles.drop("nq", "nt").repartition(parts, *tile)
+    t_tiles = t_tiles.drop("nq", "nt").repartition(parts, *tile)
     found = (
-        q_tiles.groupBy("space", "qb", "tb")
-        .cogroup(t_tiles.groupBy("space", "qb", "tb"))
+        q_tiles.groupBy(*tile)
+        .cogroup(t_tiles.groupBy(*tile))
         .applyInPandas(
             _tile_function(tuple(metrics), k),
             "metric int, space long, query long, neighbor long, y long, distance double",

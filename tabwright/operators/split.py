@@ -54,7 +54,11 @@ def _by_cuts(df: DataFrame, id_col: str, label: str, seed, quotas: DataFrame, pa
 def stratified_split(
     df: DataFrame, id_col: str, label: str, test: float = 0.2, seed=42, out: str = "split"
 ) -> DataFrame:
-    """Exact per-class holdout: adds ``split`` in {train, test}. Ids must be unique."""
+    """Exact per-class holdout: adds ``split`` in {train, test}. Ids must be unique.
+
+    The input is read to count, to find the edge, and to name the rows: write an expensive
+    plan (a join, a parse) to a table first.
+    """
     buckets = hash_buckets(df, id_col, seed, [label])
     counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
     quota = _quota(counts, label, _ceil_share("_n", test), "_n", "_q")

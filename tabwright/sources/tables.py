@@ -40,13 +40,13 @@ def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def spread_scan(scan: DataFrame) -> DataFrame:
-    """Give row-heavy work (tokenising long texts) at least one task per core.
+    """Spread a small file over the cores before row-heavy work (tokenising long texts).
 
-    A table of many files or row groups already has that and is returned as it is; only a
-    scan with fewer partitions than cores is redistributed. ``scan`` must be a plain scan.
+    A table of many files or row groups is returned as it is; only a scan that would leave
+    three quarters of the cores idle is redistributed. ``scan`` must be a plain scan.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 4 <= cores else scan
 
 
 def take_columns(df: DataFrame, count: int, names: Sequence[str]) -> DataFrame:
