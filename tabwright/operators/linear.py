@@ -108,6 +108,7 @@ def kernel_map(
         return df.withColumn(out, F.col(x))
     exact = kernel == "poly" and p <= POLY_EXACT
     scale3 = gamma**1.5
+    triples, root = _monomials(p) if exact else (None, None)
 
     @F.pandas_udf("array<double>")
     def mapped(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -115,9 +116,7 @@ def kernel_map(
         if kernel == "rbf":
             w = rng.normal(0.0, np.sqrt(2.0 * gamma), (p, D))
             b = rng.uniform(0.0, 2.0 * np.pi, D)
-        elif exact:
-            triples, root = _monomials(p)
-        else:
+        elif not exact:
             signs = rng.choice([-1.0, 1.0], (3, p, D))
         for batch in batches:
             m = np.array(batch.tolist(), dtype=float).reshape(-1, p)

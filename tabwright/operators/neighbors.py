@@ -8,7 +8,7 @@ pairs it compares, so the volume that leaves a task is (query rows) x k.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -44,32 +44,34 @@ def _tile_plan(q: DataFrame, t: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _nearest(q: np.ndarray, t: np.ndarray, metric: str, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query row the positions and distances of every row tied with or nearer than the k-th."""
-    step = max(1, _CELLS // max(1, t.size))
-    for start in range(0, len(q), step):
-        diff = q[start : start + step, None, :] - t[None, :, :]
-        dist = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
-        for i, row in enumerate(dist):
-            if len(row) > k:
-                at = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-            else:
-                at = np.arange(len(row))
-            yield start + i, at, row[at]
-
-
 # one row per query and neighbour of a tile; numbers only, the metric is its position in the list
 _TILE = {"metric": "int32", "space": "int64", "query": "int64", "neighbor": "int64", "y": "int64", "distance": "float64"}
 
 
 def _tile_function(metrics: Sequence[str], k: int):
+    """The work of one tile. Self-contained, so executors need numpy and pandas only."""
+    types, cells = dict(_TILE), _CELLS
+
+    def nearest(q: np.ndarray, t: np.ndarray, metric: str):
+        """For each query row the positions and distances of every row not farther than the k-th."""
+        step = max(1, cells // max(1, t.size))
+        for start in range(0, len(q), step):
+            diff = q[start : start + step, None, :] - t[None, :, :]
+            dist = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
+            for i, row in enumerate(dist):
+                if len(row) > k:
+                    at = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
+                else:
+                    at = np.arange(len(row))
+                yield start + i, at, row[at]
+
     def tile(key: tuple, queries: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        parts: dict[str, list] = {c: [] for c in _TILE}
+        parts: dict[str, list] = {c: [] for c in types}
         if len(queries) and len(train):
             q, t = np.array(queries["x"].tolist(), dtype=float), np.array(train["tx"].tolist(), dtype=float)
             qid, tid, tlab = queries["id"].to_numpy(), train["tid"].to_numpy(), train["y"].to_numpy()
             for number, metric in enumerate(metrics):
-                for i, at, dist in _nearest(q, t, metric, k):
+                for i, at, dist in nearest(q, t, metric):
                     order = np.lexsort((tid[at], dist))[:k]
                     parts["metric"].append(np.full(len(order), number))
                     parts["space"].append(np.full(len(order), key[0]))
@@ -77,7 +79,7 @@ def _tile_function(metrics: Sequence[str], k: int):
                     parts["neighbor"].append(tid[at][order])
                     parts["y"].append(tlab[at][order])
                     parts["distance"].append(dist[order])
-        return pd.DataFrame({c: np.concatenate(v or [[]]).astype(_TILE[c]) for c, v in parts.items()})
+        return pd.DataFrame({c: np.concatenate(v or [[]]).astype(types[c]) for c, v in parts.items()})
 
     return tile
 
