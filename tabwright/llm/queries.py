@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, mixing, sharding, warc
+from tabwright.llm import lines, mixing, quality, sharding, tokens, topk, warc
 from tabwright.llm.common import read
+from tabwright.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +46,40 @@ def warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = materialize(quality.with_features(docs).drop("text"), "features")
+    rules = quality.fit_rules(rows, read(spark, sf_dir, "labels"))
+    failed = quality.base_failed()
+    return rows.select(
+        "doc_id", *[F.col(f"features.{c}").alias(c) for c in quality.COUNTS], failed.alias("base_failed"),
+        (~failed & ~rules.rejects(F.col("lang"))).alias("kept"),
+    )
+
+
+@query("op3_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    automaton = tokens.Automaton(*tokens.read_pieces(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    return tokens.count_tokens(spark, read(spark, sf_dir, "documents").select("doc_id", "text"), automaton)
+
+
+@query(
+    "op4_kd_topk",
+    """
+    WITH x AS (
+      SELECT vec_id, [floor(64 * c::DOUBLE)::BIGINT FOR c IN embedding] AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM x q JOIN x c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+)
+def kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query(
     "op8_line_dedup",
     """

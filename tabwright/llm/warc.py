@@ -166,17 +166,24 @@ def salvage(data: bytes) -> Iterator[tuple]:
         yield ("gap", lost, len(data), why, b"")
 
 
+def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int]:
+    """Content and end of the gzip member at ``at``."""
+    reader, view, parts = zlib.decompressobj(31), memoryview(data), []
+    while not reader.eof:
+        if at >= len(data):
+            raise ValueError("gzip member without end")
+        parts.append(reader.decompress(view[at : at + step]))
+        at += step
+    return b"".join(parts), min(at, len(data)) - len(reader.unused_data)
+
+
 def _members(data: bytes) -> Iterator[tuple]:
     at, lost, why = 0, -1, ""
     while at < len(data):
         try:
             if data[at : at + 3] != GZIP:
                 raise ValueError("no gzip member")
-            reader = zlib.decompressobj(31)
-            plain = reader.decompress(data[at:])
-            if not reader.eof:
-                raise ValueError("gzip member without end")
-            end = len(data) - len(reader.unused_data)
+            plain, end = _inflate(data, at)
             inside = list(salvage(plain))
             if not any(x[0] == "record" for x in inside):
                 raise ValueError("gzip member without a record")
