@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,49 +51,73 @@ def join_spread(rows: DataFrame, keyed: DataFrame, keys: Sequence[str], weight:
     return near.unionByName(far)
 
 
-def components(edges: DataFrame, nodes: DataFrame | None = None, label: str = "links") -> DataFrame:
+def components(edges: DataFrame, label: str = "links") -> DataFrame:
     """(node, root): smallest node of each connected component, from edges (u, v) of longs.
 
     Alternates two star steps: every node points its larger neighbours at its smallest one,
-    then its smaller ones. Each round is a grouped minimum and a join; a star centre with
-    very many leaves is joined through ``join_spread``. Each round is written, so a lost
-    executor costs one round at most. Ends when no edge changes.
+    then its smaller ones. Each step is a grouped minimum and a join; a star centre with
+    very many leaves goes through ``join_spread``. Each step is written, so a lost executor
+    costs one step at most. Ends when the edges (their number and the sum of their hashes)
+    stay as they are. Nodes without an edge to another node are not in the result.
     """
-    both = edges.where(F.col("u") != F.col("v")).select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    ).distinct()
-    now = materialize(both, label)
+    apart = edges.where(F.col("u") != F.col("v"))
+    now = materialize(apart.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
+    seen = _mark(now)
     while True:
-        large = materialize(_star(now, larger=True), label)
-        small = materialize(_star(large, larger=False), label)
-        gone, new = now.exceptAll(small), small.exceptAll(now)
-        same = not gone.take(1) and not new.take(1)
-        now = small
-        if same:
+        now = _star(_star(now, larger=True, label=label), larger=False, label=label)
+        mark = _mark(now)
+        if mark == seen:
             break
-    found = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
-    roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
-    both_ends = found.unionByName(roots)
-    if nodes is None:
-        return both_ends
-    return nodes.join(both_ends, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        seen = mark
+    tips = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return tips.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
-    """One star step over edges (u > v)."""
+def _mark(edges: DataFrame) -> tuple:
+    hashed = F.xxhash64("u", "v").cast("decimal(20,0)")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+
+
+def _star(edges: DataFrame, larger: bool, label: str) -> DataFrame:
+    """One star step over written edges (u > v)."""
+    arcs = edges.select(F.col("u").alias("c"), F.col("v").alias("n"))
     if larger:
-        arcs = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        arcs = materialize(arcs.select(F.col("u").alias("c"), F.col("v").alias("n")), "arcs")
-    else:
-        arcs = edges.select(F.col("u").alias("c"), F.col("v").alias("n"))
-    least = arcs.groupBy("c").agg(F.min("n").alias("m"), F.count(F.lit(1)).alias("_k"))
-    least = materialize(least.select("c", F.least("m", "c").alias("m"), "_k"), "least")
-    joined = join_spread(arcs, least, ["c"], "_k")
+        arcs = materialize(arcs.unionByName(edges.select(F.col("v").alias("c"), F.col("u").alias("n"))), label)
+    least = arcs.groupBy("c").agg(F.min("n").alias("m"), F.count(F.lit(1)).alias("k"))
+    least = materialize(least.select("c", F.least("m", "c").alias("m"), "k"), label)
+    joined = join_spread(arcs, least, ["c"], "k")
     if larger:
         moved = joined.where(F.col("n") > F.col("c")).select(F.col("n").alias("u"), F.col("m").alias("v"))
     else:
-        moved = joined.select(F.col("n").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select(F.col("c").alias("u"), F.col("m").alias("v"))
-        )
-    moved = moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    return moved.where(F.col("u") != F.col("v")).distinct()
+        centres = least.select(F.col("c").alias("u"), F.col("m").alias("v"))
+        moved = joined.select(F.col("n").alias("u"), F.col("m").alias("v")).unionByName(centres)
+    moved = moved.where(F.col("u") != F.col("v"))
+    return materialize(moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
+
+
+def whole_groups(parts: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches of a partition sorted by ``keys``, re-cut so that no group is divided, with group borders."""
+    held: list[pd.DataFrame] = []
+
+    def borders(frame: pd.DataFrame) -> np.ndarray:
+        new = np.zeros(len(frame), bool)
+        for k in keys:
+            values = frame[k].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(new)
+
+    for part in parts:
+        if not len(part):
+            continue
+        held.append(part)
+        first, last = held[0][list(keys)].iloc[0], part[list(keys)].iloc[-1]
+        if (first == last).all():
+            continue
+        frame = pd.concat(held, ignore_index=True) if len(held) > 1 else part.reset_index(drop=True)
+        cut = borders(frame)
+        held = [frame.iloc[cut[-1] :]]
+        done = frame.iloc[: cut[-1]]
+        yield done, np.concatenate([[0], cut[:-1], [len(done)]])
+    if held:
+        frame = pd.concat(held, ignore_index=True)
+        yield frame, np.concatenate([[0], borders(frame), [len(frame)]])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, mixing, quality, sharding, tokens, topk, warc
+from tabwright.llm import lines, mixing, packing, quality, sharding, tokens, topk, warc
 from tabwright.llm.common import read
 from tabwright.session import materialize
 
@@ -80,6 +80,13 @@ def kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+    return packing.pack_best_fit(pieces, 2048).withColumnRenamed("id", "doc_id")
+
+
 @query(
     "op8_line_dedup",
     """
