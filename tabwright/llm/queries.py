@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, mixing, packing, quality, sharding, tokens, topk, warc
+from tabwright.llm import lines, mixing, ngrams, packing, quality, sharding, tokens, topk, warc
 from tabwright.llm.common import read
 from tabwright.session import materialize
 
@@ -80,6 +80,30 @@ def kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query(
+    "op6_ngram_join",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    b AS (SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+    e AS (
+      SELECT u, v, c = p.n AND c = q.n AS same FROM b JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v
+      WHERE 5 * c >= 4 * (p.n + q.n - c)),
+    r AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.v)
+    SELECT doc_id, (SELECT min(v) FROM r WHERE r.u = doc_id) AS class_id,
+      least(doc_id, coalesce((SELECT min(v) FROM e WHERE e.u = doc_id AND same), doc_id)) AS copy_of,
+      (SELECT count(*) FROM e WHERE e.u = doc_id) AS n_links
+    FROM documents""",
+)
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngrams.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query("op7_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
