@@ -147,7 +147,7 @@ def mix_sources(
     a hash of id, text and source; equal rows are interchangeable, each with its own place.
     Null and empty texts have no words and are never taken. A document longer than a block
     spans several. ``slots``: (source_no, shard, slot, block, epoch), the order of the mix;
-    ``spans``: (key, nth, epoch, from_word, words) of each block's part of each document.
+    ``spans``: (key, nth, size, epoch, from_word, words) of each block's part of each document.
     Each block is taken at most ``most`` times (rounded down), so no document is taken more
     often. Reruns with one seed agree. An empty table gives empty tables.
     """
@@ -213,7 +213,7 @@ def mix_sources(
     low = F.greatest(F.col("block") * block, F.col("begin"))
     high = F.least((F.col("block") + 1) * block, F.col("begin") + F.col("size"))
     held = held.select(
-        "id", "key", "nth", "source_no", "block", (low - F.col("begin")).alias("from_word"), (high - low).alias("words")
+        "id", "key", "nth", "size", "source_no", "block", (low - F.col("begin")).alias("from_word"), (high - low).alias("words")
     )
     spans = slots.select("source_no", "block", "epoch").join(held, ["source_no", "block"])
     return Mix(sources, places, slots, spans)
@@ -240,25 +240,21 @@ def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col:
 
     Neighbouring blocks of one document become one run of words again; a document taken
     whole keeps its text as it is. Otherwise the runs are cut out of the text and put one
-    per line. Equal rows are taken apart by their place among themselves.
+    per line. Of rows equal in id, text and source one lends its other columns to all.
     """
-    runs = mix.spans.groupBy("key", "id", "nth", "epoch").agg(
-        F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("runs")
+    runs = mix.spans.groupBy("key", "nth", "epoch").agg(
+        F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("runs")
     )
-    runs = runs.groupBy("key", "id").agg(F.collect_list(F.struct("epoch", "nth", "runs")).alias("takes"))
-    name = {c: scratch_name(docs, c) for c in ("_key", "_nth", "_takes")}
-    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.col(source_col))
-    once = docs.dropDuplicates([id_col, text_col, source_col]).withColumn(name["_key"], key)
-    takes = runs.select(F.col("key").alias(name["_key"]), F.col("id").alias(name["_nth"]), F.col("takes").alias(name["_takes"]))
-    joined = once.alias("d").join(
-        takes.alias("t"),
-        (F.col(f"d.`{name['_key']}`") == F.col(f"t.`{name['_key']}`"))
-        & F.col(f"d.`{id_col}`").eqNullSafe(F.col(f"t.`{name['_nth']}`")),
+    name = {c: scratch_name(docs, c) for c in ("_key", "_takes")}
+    takes = runs.groupBy(F.col("key").alias(name["_key"])).agg(
+        F.collect_list(F.struct("epoch", "nth", "size", "runs")).alias(name["_takes"])
     )
-    pieces = _cut(F.col(f"d.`{text_col}`"), F.col(f"t.`{name['_takes']}`"))
-    names = [F.col(f"d.`{c}`") for c in docs.columns if c != text_col]
-    out = joined.select(*names, F.explode(pieces).alias(text_col))
-    return out.select(*docs.columns)
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.col(source_col))
+    once = docs.withColumn(name["_key"], key).dropDuplicates([name["_key"]])
+    joined = once.join(takes, name["_key"])
+    pieces = _cut(F.col(text_col), F.col(name["_takes"]))
+    rest = [c for c in docs.columns if c != text_col]
+    return joined.select(*rest, F.explode(pieces).alias(text_col)).select(*docs.columns)
 
 
 WORDS = re.compile(WORD)
@@ -268,7 +264,7 @@ WORDS = re.compile(WORD)
 def _cut(text: pd.Series, takes: pd.Series) -> pd.Series:
     out = []
     for body, many in zip(text, takes, strict=True):
-        at = [m.span() for m in WORDS.finditer(body)]
+        at: list[tuple[int, int]] = []
         made = []
         for take in sorted(many, key=lambda t: (t["epoch"], t["nth"])):
             runs: list[list[int]] = []
@@ -277,7 +273,10 @@ def _cut(text: pd.Series, takes: pd.Series) -> pd.Series:
                     runs[-1][1] += r["words"]
                 else:
                     runs.append([r["from_word"], r["from_word"] + r["words"]])
-            whole = runs == [[0, len(at)]]
-            made.append(body if whole else "\n".join(body[at[a][0] : at[b - 1][1]] for a, b in runs))
+            if runs == [[0, take["size"]]]:
+                made.append(body)
+                continue
+            at = at or [m.span() for m in WORDS.finditer(body)]
+            made.append("\n".join(body[at[a][0] : at[b - 1][1]] for a, b in runs))
         out.append(made)
     return pd.Series(out)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, mixing, ngrams, packing, quality, sharding, tokens, topk, warc
+from tabwright.llm import lines, mixing, ngrams, packing, quality, repeats, sharding, tokens, topk, warc
 from tabwright.llm.common import read
 from tabwright.session import materialize
 
@@ -80,6 +80,32 @@ def kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query(
+    "op5_repeat_removal",
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (
+      SELECT doc_id, unnest(range(0, len(h) // 2 - 399)) AS i, h FROM d WHERE len(h) >= 800),
+    k AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS m FROM w),
+    r AS (SELECT doc_id, i FROM k WHERE m IN (SELECT m FROM k GROUP BY m HAVING count(*) > 1)),
+    g AS (SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, TRUE)::INTEGER AS new FROM r),
+    n AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS nth FROM g),
+    s AS (SELECT doc_id, nth, min(i) AS lo, max(i) + 400 AS hi FROM n GROUP BY 1, 2),
+    p AS (SELECT *, lead(lo) OVER (PARTITION BY doc_id ORDER BY nth) AS next FROM s),
+    t AS (
+      SELECT doc_id, count(*) AS n_spans, sum(hi - lo)::BIGINT AS n_removed,
+        string_agg(substr(h, 2 * hi + 1, 2 * (coalesce(next, len(h) // 2) - hi)), '' ORDER BY nth) AS tail,
+        any_value(substr(h, 1, 2 * (SELECT min(lo) FROM s x WHERE x.doc_id = p.doc_id))) AS head
+      FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(coalesce(head || tail, h))) AS kept_sha256
+    FROM d LEFT JOIN t USING (doc_id)""",
+)
+def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query(
     "op6_ngram_join",
     r"""
