@@ -15,6 +15,11 @@ from tabwright.session import materialize
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    """Character counts that follow a changed text."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base checks or a certified quality rule go."""
     name = scratch_name(docs, "_quality")
@@ -28,7 +33,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lost, count = scratch_name(docs, "_n_dropped"), scratch_name(docs, "_n_lines")
     kept = lines.drop_common_lines(docs, n_lines=count, n_dropped=lost)
     emptied = (F.col(lost) > 0) & (F.btrim("text", F.lit(lines.WHITE)) == "")
-    return kept.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    return _recounted(kept.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +48,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The drawn mix as documents: one row per document and epoch, with the words taken."""
-    return mixing.mixed_documents(docs, mixing.mix_sources(docs))
+    return _recounted(mixing.mixed_documents(docs, mixing.mix_sources(docs)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
