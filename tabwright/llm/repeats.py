@@ -214,19 +214,19 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     covered = materialize(covered.select("a", "b", (F.col("pos") - F.col("hi")).alias("from"), (F.col("pos") - F.col("lo") + length).alias("to")), "covered")
 
     asked = rest.groupBy("a", "b").agg(F.collect_list(F.struct("pos", "lo", "hi", "times")).alias("runs"))
-    asked = texts.join(asked, ["a", "b"])
+    # equal rows are one text from here on; the join has already put them side by side
+    asked = texts.join(asked, ["a", "b"]).dropDuplicates(["a", "b"])
     spans = materialize(asked.mapInPandas(_spans(length), f"{kind}, times int, span binary"), "spans")
     blocks = spans.mapInPandas(_blocks(length), f"{kind}, times int, c1 long, c2 long, u1 long, u2 long")
-    blocks = materialize(blocks.dropDuplicates([*run]), "blocks")
+    blocks = materialize(blocks, "blocks")
     found, rest = _settled(blocks, ["u1", "u2"], ["c1", "c2"], run)
     covered_blocks = found.select("a", "b", (F.col("pos") - F.col("hi")).alias("from"), (F.col("pos") - F.col("lo") + length).alias("to"))
 
     near = rest.groupBy("a", "b", "pos").agg(F.collect_list(F.struct("lo", "hi", "times")).alias("asked"))
-    once = spans.dropDuplicates(run).withColumnsRenamed({"times": "all"})
-    windows = once.join(near, ["a", "b", "pos"]).mapInPandas(
+    windows = spans.withColumnRenamed("times", "all").join(near, ["a", "b", "pos"]).mapInPandas(
         _windows(length), "a long, b long, start long, times int, u1 long, u2 long"
     )
-    windows = materialize(windows.dropDuplicates(["a", "b", "start"]), "windows")
+    windows = materialize(windows, "windows")
     twice = windows.groupBy("u1", "u2").agg(F.sum("times").alias("all"), F.count(F.lit(1)).alias("rows")).where(F.col("all") > 1)
     twice = materialize(twice, "twice")
     single = join_spread(windows, twice, ["u1", "u2"], "rows")
