@@ -266,7 +266,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     ranges = repeated_spans(docs, length, id_col, text_col)
     # a phrase found twice in one row (equal rows) is one range
-    ranges = ranges.distinct().groupBy("a", "b").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+    ranges = ranges.groupBy("a", "b").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
     base = base.select("id", "key.a", "key.b", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
