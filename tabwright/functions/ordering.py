@@ -7,7 +7,9 @@ inside each bucket. No window ever sees more than one bucket of row-level data.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -156,7 +158,7 @@ def ordered_rows(
     """Row-level running sums in (score descending, id ascending) order.
 
     A single score shared by a large part of the table is split further by id range,
-    so tied rows never gather in one window partition.
+    so tied rows never gather in one window partition. Rows without a score come last.
     """
     keys = list(by)
     base = materialize(df.select(*keys, id_col, score, *sums), "rows")
@@ -174,7 +176,10 @@ def ordered_rows(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = rows.select("*", *[F.sum(s).over(inside).alias(f"_i_{d}") for s, d in sums.items()])
-    out = out.join(upto, cell)
+    # null-safe: rows without a score come last and keep their place
+    upto = upto.withColumnsRenamed({c: f"_k_{c}" for c in cell})
+    same = functools.reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cell])
+    out = out.join(upto, same)
     for dst in sums.values():
         out = out.withColumn(dst, F.col(f"_i_{dst}") + F.col(f"_u_{dst}") - F.col(f"_c_{dst}"))
     return out.select(*by, id_col, score, *sums.keys(), *sums.values())

@@ -163,10 +163,14 @@ def calibrated(slope: float, offset: float, margin: str = "margin") -> Column:
     return 1.0 / (1.0 + F.exp(-(F.lit(slope) * F.col(margin) + F.lit(offset))))
 
 
-def support_census(scored: DataFrame, label: str = "y", margin: str = "margin") -> DataFrame:
-    """Rows on or inside the margin per class: (class, rows, support, share of all rows)."""
+def support_census(scored: DataFrame, label: str = "y", margin: str = "margin", tol: float = 1e-3) -> DataFrame:
+    """Rows on or inside the margin per class: (class, rows, support, share of all rows).
+
+    A fitted machine puts rows on the margin at 1 give or take the solver's error, so
+    ``tol`` counts as on the margin.
+    """
     sign = F.when(F.col(label) == 1, 1.0).otherwise(-1.0)
-    held = (sign * F.col(margin) <= 1.0).cast("long")
+    held = (sign * F.col(margin) <= 1.0 + tol).cast("long")
     per_class = scored.groupBy(F.col(label).cast("string").alias("class")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(held).alias("support")
     )

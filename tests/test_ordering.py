@@ -85,3 +85,10 @@ def test_many_buckets_keep_the_order(spark, table):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert got == {float(v): i for i, v in enumerate(sorted(values), 1)} and empty == []
+
+
+def test_ordered_rows_keep_rows_without_a_score(table):
+    rows = [(i, None if i % 8 == 0 else float(i % 5), 1) for i in range(40)]
+    got = ordered_rows(table("id int, s double, one int", rows, parts=4), "id", "s", {"one": "rank"}).collect()
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])] == [r[0] for r in want]
