@@ -93,9 +93,13 @@ def pr_curve(curve: DataFrame) -> DataFrame:
     return pr_points(curve).unionByName(end)
 
 
-def top_k(df: DataFrame, id_col: str, score: str, k: int) -> DataFrame:
-    """The k best rows by (score descending, id ascending)."""
-    if k <= TOP_LIMIT:
+def top_k(df: DataFrame, id_col: str, score: str, k: int, heap: int = TOP_LIMIT) -> DataFrame:
+    """The k best rows by (score descending, id ascending), rows without a score last.
+
+    Up to ``heap`` rows each task keeps its k best; beyond it rows are ranked globally. Both
+    give the same rows.
+    """
+    if k <= heap:
         return df.orderBy(F.desc(score), id_col).limit(k)
     ranked = ordered_rows(df.withColumn("_one", F.lit(1)), id_col, score, {"_one": "_rank"})
     return df.join(ranked.where(F.col("_rank") <= k).select(id_col), id_col, "left_semi")

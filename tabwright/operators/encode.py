@@ -12,10 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.keys import hash_uniform, poisson_count
 from tabwright.functions.ordering import exact_quantiles
-from tabwright.session import fitted
-
-# Widest one-hot block kept as columns; above it use one_hot_long, which has no such limit.
-MAX_LEVELS = 10_000
+from tabwright.session import fitted, materialize
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
@@ -65,11 +62,19 @@ def level_table(fit_df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return cells.where("level IS NOT NULL").distinct()
 
 
-def fit_levels(fit_df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted training levels per column, as text."""
-    rows = level_table(fit_df, cols).limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError("too many levels for indicator columns; use one_hot_long")
+def fit_levels(fit_df: DataFrame, cols: Sequence[str], max_levels: int = 10_000) -> dict[str, list[str]]:
+    """Sorted training levels per column, as text.
+
+    Levels become columns of a plan, so a column of more than ``max_levels`` levels is
+    refused by name; ``one_hot_long`` encodes it without a limit.
+    """
+    levels = level_table(fit_df, cols)
+    if cols:
+        levels = materialize(levels, "levels")
+        wide = levels.groupBy("column").count().where(F.col("count") > max_levels).first()
+        if wide:
+            raise ValueError(f"column {wide['column']} has {wide['count']} levels, over {max_levels}; use one_hot_long")
+    rows = levels.collect()
     found: dict[str, list] = {c: [] for c in cols}
     for r in sorted(rows, key=lambda r: (r["number"] or 0.0, r["level"])):
         found[r["column"]].append(r["level"])
@@ -153,6 +158,7 @@ def fit_design(
     remainder: str = "error",
     ignore: Sequence[str] = (),
     sentinels: Mapping[str, float] | None = None,
+    max_levels: int = 10_000,
 ) -> Design:
     """Fit the encoders of all blocks on training rows and concatenate them.
 
@@ -177,7 +183,7 @@ def fit_design(
         raw |= {c: f"(({raw[c]} - {m!r}D) / {s!r}D)" for c, (m, s) in fit_scaler(clean, numeric).items()}
     feats: list[tuple[str, str, str]] = []
     if categorical:
-        for c, levels in fit_levels(df, categorical).items():
+        for c, levels in fit_levels(df, categorical, max_levels).items():
             for level in levels[1:] if drop == "first" else levels:
                 test = f"CASE WHEN CAST(`{c}` AS STRING) = {_text(level)} THEN 1.0D ELSE 0.0D END"
                 feats.append((f"cat__{c}_{level}", c, test))

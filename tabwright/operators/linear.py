@@ -16,8 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# widest input whose degree-3 monomials are listed exactly; wider inputs get random features
-POLY_EXACT = 24
+KERNELS = ("linear", "rbf", "poly", "poly_random")
 
 
 def _weight_sum(df: DataFrame, weight: str | None) -> float:
@@ -100,13 +99,16 @@ def kernel_map(
 ) -> DataFrame:
     """Explicit feature map whose dot products equal or approximate a kernel.
 
-    rbf: random Fourier features. poly: (gamma x.y)^3, listed exactly up to POLY_EXACT
-    inputs, random products of projections above. The map is p x D numbers drawn from the
-    seed inside each task; rows are mapped batch by batch.
+    rbf: random Fourier features. poly: (gamma x.y)^3 exactly, p (p + 1) (p + 2) / 6 features.
+    poly_random: the same kernel approximated by D random products of projections; the
+    caller chooses between the two by name. A random map is p x D numbers drawn from the seed
+    inside each task; rows are mapped batch by batch.
     """
+    if kernel not in KERNELS:
+        raise ValueError(f"kernel {kernel!r} is none of {KERNELS}")
     if kernel == "linear":
         return df.withColumn(out, F.col(x))
-    exact = kernel == "poly" and p <= POLY_EXACT
+    exact = kernel == "poly"
     scale3 = gamma**1.5
     triples, root = _monomials(p) if exact else (None, None)
 

@@ -4,27 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.moments import pair_sums
 from tabwright.functions.ordering import exact_quantiles, pick
 from tabwright.session import fitted, materialize
 
-# beyond this many columns the pairwise aggregate would outgrow one generated stage
-WIDE = 48
-
-
 def value_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
     """Count (and share) per value, descending."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if not normalize:
         return counts.orderBy(F.desc("n"), col)
-    # the total is summed over the per-value counts, not over the rows again
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), col)
+    # the total is one number, summed over the per-value counts
+    counts = materialize(counts, "value-counts")
+    total = counts.agg(F.sum("n")).first()[0]
+    return counts.withColumn("share", F.col("n") / F.lit(total)).orderBy(F.desc("n"), col)
 
 
 def group_rate(df: DataFrame, by: str, target: str, levels: Sequence | None = None) -> DataFrame:
@@ -79,25 +75,23 @@ def histogram_by(df: DataFrame, by: str, col: str, bins: int = 50) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long (a, b, r). Narrow tables use pairwise-complete correlations in one pass."""
+    """Long (a, b, r) of pairwise-complete correlations, by one rule at every width.
+
+    A row takes part in a pair if both of its values are there. Fewer than two such rows, or
+    a column without variance in them, give null. Columns are centred at their means first
+    (a pass of its own), so large offsets cost no digits.
+    """
     cols = list(cols)
-    if len(cols) > WIDE:
-        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="error").transform(df)
-        matrix = Correlation.corr(vec.select("_v"), "_v").first()[0].toArray()
-        cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-        return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
-    cells = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            r = F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))
-            cells.append((a, b, r))
-    wide = df.agg(*[r.alias(f"_{i}") for i, (_, _, r) in enumerate(cells)])
-    both = []
-    for i, (a, b, _) in enumerate(cells):
-        both.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_{i}").alias("r")))
-        if a != b:
-            both.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"_{i}").alias("r")))
-    return wide.select(F.explode(F.array(*both)).alias("_r")).select("_r.*")
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in cols]).first()
+    sums = pair_sums(df, cols, [m or 0.0 for m in means])
+    n = F.greatest("n", F.lit(1.0))
+    vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
+    flat = (vx <= 1e-13 * F.col("sxx")) | (vy <= 1e-13 * F.col("syy")) | (F.col("n") < 2)
+    r = F.when(~flat, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / (F.sqrt(vx) * F.sqrt(vy)))
+    names = F.array(*[F.lit(c) for c in cols])
+    cells = sums.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), r.alias("r"))
+    both = F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    return cells.select(F.explode(F.when(F.col("a") == F.col("b"), F.slice(both, 1, 1)).otherwise(both)).alias("c")).select("c.*")
 
 
 def box_stats(df: DataFrame, by: str, col: str) -> DataFrame:

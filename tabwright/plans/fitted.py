@@ -16,7 +16,7 @@ from tabwright.plans.registry import query
 from tabwright.session import fresh_path, materialize
 from tabwright.sources import models, tables
 
-KERNELS = ["linear", "rbf", "poly"]
+KERNELS = ["linear", "rbf", "poly_random"]
 
 
 def _encoded(spark, sf, drop="first"):

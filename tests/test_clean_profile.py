@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.operators import clean, profile
+from tabwright.operators import clean, curves, encode, explain, profile
 
 
 def test_drop_columns_raises_only_when_asked(table):
@@ -85,3 +85,45 @@ def test_text_length_counts_characters(table):
     assert profile.table_shape(table("a int, b int", [(1, 2)])).first().asDict() == {"rows": 1, "columns": 2}
     assert profile.value_counts(table("a int", [(1,), (1,), (2,)]), "a").collect()[0]["share"] == pytest.approx(2 / 3)
     assert profile.base_rate(table("y int", [(1,), (0,)]), "y").select(F.round("base_rate", 2)).first()[0] == 0.5
+
+
+@pytest.mark.parametrize("width", [2, 48, 49])
+def test_pairwise_complete_at_every_width(table, width):
+    import numpy as np
+
+    rng = np.random.default_rng(width)
+    x = rng.normal(1e6, 1.0, (80, width))
+    x[:, 1] += x[:, 0]
+    gone = rng.random((80, width)) < 0.15
+    cols = [f"c{i}" for i in range(width)]
+    rows = [tuple(None if g else float(v) for v, g in zip(r, h)) for r, h in zip(x, gone)]
+    df = table(", ".join(f"{c} double" for c in cols), rows, 5)
+    got = {(r["a"], r["b"]): r["r"] for r in profile.correlation_matrix(df, cols).collect()}
+    for i in range(width):
+        for j in range(width):
+            both = ~gone[:, i] & ~gone[:, j]
+            assert got[cols[i], cols[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-8)
+    filled = np.where(gone, 0.0, x)
+    assert np.allclose(explain.gram(df, cols), filled.T @ filled)
+
+
+def test_correlation_without_rows_or_variance(table):
+    df = table("a double, b double, c double", [(0.1, 1.0, None), (0.1, 2.0, None), (0.1, 4.0, 1.0)])
+    got = {(r["a"], r["b"]): r["r"] for r in profile.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert len(got) == 9 and got["b", "b"] == pytest.approx(1.0) and [v for v in got.values() if v is not None] == [got["b", "b"]]
+    empty = profile.correlation_matrix(df.where("b > 9"), ["a", "b"]).collect()
+    assert len(empty) == 4 and all(r["r"] is None for r in empty)
+
+
+def test_top_lists_agree_around_the_heap_limit(table):
+    df = table("id long, s double", [(i, None if i % 4 == 0 else float(i % 5)) for i in range(40)], 4)
+    for k in (9, 10, 11, 35, 40):
+        want = sorted(range(40), key=lambda i: (i % 4 == 0, -(i % 5) if i % 4 else 0, i))[:k]
+        assert {r["id"] for r in curves.top_k(df, "id", "s", k, heap=10).collect()} == set(want)
+
+
+def test_level_limit_is_per_column_and_named(table):
+    df = table("a string, b string", [(str(i), str(i % 2)) for i in range(6)])
+    assert len(encode.fit_levels(df, ["a", "b"], 6)["a"]) == 6
+    with pytest.raises(ValueError, match="column a has 6 levels"):
+        encode.fit_levels(df, ["a", "b"], 5)
