@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -80,14 +82,27 @@ def tree_votes(model, df: DataFrame, keep: Sequence[str], positive: int = 1) ->
 
 
 def ensemble_curve(
-    model: RandomForestClassificationModel, df: DataFrame, sizes: Sequence[int], id_col: str = "id", label: str = "y"
+    model: RandomForestClassificationModel, df: DataFrame, sizes: Sequence[int], label: str = "y"
 ) -> DataFrame:
-    """AUC of the first s trees for every s, from one fitted forest: (n_trees, roc_auc, best)."""
-    votes = tree_votes(model, df, [id_col, label])
-    prefix = [F.avg(F.when(F.col("tree") < s, F.col("p"))).alias(f"_{s}") for s in sizes]
-    per_row = votes.groupBy(id_col, label).agg(*prefix)
-    cells = F.array(*[F.struct(F.lit(int(s)).alias("n_trees"), F.col(f"_{s}").alias("score")) for s in sizes])
-    long = per_row.select(label, F.explode(cells).alias("c")).select(label, "c.*")
+    """AUC of the first s trees for every s, from one fitted forest: (n_trees, roc_auc, best).
+
+    Leaf shares are looked up and averaged inside each row, so only one score per size
+    leaves it; the lookup table is as large as the fitted model.
+    """
+    shares = leaf_table(model, df.sparkSession).collect()
+    table = np.zeros((model.getNumTrees, 1 + max(r["leaf"] for r in shares)))
+    for r in shares:
+        table[r["tree"], r["leaf"]] = r["p"]
+    ends = np.array(sizes, dtype=int)
+
+    @F.pandas_udf("array<double>")
+    def prefixes(leaf: pd.Series) -> pd.Series:
+        votes = table[np.arange(len(table)), np.array(leaf.tolist(), dtype=int).reshape(-1, len(table))]
+        return pd.Series(list(np.cumsum(votes, axis=1)[:, ends - 1] / ends))
+
+    scores = model.transform(df).select(label, prefixes(vector_to_array("leaf")).alias("_s"))
+    cells = F.arrays_zip(F.lit([int(s) for s in sizes]).alias("n_trees"), F.col("_s").alias("score"))
+    long = scores.select(label, F.explode(cells).alias("c")).select(label, "c.n_trees", "c.score")
     area = roc_auc(curve_table(long, label, "score", ["n_trees"]), ["n_trees"])
     top = Window.partitionBy().orderBy(F.desc("roc_auc"), "n_trees")
     return area.withColumn("best", (F.row_number().over(top) == 1).cast("int"))

@@ -17,6 +17,8 @@ from tabwright.session import fresh_path, materialize
 from tabwright.sources import models, tables
 
 KERNELS = ["linear", "rbf", "poly_random"]
+# fixed values: forest sizes of the size curve
+ENSEMBLE_SIZES = [10, 20, 50, 100, 150, 200, 300, 400, 500]
 
 
 def _encoded(spark, sf, drop="first"):
@@ -70,7 +72,7 @@ def logistic_text(spark, sf):
     words = words.select("id", "y", "split", text.ngrams("tokens", 1, 2).alias("terms"))
     table = text.fit_tfidf_vectors(_train(words), "terms").transform(words).select("id", "y", "split", "features")
     table = materialize(table, "tfidf-vectors")
-    model = linear.fit_logistic(_train(table), C=10.0, max_iter=100, tol=1e-6)
+    model = linear.fit_logistic(_train(table), C=1.0, max_iter=1000, tol=1e-6)
     return linear.score_model(model, _test(table)).select("id", "y", "score", "pred")
 
 
@@ -135,7 +137,7 @@ def kernel_compare(spark, sf):
 def _calibration(spark, sf):
     _, _, table = _encoded(spark, sf)
     folded = materialize(split.stratified_folds(_train(table), "id", "y", 5, "folds"), "folded")
-    held = linear.out_of_fold(folded, lambda d: linear.fit_linear_svm(d, max_iter=50, tol=1e-5), linear.margins, 5)
+    held = linear.out_of_fold(folded, linear.fit_linear_svm, linear.margins, 5)
     slope, offset = linear.fit_calibration(materialize(held.select("id", "y", "margin"), "held"))
     return table, slope, offset
 
@@ -237,8 +239,8 @@ def forest(spark, sf):
 
 @query("ensemble_curve")
 def ensemble_curve(spark, sf):
-    _, _, table, model = _forest(spark, sf)
-    return trees.ensemble_curve(model, _test(table), [5, 10, 20, 30, 40, 50])
+    _, _, table, model = _forest(spark, sf, ENSEMBLE_SIZES[-1])
+    return trees.ensemble_curve(model, _test(table), ENSEMBLE_SIZES)
 
 
 @query("oob")
@@ -284,7 +286,7 @@ def permutation_importance_forest(spark, sf):
     def scored(df):
         return linear.score_model(model, design.assemble(df))
 
-    return explain.permutation_importance(held, "id", "y", ["price", "balance", "priority", "segment"], scored, repeats=3)
+    return explain.permutation_importance(held, "id", "y", ["price", "balance", "priority", "segment"], scored, repeats=10)
 
 
 @query("ranked_forest_list")
@@ -295,4 +297,4 @@ def ranked_forest_list(spark, sf):
     held = linear.out_of_fold(
         folded, lambda d: trees.fit_forest(d, n_trees=10, max_depth=5, max_bins=64), linear.score_model, 3)
     base = rows.withColumn("score", F.lit(0.0)).drop("split")
-    return score.ranked_export(base, "id", "score", 500, out_of_fold=held.select("id", "score"))
+    return score.ranked_export(base, "id", "score", 5000, out_of_fold=held.select("id", "score"))
