@@ -114,7 +114,7 @@ def svm_kernel_map(spark, sf):
     table = _vector_table(spark, sf)
     gamma = linear.gamma_scale(_train(table))
     mapped = materialize(linear.kernel_map(table, "rbf", 64, gamma).select("id", "y", "split", "weight", array_to_vector("z").alias("features")), "mapped")
-    model = linear.fit_linear_svm(_train(mapped), weight="weight", max_iter=60)
+    model = linear.fit_linear_svm(_train(mapped), weight="weight")
     return linear.margins(model, mapped.where("split = 'val'")).select("id", "y", "margin")
 
 
@@ -127,7 +127,7 @@ def kernel_compare(spark, sf):
         mapped = linear.kernel_map(table, kernel, 64, gamma).select(
             "id", "y", "split", "weight", array_to_vector("z").alias("features"))
         mapped = materialize(mapped, f"map-{kernel}")
-        model = linear.fit_linear_svm(_train(mapped), weight="weight", max_iter=40)
+        model = linear.fit_linear_svm(_train(mapped), weight="weight")
         held = linear.margins(model, mapped.where("split = 'val'"))
         parts.append(held.select(F.lit(kernel).alias("kernel"), "y", (F.col("margin") > 0).cast("int").alias("pred")))
     long = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -162,7 +162,7 @@ def svm_grid(spark, sf):
     folded = split.stratified_folds(encode.class_weights(_train(table), "y"), "id", "y", 5, "folds")
     return tune.grid_search(
         materialize(folded, "folded"),
-        lambda d, p: linear.fit_linear_svm(d, C=p["C"], weight="weight", max_iter=30, tol=1e-4),
+        lambda d, p: linear.fit_linear_svm(d, C=p["C"], weight="weight"),
         lambda m, d: linear.margins(m, d).withColumn("pred", (F.col("margin") > 0).cast("int")),
         [{"C": c} for c in (0.1, 1.0, 10.0, 100.0)], scorer="f2", positive=0)
 
