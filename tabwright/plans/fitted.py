@@ -172,7 +172,7 @@ def svm_kernel_grid(spark, sf):
     rows = split.stratified_folds(_train(_vector_table(spark, sf)).drop("split"), "id", "y", 5, "folds")
     rows = materialize(rows, "folded")
     gammas = {"scale": linear.gamma_scale(rows), "0.001": 0.001, "0.01": 0.01, "0.1": 0.1}
-    return tune.svm_kernel_grid(rows, ["linear", "rbf"], gammas, [0.1, 1.0, 10.0, 100.0], 64, D=512, max_iter=15)
+    return tune.svm_kernel_grid(rows, KERNELS, gammas, [0.1, 1.0, 10.0, 100.0], 64, max_iter=15)
 
 
 # ---- trees -------------------------------------------------------------------------------
