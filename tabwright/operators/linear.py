@@ -50,6 +50,12 @@ def fit_linear_svm(
     return est.fit(df)
 
 
+def converged(model, max_iter: int) -> bool:
+    """Whether the optimiser of a freshly fitted linear model stopped by itself before ``max_iter``."""
+    summary = model.summary() if callable(model.summary) else model.summary
+    return summary.totalIterations < max_iter
+
+
 def score_model(model, df: DataFrame, positive: int = 1, out: str = "score") -> DataFrame:
     """P(positive) as a plain column, for any probabilistic ML model."""
     scored = model.transform(df)

@@ -1,14 +1,14 @@
-"""k nearest neighbours: exact by bounded tiles, approximate by hashing.
+"""k nearest neighbours: exact by streamed blocks, approximate by hashing or by cells.
 
-Query rows and training rows are cut into blocks of bounded size; a tile is one pair of
-blocks and is the unit of work of one task. A tile emits k rows per query row, never the
-pairs it compares, so the volume that leaves a task is (query rows) x k.
+A task holds one block of query rows and streams training rows past it, keeping the k best
+of each query so far. It emits k rows per query row for a whole strip of training blocks,
+never the pairs it compares, so the volume that leaves a task is (query rows) x k.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,15 +21,18 @@ from tabwright.functions.ordering import exact_quantiles
 from tabwright.session import bucket_target, fitted, materialize
 
 BLOCK = 4096
+# blocks of training rows that one task compares at most
+STRIP = 64
 METRICS = ("euclidean", "manhattan")
 # numbers held at once while a tile compares rows
 _CELLS = 8_000_000
 
 
 def _tile_plan(q: DataFrame, t: DataFrame, width: int) -> DataFrame:
-    """(space, nq, nt): block counts per space, so a crowded space is cut into more tiles.
+    """(space, nq, nt): query blocks and training strips per space; a crowded space gets more.
 
-    The query side is cut further where that is needed to use ``width`` tasks.
+    Strips hold up to STRIP blocks, fewer where that is needed to use ``width`` tasks; then
+    the query side is cut further.
     """
     sizes = fitted(
         q.groupBy("space").agg(F.count(F.lit(1)).alias("_q")).join(
@@ -37,51 +40,93 @@ def _tile_plan(q: DataFrame, t: DataFrame, width: int) -> DataFrame:
         )
     )
     spaces = max(1, sizes.count())
-    nt = F.ceil(F.col("_t") / BLOCK)
+    nq, blocks = F.ceil(F.col("_q") / BLOCK), F.ceil(F.col("_t") / BLOCK)
+    wanted = F.ceil(F.lit(width) / (spaces * nq))
+    nt = F.greatest(F.ceil(F.col("_t") / (BLOCK * STRIP)), F.least(blocks, wanted))
     spread = F.least(F.col("_q"), F.ceil(F.lit(width) / (spaces * nt)))
-    return sizes.select(
-        "space", F.greatest(F.ceil(F.col("_q") / BLOCK), spread).cast("long").alias("nq"), nt.cast("long").alias("nt")
-    )
+    return sizes.select("space", F.greatest(nq, spread).cast("long").alias("nq"), nt.cast("long").alias("nt"))
 
 
 # one row per query and neighbour of a tile; numbers only, the metric is its position in the list
 _TILE = {"metric": "int32", "space": "int64", "query": "int64", "neighbor": "int64", "y": "int64", "distance": "float64"}
 
 
-def _tile_function(metrics: Sequence[str], k: int):
-    """The work of one tile. Self-contained, so executors need numpy and pandas only."""
-    types, cells = dict(_TILE), _CELLS
+def _strip_function(metrics: Sequence[str], k: int):
+    """The work of a task over rows sorted by tile, queries before training rows, then by id.
+
+    Self-contained, so executors need numpy and pandas only.
+    """
+    types, cells, columns = dict(_TILE), _CELLS, 512
 
-    def nearest(q: np.ndarray, t: np.ndarray, metric: str):
-        """For each query row the positions and distances of every row not farther than the k-th."""
+    def nearer(q: np.ndarray, best: dict, t: np.ndarray, tid: np.ndarray, y: np.ndarray, metric: str) -> None:
+        """Merge training rows into the k best of every query row."""
         step = max(1, cells // max(1, t.size))
-        for start in range(0, len(q), step):
-            diff = q[start : start + step, None, :] - t[None, :, :]
+        for lo in range(0, len(q), step):
+            part = slice(lo, lo + step)
+            diff = q[part, None, :] - t[None, :, :]
             dist = np.sqrt((diff * diff).sum(axis=2)) if metric == "euclidean" else np.abs(diff).sum(axis=2)
-            for i, row in enumerate(dist):
-                if len(row) > k:
-                    at = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-                else:
-                    at = np.arange(len(row))
-                yield start + i, at, row[at]
-
-    def tile(key: tuple, queries: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
+            # training rows come by ascending id, so a tie with the k-th loses and a stable sort orders ties
+            hit = dist < best["distance"][part, -1:]
+            rows = np.flatnonzero(hit.any(axis=1))
+            if not len(rows):
+                continue
+            use = np.flatnonzero(hit.any(axis=0))
+            dist, at = np.where(hit, dist, np.inf)[np.ix_(rows, use)], rows + lo
+            every = np.concatenate([best["distance"][at], dist], axis=1)
+            order = np.argsort(every, axis=1, kind="stable")[:, :k]
+            best["distance"][at] = np.take_along_axis(every, order, axis=1)
+            for name, values in (("neighbor", tid[use]), ("y", y[use])):
+                both = np.concatenate([best[name][at], np.broadcast_to(values, dist.shape)], axis=1)
+                best[name][at] = np.take_along_axis(both, order, axis=1)
+
+    def found(space: int, ids: np.ndarray, state: list[dict]) -> pd.DataFrame:
         parts: dict[str, list] = {c: [] for c in types}
-        if len(queries) and len(train):
-            q, t = np.array(queries["x"].tolist(), dtype=float), np.array(train["tx"].tolist(), dtype=float)
-            qid, tid, tlab = queries["id"].to_numpy(), train["tid"].to_numpy(), train["y"].to_numpy()
-            for number, metric in enumerate(metrics):
-                for i, at, dist in nearest(q, t, metric):
-                    order = np.lexsort((tid[at], dist))[:k]
-                    parts["metric"].append(np.full(len(order), number))
-                    parts["space"].append(np.full(len(order), key[0]))
-                    parts["query"].append(np.full(len(order), qid[i]))
-                    parts["neighbor"].append(tid[at][order])
-                    parts["y"].append(tlab[at][order])
-                    parts["distance"].append(dist[order])
-        return pd.DataFrame({c: np.concatenate(v or [[]]).astype(types[c]) for c, v in parts.items()})
-
-    return tile
+        for number, best in enumerate(state):
+            full = np.isfinite(best["distance"])
+            n = int(full.sum())
+            parts["metric"].append(np.full(n, number))
+            parts["space"].append(np.full(n, space))
+            parts["query"].append(np.repeat(ids, full.sum(axis=1)))
+            for name in ("neighbor", "y", "distance"):
+                parts[name].append(best[name][full])
+        return pd.DataFrame({c: np.concatenate(v).astype(types[c]) for c, v in parts.items()})
+
+    def strips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tile, ids, x, state = None, [], [], None
+        for batch in batches:
+            keys = batch[["space", "qb", "tb", "side"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if lo == hi:
+                    continue
+                key, rows = tuple(keys[lo, :3]), batch.iloc[lo:hi]
+                if key != tile:
+                    if state:
+                        yield found(tile[0], ids, state)
+                    tile, ids, x, state = key, [], [], None
+                values = np.array(rows["x"].tolist(), dtype=float)
+                if keys[lo, 3] == 0:
+                    ids.append(rows["id"].to_numpy())
+                    x.append(values)
+                    continue
+                if not len(ids):
+                    continue  # a strip that met no query
+                if state is None:
+                    ids, x = np.concatenate(ids), np.concatenate(x)
+                    size = (len(ids), k)
+                    state = [
+                        {"distance": np.full(size, np.inf), "neighbor": np.zeros(size, np.int64), "y": np.zeros(size, np.int64)}
+                        for _ in metrics
+                    ]
+                tid, y = rows["id"].to_numpy(), rows["y"].to_numpy().astype(np.int64)
+                for at in range(0, len(tid), columns):
+                    part = slice(at, at + columns)
+                    for best, metric in zip(state, metrics, strict=True):
+                        nearer(x, best, values[part], tid[part], y[part], metric)
+        if state:
+            yield found(tile[0], ids, state)
+
+    return strips
 
 
 def knn_neighbors(
@@ -91,7 +136,8 @@ def knn_neighbors(
 
     ``train`` is (id, x, y), ``query`` (id, x); x is array<double>. With ``space`` both
     carry that integral column and only rows of one space are compared (one space per fold).
-    Neighbours are ordered by (distance, id).
+    Neighbours are ordered by (distance, id). Ids are whole numbers; rows whose distance is no
+    finite number are not neighbours.
     """
     key = F.lit(0) if space is None else F.col(space)
     q = query.select(key.cast("long").alias("space"), "id", "x")
@@ -116,17 +162,18 @@ def knn_neighbors(
         .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1)))
     )
     tile = ["space", "qb", "tb"]
-    # a fixed number of partitions: tiles are small in bytes but heavy in work, so they must
-    # not be merged by size; sixteen tiles per task at most
+    # a fixed number of partitions: strips are small in bytes but heavy in work, so they must
+    # not be merged by size; a few strips per task at most
     tasks = plan.agg(F.sum(F.col("nq") * F.col("nt"))).first()[0] or 1
-    parts = max(min(tasks, width), math.ceil(tasks / 16))
-    q_tiles = q_tiles.drop("nq", "nt").repartition(parts, *tile)
-    t_tiles = t_tiles.drop("nq", "nt").repartition(parts, *tile)
+    parts = max(min(tasks, width), math.ceil(tasks / 4))
+    both = q_tiles.select(*tile, F.lit(0).alias("side"), "id", "x", F.lit(0).cast("long").alias("y")).unionByName(
+        t_tiles.select(*tile, F.lit(1).alias("side"), F.col("tid").alias("id"), F.col("tx").alias("x"), "y")
+    )
     found = (
-        q_tiles.groupBy(*tile)
-        .cogroup(t_tiles.groupBy(*tile))
-        .applyInPandas(
-            _tile_function(tuple(metrics), k),
+        both.repartition(parts, *tile)
+        .sortWithinPartitions(*tile, "side", "id")
+        .mapInPandas(
+            _strip_function(tuple(metrics), k),
             "metric int, space long, query long, neighbor long, y long, distance double",
         )
     )
@@ -281,3 +328,58 @@ def neighbor_recall(found: DataFrame, exact: DataFrame) -> DataFrame:
         found.select("query", "neighbor", F.lit(1).alias("_hit")), ["query", "neighbor"], "left"
     )
     return hits.agg(F.avg(F.coalesce("_hit", F.lit(0)).cast("double")).alias("recall"))
+
+
+def _cell_numbers(pivots: np.ndarray, n: int):
+    """The ``n`` nearest pivots of each vector, nearest first; ties go to the smaller number."""
+
+    @F.pandas_udf("array<long>")
+    def numbers(x: pd.Series) -> pd.Series:
+        out = []
+        for lo in range(0, len(x), 4096):
+            m = np.array(x.iloc[lo : lo + 4096].tolist(), dtype=float).reshape(-1, pivots.shape[1])
+            far = (pivots * pivots).sum(axis=1) - 2.0 * (m @ pivots.T)
+            out += list(np.argsort(far, axis=1, kind="stable")[:, :n])
+        return pd.Series(out)
+
+    return numbers
+
+
+def _pivots(train: DataFrame, cells: int, seed: int) -> np.ndarray:
+    drawn = train.select("x").distinct().orderBy(F.xxhash64(F.col("x").cast("string"), F.lit(seed)), "x").limit(cells)
+    return np.array([r["x"] for r in drawn.collect()], dtype=float)
+
+
+def knn_cells(
+    train: DataFrame, query: DataFrame, k: int, cells: int = 64, probes: int = 24, metric: str = "euclidean", seed: int = 7,
+) -> DataFrame:
+    """Neighbours found in the ``probes`` cells nearest to a query, out of ``cells``.
+
+    Pivots are that many distinct training vectors, first in hash order: the only thing the
+    driver gets. Every training row belongs to the cell of its nearest pivot, so no pair is
+    compared twice and the work stays below that of the exact search, whatever the data;
+    ``cell_cost`` measures it. A cell is a space of the exact search, so a crowded one is cut.
+    Unlike buckets of projections this needs no bucket length. (query, rank, neighbor, y, distance).
+    """
+    pivots = _pivots(train, cells, seed)
+    if not len(pivots):
+        return knn_neighbors(train, query, k, [metric]).drop("metric")
+    t, q = _in_cells(train, query, pivots, probes)
+    found = knn_neighbors(t, q, k, [metric], "space")
+    nearest = Window.partitionBy("query").orderBy("distance", "neighbor")
+    ranked = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+    return ranked.select("query", "rank", "neighbor", "y", "distance")
+
+
+def _in_cells(train: DataFrame, query: DataFrame, pivots: np.ndarray, probes: int) -> tuple[DataFrame, DataFrame]:
+    t = train.select("id", "x", "y", _cell_numbers(pivots, 1)("x")[0].alias("space"))
+    q = query.select("id", "x", F.explode(_cell_numbers(pivots, probes)("x")).alias("space"))
+    return materialize(t, "train-cells"), materialize(q, "query-cells")
+
+
+def cell_cost(train: DataFrame, query: DataFrame, cells: int = 64, probes: int = 24, seed: int = 7) -> DataFrame:
+    """Share of all (query, training row) pairs that ``knn_cells`` compares: (compared_share)."""
+    pivots = _pivots(train, cells, seed)
+    t, q = _in_cells(train, query, pivots, probes)
+    held = t.groupBy("space").agg(F.count(F.lit(1)).alias("_t")).join(q.groupBy("space").agg(F.count(F.lit(1)).alias("_q")), "space")
+    return held.agg((F.sum(F.col("_t") * F.col("_q")) / F.lit(float(train.count()) * query.count())).alias("compared_share"))

@@ -2,7 +2,8 @@
 
 A holdout is "the first q rows of each class in hash order". Counts per hash bucket and one
 look into the bucket at the edge give the hash of the q-th row; from then on the split is a
-comparison inside a projection. Folds need every row's rank and use one bucketed window.
+comparison inside a projection. Folds come in two forms: dealt in turn by rank, which needs
+every row's rank and one bucketed window, or cut from the hash order, which moves nothing.
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ def _ceil_share(n: str, share: float) -> Column:
     return F.ceil(F.sum(n).over(Window.partitionBy()) * F.lit(float(share)))
 
 
-def _by_cuts(df: DataFrame, id_col: str, label: str, seed, quotas: DataFrame, parts: dict, buckets, out: str) -> DataFrame:
+def _by_cuts(
+    df: DataFrame, id_col: str, label: str, seed, quotas: DataFrame, parts: dict, buckets, out: str, rest="train"
+) -> DataFrame:
     """Name each row by the first cut its hash does not exceed; a projection, nothing moves."""
     cuts = hash_cuts(df, id_col, seed, label, quotas, list(parts.values()), buckets)
     renamed = cuts.select(F.col(label), *[F.col(q).alias(f"_cut{q}") for q in parts.values()])
@@ -48,7 +51,7 @@ def _by_cuts(df: DataFrame, id_col: str, label: str, seed, quotas: DataFrame, pa
     for part, q in parts.items():
         test = h <= F.col(f"_cut{q}")
         name = F.when(test, part) if name is None else name.when(test, part)
-    return df.join(renamed, label, "left").withColumn(out, name.otherwise("train")).select(*df.columns, out)
+    return df.join(renamed, label, "left").withColumn(out, name.otherwise(rest)).select(*df.columns, out)
 
 
 def stratified_split(
@@ -93,6 +96,30 @@ def stratified_folds(
     )
 
 
+def stratified_cut_folds(
+    df: DataFrame, id_col: str, label: str, k: int = 5, seed=42, out: str = "fold"
+) -> DataFrame:
+    """Fold number 0..k-1 as runs of each class's hash order; class counts of two folds differ by one at most.
+
+    Fold sizes are those of ``stratified_folds``, but k - 1 cuts per class name the rows in a
+    projection, so wide rows (texts) are neither ranked nor moved. Ids must be unique.
+    """
+    if k < 2:
+        return df.withColumn(out, F.lit(0))
+    buckets = hash_buckets(df, id_col, seed, [label])
+    counts = buckets.groupBy(label).agg(F.sum("_n").alias("_n"))
+    before = Window.partitionBy().orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    dealt = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # places of the class that fall to folds 0..f when all rows are dealt in turn
+    upto, names = F.lit(0), {}
+    quotas = dealt
+    for f in range(k - 1):
+        upto = upto + F.expr(f"(_before + _n - 1 - {f} + {k}) div {k} - (_before - 1 - {f} + {k}) div {k}")
+        names[f] = f"_q{f}"
+        quotas = quotas.withColumn(names[f], upto)
+    return _by_cuts(df, id_col, label, seed, quotas, names, buckets, out, k - 1)
+
+
 def merge_splits(df: DataFrame, names: Sequence[str], split: str = "split") -> DataFrame:
     """Rows of several splits together, for a refit before the single test evaluation."""
     return df.where(F.col(split).isin(*names))

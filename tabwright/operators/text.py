@@ -10,14 +10,13 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.session import materialize
+from tabwright.session import bucket_target, materialize
 
 # Fixed value: a token is a run of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
-# A fitted table up to this size is broadcast; a larger one is joined with a salted key.
+# A fitted table up to this size is broadcast; of a larger one only the hot terms are.
 BROADCAST_BYTES = 64 << 20
-SALTS = 16
 
 
 def tokens(text: Column) -> Column:
@@ -72,19 +71,23 @@ def _table_bytes(table: DataFrame) -> int:
     return (row["b"] or 0) + row["n"] * (32 + 8 * len(table.columns))
 
 
-def join_terms(rows: DataFrame, table: DataFrame, keys: Sequence[str] = ("term",), spread: str = "id") -> DataFrame:
+def join_terms(rows: DataFrame, table: DataFrame, keys: Sequence[str] = ("term",)) -> DataFrame:
     """Inner join of row-level terms to a written per-term table.
 
     Frequent terms are hot keys. A table measured below BROADCAST_BYTES is broadcast, so no
-    row moves; a larger one is repeated per salt and the rows of one term are spread over
-    the salts.
+    row moves. Of a larger one the entries of hot terms are broadcast: those above 1/(4P) of
+    all rows (P = shuffle width), hence fewer than 4P; the rows of all other terms meet
+    their entry in an ordinary shuffle join.
     """
     keys = list(keys)
     if _table_bytes(table) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), keys)
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread_rows = rows.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS)))
-    return spread_rows.join(salted, [*keys, "_salt"]).drop("_salt")
+    often = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "term-rows")
+    limit = (often.agg(F.sum("_n")).first()[0] or 0) / (4 * bucket_target(rows.sparkSession))
+    hot = often.where(F.col("_n") > limit).select(*keys)
+    near = rows.join(F.broadcast(table.join(F.broadcast(hot), keys, "left_semi")), keys)
+    far = rows.join(F.broadcast(hot), keys, "left_anti").join(table, keys)
+    return near.unionByName(far)
 
 
 def fit_idf(train_counts: DataFrame, n_docs: int, min_df: int = 2, max_df: float = 0.9) -> DataFrame:
@@ -99,7 +102,7 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str = "id", sublinear: bool
     tf = F.col("tf").cast("double")
     weight = (1.0 + F.log(tf)) if sublinear else tf
     keep = [c for c in counts.columns if c not in ("tf",)]
-    raw = join_terms(counts, idf.select("term", "idf"), spread=id_col).withColumn(
+    raw = join_terms(counts, idf.select("term", "idf")).withColumn(
         "_x", weight * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(id_col)))

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import text
 from tabwright.operators.curves import curve_table, roc_auc
-from tabwright.operators.linear import fit_linear_svm, kernel_map, margins
-from tabwright.operators.metrics import binary_scores
+from tabwright.operators.decide import apply_threshold
+from tabwright.operators.linear import converged, fit_linear_svm, kernel_map, margins
+from tabwright.operators.metrics import binary_scores, classification_report
 from tabwright.session import materialize
 
 
@@ -97,7 +98,7 @@ def nb_grid(
     vocab = materialize(vocab, "grid-idf")
 
     # values of every document under every fold's idf, for each n-gram range it belongs to
-    raw = text.join_terms(counts, vocab, spread=id_col)
+    raw = text.join_terms(counts, vocab)
     raw = raw.withColumn("hi", F.explode(F.filter(F.array(*[F.lit(h) for h in his]), lambda h: h >= F.col("n"))))
     tf = 1.0 + F.log(F.col("tf").cast("double"))
     raw = raw.withColumns({f"_x{f}": tf * F.col(f"_i{f}") for f in fs})
@@ -127,7 +128,7 @@ def nb_grid(
         return F.element_at(F.array(*[F.col(n) for n in names]), F.col(fold) + 1)
 
     held = values.select("hi", id_col, fold, "term", of_fold([f"_v{f}" for f in fs]).alias("value")).where("value IS NOT NULL")
-    held = text.join_terms(held, fit, ("hi", "term"), id_col).select(
+    held = text.join_terms(held, fit, ("hi", "term")).select(
         "hi", id_col, fold, "value", of_fold([f"_s{f}_0" for f in fs]).alias("s0"), of_fold([f"_s{f}_1" for f in fs]).alias("s1")
     )
     margins = held.groupBy("hi", id_col).agg(
@@ -168,10 +169,12 @@ def nb_grid(
 
 def grid_search(
     rows: DataFrame, fit: Callable, predict: Callable, grid: Sequence[Mapping], scorer: str = "f1", positive=1,
-    label: str = "y", fold: str = "fold", k: int = 5, parallelism: int = 4,
+    label: str = "y", fold: str = "fold", k: int = 5, parallelism: int = 4, settled: Callable | None = None,
 ) -> DataFrame:
     """Cross-validated search for iterative models: (params..., mean_score, std_score, folds, rank).
 
+    With ``settled(model)`` a column ``converged`` tells whether every fit of a point settled.
+
     ``fit(train, params)`` gives a model, ``predict(model, rows)`` adds ``pred``. The encoded
     rows are kept once for all points; points run from a few driver threads so that small
     fits overlap, and each fit is itself a distributed job.
@@ -182,7 +185,8 @@ def grid_search(
         point, f = task
         model = fit(kept.where(F.col(fold) != f), grid[point])
         held = predict(model, kept.where(F.col(fold) == f))
-        return point, f, float(binary_scores(held, label, "pred", positive, (), [scorer]).first()[0])
+        value = float(binary_scores(held, label, "pred", positive, (), [scorer]).first()[0])
+        return point, f, value, settled(model) if settled else True
 
     try:
         with ThreadPool(parallelism) as pool:
@@ -190,19 +194,34 @@ def grid_search(
     finally:
         kept.unpersist()
     names = list(grid[0])
-    scores = rows.sparkSession.createDataFrame(done, "point int, fold int, score double")
+    scores = rows.sparkSession.createDataFrame([d[:3] for d in done], "point int, fold int, score double")
     table = cv_results(scores, ["point"])
     values = F.array(*[F.struct(*[F.lit(g[n]).alias(n) for n in names]) for g in grid])
-    return table.select(F.element_at(values, F.col("point") + 1).alias("_p"), "*").select(
+    out = table.select(F.element_at(values, F.col("point") + 1).alias("_p"), "*").select(
         "point", "_p.*", "mean_score", "std_score", "folds", "rank"
     )
+    if settled is None:
+        return out
+    fine = F.array(*[F.lit(all(d[3] for d in done if d[0] == p)) for p in range(len(grid))])
+    return out.withColumn("converged", F.element_at(fine, F.col("point") + 1))
+
+
+def report_at_threshold(scored: DataFrame, choose: Callable[[DataFrame], DataFrame], y: str = "y", score: str = "score", split: str = "split") -> DataFrame:
+    """Classification report of the test rows at a threshold that ``choose`` picks on the validation rows.
+
+    The last step of search, refit, threshold, one evaluation: the test rows are read once,
+    after every choice is made. ``scored`` is a written table with rows of both splits.
+    """
+    cut = choose(scored.where(F.col(split) == "val")).first()["threshold"]
+    test = apply_threshold(scored.where(F.col(split) == "test"), score, cut)
+    return classification_report(test, y, "pred").withColumn("threshold", F.lit(float(cut)))
 
 
 def svm_kernel_grid(
     rows: DataFrame, kernels: Sequence[str], gammas: Mapping[str, float], costs: Sequence[float], p: int, k: int = 5,
     D: int = 2048, scorer: str = "f2", positive=0, max_iter: int = 30,
 ) -> DataFrame:
-    """(kernel, gamma, C, mean_score, std_score, folds, rank) over mapped-kernel linear machines.
+    """(kernel, gamma, C, mean_score, std_score, folds, converged, rank) over mapped-kernel linear machines.
 
     ``rows`` is (id, x, y, fold, weight). Each (kernel, gamma) map is computed once and shared
     by every C and fold; the linear kernel has no gamma and is searched once.
@@ -216,8 +235,8 @@ def svm_kernel_grid(
                 materialize(mapped, "mapped"),
                 lambda d, g: fit_linear_svm(d, C=g["C"], weight="weight", max_iter=max_iter, tol=1e-4),
                 lambda m, d: margins(m, d).withColumn("pred", (F.col("margin") > 0).cast("int")),
-                [{"C": float(c)} for c in costs], scorer, positive, k=k)
-            parts.append(found.select(F.lit(kernel).alias("kernel"), F.lit(name).alias("gamma"), "C", "mean_score", "std_score", "folds"))
+                [{"C": float(c)} for c in costs], scorer, positive, k=k, settled=lambda m: converged(m, max_iter))
+            parts.append(found.select(F.lit(kernel).alias("kernel"), F.lit(name).alias("gamma"), "C", "mean_score", "std_score", "folds", "converged"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

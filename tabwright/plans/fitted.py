@@ -164,7 +164,7 @@ def svm_grid(spark, sf):
         materialize(folded, "folded"),
         lambda d, p: linear.fit_linear_svm(d, C=p["C"], weight="weight"),
         lambda m, d: linear.margins(m, d).withColumn("pred", (F.col("margin") > 0).cast("int")),
-        [{"C": c} for c in (0.1, 1.0, 10.0, 100.0)], scorer="f2", positive=0)
+        [{"C": c} for c in (0.1, 1.0, 10.0, 100.0)], scorer="f2", positive=0, settled=lambda m: linear.converged(m, 200))
 
 
 @query("svm_kernel_grid")

@@ -139,3 +139,23 @@ SELECT r.*, CAST((o._before + r._r - 1) % {k} AS INTEGER) AS fold
 FROM (SELECT s.*, row_number() OVER (PARTITION BY y ORDER BY {sql_hash(seed, 'id')}, id) AS _r FROM {source} s) r
 JOIN (SELECT y, coalesce(sum(n) OVER (ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before
       FROM (SELECT y, count(*) AS n FROM {source} GROUP BY y)) o ON r.y = o.y"""
+
+
+def sql_cut_folds(source: str, k: int = 5, seed: str = "42") -> str:
+    """Twin of stratified_cut_folds: runs of each class's hash order."""
+    share = [f"(o._before + o.n - 1 - {f} + {k}) // {k} - (o._before - 1 - {f} + {k}) // {k}" for f in range(k - 1)]
+    cases = " ".join(f"WHEN r._r <= {' + '.join(share[: f + 1])} THEN {f}" for f in range(k - 1))
+    return f"""
+SELECT r.* EXCLUDE (_r), CAST(CASE {cases} ELSE {k - 1} END AS INTEGER) AS fold
+FROM (SELECT s.*, row_number() OVER (PARTITION BY y ORDER BY {sql_hash(seed, 'id')}, id) AS _r FROM {source} s) r
+JOIN (SELECT y, n, CAST(coalesce(sum(n) OVER (ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS _before
+      FROM (SELECT y, count(*) AS n FROM {source} GROUP BY y)) o ON r.y = o.y"""
+
+
+def sql_split3(source: str, holdout: float = 0.4, test_of_holdout: float = 0.5, seed: str = "42") -> str:
+    """``source`` plus a ``split`` column in train, val, test; the twin of stratified_split3."""
+    return f"""
+WITH q1 AS ({sql_quota(source, holdout, out='_q1')}), q2 AS ({sql_quota('(SELECT y, _q1 AS _n FROM q1)', test_of_holdout, n='_q1', out='_q2')}),
+r AS (SELECT s.*, row_number() OVER (PARTITION BY y ORDER BY {sql_hash(seed, 'id')}, id) AS _r FROM {source} s)
+SELECT r.* EXCLUDE (_r), CASE WHEN _r <= _q2 THEN 'test' WHEN _r <= _q1 THEN 'val' ELSE 'train' END AS split
+FROM r JOIN q1 ON r.y = q1.y JOIN q2 ON r.y = q2.y"""

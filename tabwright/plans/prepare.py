@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.keys import tidy
 from tabwright.operators import clean, profile, split
 from tabwright.plans.frames import (
-    CAMPAIGN_SQL, LABELLED_SQL, campaign, labelled_documents, orders, sql_folds, sql_quota, sql_hash, sql_split,
+    CAMPAIGN_SQL, LABELLED_SQL, campaign, labelled_documents, orders, sql_cut_folds, sql_folds, sql_quota, sql_hash, sql_split,
     sql_tidy,
 )
 from tabwright.plans.registry import query
@@ -294,6 +294,11 @@ def folds(spark, sf):
     return split.stratified_folds(_status_orders(spark, sf), "id", "y")
 
 
+@query("cut_folds", f"WITH t AS ({STATUS_ORDERS_SQL}) SELECT id, y, fold FROM ({sql_cut_folds('t')})")
+def cut_folds(spark, sf):
+    return split.stratified_cut_folds(_status_orders(spark, sf), "id", "y")
+
+
 @query("merge_splits", f"WITH t AS ({STATUS_ORDERS_SQL}), {_THREE_SQL} SELECT id, split FROM p WHERE split IN ('train', 'val')")
 def merge_splits(spark, sf):
     rows = split.stratified_split3(_status_orders(spark, sf), "id", "y")

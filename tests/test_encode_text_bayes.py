@@ -231,3 +231,13 @@ def test_csv_latin1_and_rules_files(spark, table):
     assert tables.take_columns(df, 1, ["label"]).columns == ["label"]
     with pytest.raises(Exception):
         tables.write_csv(df, path)  # an export never overwrites silently
+
+
+def test_hot_terms_of_a_large_table_stay_where_they_are(table, monkeypatch):
+    monkeypatch.setattr(text, "BROADCAST_BYTES", 0)
+    rows = [(i, "common") for i in range(400)] + [(i, f"rare{i}") for i in range(300)] + [(1, "unknown")]
+    terms = [("common", 0.5), *[(f"rare{i}", float(i)) for i in range(300)]]
+    joined = text.join_terms(table("id long, term string", rows, 4), table("term string, w double", terms))
+    assert sorted((r["id"], r["term"], r["w"]) for r in joined.collect()) == sorted(
+        [(i, "common", 0.5) for i in range(400)] + [(i, f"rare{i}", float(i)) for i in range(300)])
+    assert "LeftAnti, BuildRight" in joined._jdf.queryExecution().executedPlan().toString()

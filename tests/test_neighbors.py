@@ -107,3 +107,41 @@ def test_medians_come_from_each_spaces_own_rows(table):
     got = {r["id"]: r["x"][0] for r in neighbors.impute_arrays(df, df, "x", "s").collect()}
     assert got == {1: 1.0, 2: 2.5, 3: 4.0, 4: 9.0, 5: 9.0}
     assert neighbors.impute_arrays(df, df).where("id = 2").first()["x"] == [4.0]
+
+
+@pytest.mark.parametrize("strip", [1, 3, 64])
+def test_strips_keep_the_best_of_all_blocks(table, monkeypatch, strip):
+    monkeypatch.setattr(neighbors, "BLOCK", 16)
+    monkeypatch.setattr(neighbors, "STRIP", strip)
+    schema = "id long, x array<double>, y int"
+    # whole numbers: many equal distances, which only the id decides
+    train = [(i, [float(round(v)) for v in x], y) for i, x, y in _data(1300, 11, 3, 2.0)]
+    query = [(i, [float(round(v)) for v in x], y) for i, x, y in _data(50, 12, 3, 2.0)]
+    got = _collect(neighbors.knn_neighbors(table(schema, train[::-1], 5), table(schema, query, 2), 9, neighbors.METRICS))
+    for metric in neighbors.METRICS:
+        want = _brute(train, query, 9, metric)
+        assert {q: got[(metric, q)] for q in want} == want
+
+
+def test_fewer_training_rows_than_neighbours(table):
+    schema = "id long, x array<double>, y int"
+    near = neighbors.knn_neighbors(table(schema, _data(3, 1)), table(schema, _data(4, 2)), 7)
+    assert near.count() == 12
+    assert neighbors.knn_neighbors(table(schema, []), table(schema, _data(4, 2)), 7).count() == 0
+
+
+def test_cells_find_most_neighbours_with_less_work(table):
+    rng = np.random.default_rng(13)
+    schema = "id long, x array<double>, y int"
+    centre = rng.normal(0, 4, (20, 8))
+    rows = [(i, (centre[i % 20] + rng.normal(0, 1, 8)).tolist(), 0) for i in range(1200)]
+    # a third of the rows is one vector
+    rows = [(i, rows[0][1] if i % 3 == 0 else x, y) for i, x, y in rows]
+    train, query = table(schema, rows[:1100], 4), table(schema, rows[1100:], 2)
+    exact = neighbors.knn_neighbors(train, query, 5)
+    found = neighbors.knn_cells(train, query, 5, cells=32, probes=8)
+    assert neighbors.neighbor_recall(found, exact).first()[0] > 0.95
+    assert neighbors.cell_cost(train, query, cells=32, probes=8).first()[0] < 0.7
+    assert found.groupBy("query").count().agg(F.max("count")).first()[0] <= 5
+    every = neighbors.knn_cells(train, query, 5, cells=32, probes=32)
+    assert neighbors.neighbor_recall(every, exact).first()[0] == 1.0

@@ -62,3 +62,23 @@ def test_split_moves_no_rows(table):
     df = split.stratified_split(table("id long, y int", _labels({0: 50, 1: 9}), 3), "id", "y")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "SinglePartition" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_cut_folds_are_runs_of_the_hash_order(table):
+    import hashlib
+
+    rows = [(i, "big" if i < 403 else "small" if i < 410 else "one") for i in range(411)]
+    df = table("id long, y string", rows, 5)
+    got = {r["id"]: r["fold"] for r in split.stratified_cut_folds(df, "id", "y", 5, seed=3).collect()}
+    assert len(got) == 411
+    dealt = Counter((r["y"], r["fold"]) for r in split.stratified_folds(df, "id", "y", 5).collect())
+    assert Counter((y, got[i]) for i, y in rows) == dealt
+    for y in ("big", "small", "one"):
+        order = sorted((i for i, c in rows if c == y), key=lambda i: hashlib.md5(f"3~{i}".encode()).hexdigest())
+        assert [got[i] for i in order] == sorted(got[i] for i in order)
+
+
+def test_cut_folds_move_no_rows(table):
+    df = table("id long, y int, text string", [(i, i % 2, "x") for i in range(50)], 3)
+    plan = split.stratified_cut_folds(df, "id", "y", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" not in plan and "SortMergeJoin" not in plan
