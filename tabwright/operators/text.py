@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tabwright.session import bucket_target, materialize
+from tabwright.functions.ordering import hash_rank
+from tabwright.session import bucket_target, fresh_path, materialize
 
 # Fixed value: a token is a run of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -114,6 +116,31 @@ def binarize_presence(values: DataFrame) -> DataFrame:
     return values.where("value > 0").withColumn("value", F.lit(1.0))
 
 
+def term_vectors(docs: DataFrame, values: DataFrame, vocab: DataFrame, id_col: str = "id", out: str = "features") -> DataFrame:
+    """``docs`` plus sparse vectors of their (id, term, value) rows, written once.
+
+    Terms are numbered by their rank in a hash order of ``vocab``, found without gathering it:
+    the vocabulary never visits the driver. Documents without a known term get an empty
+    vector. Only the optimiser's coefficients, one number per term, are kept whole.
+    """
+    spark = docs.sparkSession
+    numbers = materialize(hash_rank(vocab.select("term"), "term", "vocabulary", rank="_at"), "term-numbers")
+    cells = join_terms(values.select(id_col, "term", "value"), numbers).groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct((F.col("_at") - 1).cast("int").alias("at"), "value"))).alias("_c")
+    )
+    rows = docs.join(cells, id_col, "left")
+    # the fields of a sparse vector as Spark ML stores it
+    vector = F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(vocab.count()).cast("int").alias("size"),
+        F.coalesce(F.col("_c.at"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("_c.value"), F.array().cast("array<double>")).alias("values"),
+    )
+    path = fresh_path(spark, "term-vectors")
+    rows.select(*docs.columns, vector.alias(out)).write.parquet(path)
+    schema = StructType([*docs.schema.fields, StructField(out, VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def fit_tfidf_vectors(train: DataFrame, terms: str, min_df: int = 2, max_df: float = 0.9, out: str = "features") -> PipelineModel:
     """The same weights as sparse vectors, for optimisers that keep one coefficient per term.
 

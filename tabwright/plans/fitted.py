@@ -66,12 +66,11 @@ def logistic_weighted(spark, sf):
 @query("logistic_text")
 def logistic_text(spark, sf):
     """Logistic regression on unit-length tf-idf of one- and two-word terms."""
-    docs = clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id")
+    docs = materialize(clean.dedup_rows(labelled_documents(spark, sf), ["text"], "id"), "texts")
     docs = split.stratified_split(docs, "id", "y")
-    words = materialize(docs.select("id", "y", "split", text.tokens(F.col("text")).alias("tokens")), "words")
-    words = words.select("id", "y", "split", text.ngrams("tokens", 1, 2).alias("terms"))
-    table = text.fit_tfidf_vectors(_train(words), "terms").transform(words).select("id", "y", "split", "features")
-    table = materialize(table, "tfidf-vectors")
+    counts = materialize(text.term_counts(docs, "id", "text", 1, 2, keep=["split"]), "counts")
+    idf = text.fit_idf(_train(counts), _train(docs).count())
+    table = text.term_vectors(docs.select("id", "y", "split"), text.tfidf(counts, idf), idf)
     model = linear.fit_logistic(_train(table), C=1.0, max_iter=1000, tol=1e-6)
     return linear.score_model(model, _test(table)).select("id", "y", "score", "pred")
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+_SCOPES: list[str] = []
 # largest fitted table kept as literal rows
 SMALL_ROWS = 20_000
 
@@ -48,8 +51,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """New path below one folder per application, so a finished run can be removed as a whole."""
-    return f"{shared_dir(spark)}/tabwright-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """New path below one folder per application (and scope), so a finished run can be removed as a whole."""
+    inner = "".join(f"/{name}" for name in _SCOPES)
+    return f"{shared_dir(spark)}/tabwright-{spark.sparkContext.applicationId}{inner}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove all intermediate tables written inside the block when it ends.
+
+    The caller writes or collects its results before that: a DataFrame made inside cannot be
+    read afterwards. Scopes nest; one driver thread opens and closes them.
+    """
+    _SCOPES.append(f"scope-{uuid.uuid4().hex}")
+    folder = os.path.dirname(fresh_path(spark, "any"))
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -241,3 +241,33 @@ def test_hot_terms_of_a_large_table_stay_where_they_are(table, monkeypatch):
     assert sorted((r["id"], r["term"], r["w"]) for r in joined.collect()) == sorted(
         [(i, "common", 0.5) for i in range(400)] + [(i, f"rare{i}", float(i)) for i in range(300)])
     assert "LeftAnti, BuildRight" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_term_vectors_equal_the_vectorizer_up_to_order(table):
+    df = table("id long, text string, y int", [*DOCS, (99, "?", 0)], 3)
+    counts = text.term_counts(df, "id", "text")
+    idf = text.fit_idf(counts, df.count())
+    values = text.tfidf(counts, idf)
+    got = {r["id"]: r["features"] for r in text.term_vectors(df.select("id", "y"), values, idf).collect()}
+    want: dict = {}
+    for r in values.collect():
+        want.setdefault(r["id"], []).append(r["value"])
+    assert len(got) == df.count() and not len(got[99].indices)
+    for i, v in got.items():
+        assert v.size == idf.count() and list(v.indices) == sorted(set(v.indices))
+        assert sorted(v.values) == pytest.approx(sorted(want.get(i, [])))
+
+
+def test_scratch_scope_removes_what_was_written_inside(spark, table):
+    import os
+
+    from tabwright.session import materialize, scratch_scope
+
+    kept = materialize(table("a int", [(1,)]), "outer")
+    with scratch_scope(spark):
+        inner = materialize(table("a int", [(2,)]), "inner")
+        with scratch_scope(spark):
+            deep = materialize(table("a int", [(3,)]), "deep").inputFiles()[0]
+        assert inner.count() == 1 and not os.path.exists(deep.removeprefix("file://"))
+        gone = inner.inputFiles()[0].removeprefix("file://")
+    assert kept.count() == 1 and not os.path.exists(gone)
