@@ -159,7 +159,7 @@ def histogram_shards(
     cells, total = splitters(keys, shards, tolerance)
     if not cells:
         return rows.drop(h, i).withColumns({shard: F.lit(0), slot: F.lit(0).cast("long")})
-    cells = _merged(cells, shards, total)
+    cells = _merged(cells, shards, total, bucket_target(docs.sparkSession))
     starts, bases, owners, before, seen, owner = [], [], [], 0, {}, 0
     for c in cells:
         owner = max(owner, _shard_of(before, c, shards, total))
@@ -188,10 +188,13 @@ def _shard_of(before: int, c: Cell, shards: int, total: int) -> int:
     return first if abs(before + c.size - cut) <= abs(cut - before) else last
 
 
-def _merged(cells: list[Cell], shards: int, total: int) -> list[Cell]:
-    """Neighbouring cells of one shard become one, up to the size one task should order."""
-    rows = sum(c.rows for c in cells)
-    limit = max(max(c.rows for c in cells), rows // (8 * shards) + 1)
+def _merged(cells: list[Cell], shards: int, total: int, width: int) -> list[Cell]:
+    """Neighbouring cells of one shard become one, up to the size one task should order.
+
+    A wide cluster keeps more cells than shards need, so that all of its tasks share the
+    ordering. A key repeated in more rows than that stays a cell of its own.
+    """
+    limit = sum(c.rows for c in cells) // max(8 * shards, 2 * width) + 1
     out: list[Cell] = []
     before, owner = 0, -1
     for c in cells:
