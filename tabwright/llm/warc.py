@@ -24,6 +24,9 @@ from tabwright.session import fresh_path, materialize
 CRLF = "\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 URN = "urn:page:"
+# wanted size of an archive, and about what a record takes besides its payload
+FILE_BYTES = 32 << 20
+HEAD_BYTES = 600
 
 
 def plan_revisits(pages: DataFrame, id_col: str = "page_id", body_col: str = "html", min_bytes: int = 1000) -> DataFrame:
@@ -40,7 +43,7 @@ def plan_revisits(pages: DataFrame, id_col: str = "page_id", body_col: str = "ht
 
 def write_warc(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
-    min_bytes: int = 1000, records_per_file: int = 5000,
+    min_bytes: int = 1000, records_per_file: int | None = None, file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write one record per row of ``pages`` below ``path`` (WARC/1.1, uncompressed).
 
@@ -48,10 +51,14 @@ def write_warc(
     stored once, under the largest id; a row that repeats that id is stored again. Rows
     without an id are never the stored copy unless all copies lack one. Control characters
     and blanks in an address are written as %20; a null address leaves its header out.
-    Dates are fixed, so that a repeated task writes the same bytes. ``records_per_file``
-    bounds the size of one archive, which is the reader's unit of work.
+    Dates are fixed, so that a repeated task writes the same bytes. An archive is the reader's
+    unit of work: it holds as many records as make about ``file_bytes`` at the mean payload,
+    or ``records_per_file``, if given.
     """
     spark = pages.sparkSession
+    if records_per_file is None:
+        mean = pages.agg(F.avg(F.octet_length(F.coalesce(F.col(body_col), F.lit(""))))).first()[0] or 0.0
+        records_per_file = max(1, int(file_bytes / (mean + HEAD_BYTES)))
     again = materialize(plan_revisits(pages, id_col, body_col, min_bytes), "revisits")
     body = F.coalesce(F.col(body_col), F.lit(""))
     rows = pages.select(

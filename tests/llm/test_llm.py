@@ -71,6 +71,15 @@ def test_warc_roundtrip_and_odd_rows(spark):
     assert warc.roundtrip(df.limit(0)).count() == 0
 
 
+def test_archives_are_cut_by_mean_size(spark):
+    df = spark.range(200).selectExpr("id AS page_id", "'u' AS url", "concat(id, repeat('x', 5000)) AS html").coalesce(1)
+    path = fresh_path(spark, "warc")
+    warc.write_warc(df, path, file_bytes=100_000)
+    sizes = [r[0] for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert len(sizes) > 10 and max(sizes) < 150_000
+    assert warc.read_warc(spark, path).where("kind = 'record'").count() == 200
+
+
 def _record(i, body):
     block = b"HTTP/1.1 200 OK\r\n\r\n" + body
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Type: application/http\r\n"
@@ -372,6 +381,15 @@ def test_shards_follow_the_sorted_bytes(spark, none):
     assert sorted(loose) == [0, 1, 2, 3]
 
 
+def test_cells_follow_the_width_of_the_cluster():
+    cells = [sharding.Cell(None, 10 * j, 10 * j + 10, 10, 10) for j in range(1000)]
+    hot = sharding.Cell(5, 0, 1, 5000, 5000)
+    narrow, wide = sharding._merged(cells, 4, 10_000, 8), sharding._merged(cells, 4, 10_000, 200)
+    assert sum(c.rows for c in narrow) == sum(c.rows for c in wide) == 10_000
+    assert len(narrow) <= 40 and len(wide) >= 400
+    assert max(c.rows for c in sharding._merged([hot, *cells], 4, 15_000, 8)[1:]) <= 15_000 // 32 + 1
+
+
 # 10 --------------------------------------------------------------------------------------
 
 
