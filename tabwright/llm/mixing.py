@@ -1,6 +1,8 @@
-"""Mixing sources to target weights by fixed-length blocks.
+"""Mixing sources to target weights by blocks of nearly one length.
 
-Documents of a source are laid end to end and cut into blocks of a fixed number of words.
+Documents of a source are laid end to end and cut into the fewest blocks of at most a fixed
+number of words, equal up to one word. As many blocks are drawn as the target needs; of the
+last one only the words still missing are taken, so small sources come near their target too.
 Each output shard draws how many of its slots go to each source (multinomial); a slot's
 number within its source is mapped through a pseudorandom permutation of the source's
 blocks, and slots meet blocks by (source, block index). Nothing but one row per source and
@@ -55,6 +57,15 @@ def fill_targets(sizes: Sequence[int], weights: Sequence[float], share: float, m
     return target
 
 
+def slots_wanted(size: int, target: float, blocks: int, most: float) -> tuple[int, int]:
+    """Slots that reach ``target`` words of a source, and the words taken from the last of them."""
+    words = min(round(target), int(most) * size)
+    if not words:
+        return 0, 0
+    slots = -(-words * blocks // size)
+    return slots, words - (slots - 1) * size // blocks
+
+
 def draw_counts(wanted: Sequence[int], shards: int, seed: int) -> np.ndarray:
     """Slots per (shard, source): multinomial draws, then settled so that each source gets ``wanted``.
 
@@ -114,10 +125,12 @@ def _slots(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             pick = lambda c, p=p, which=which: p[c].to_numpy()[which]
             k, n = pick("first") + inside, pick("blocks")
             epoch = k // n
+            last = k == pick("wanted") - 1
             yield pd.DataFrame(
                 {
                     "source_no": pick("source_no"), "shard": pick("shard"), "slot": pick("place") + inside,
                     "block": permuted(k % n, n, pick("seed") + epoch), "epoch": epoch.astype("int32"),
+                    "upto": np.where(last, pick("rest"), pick("length")),
                 }
             )
 
@@ -146,7 +159,8 @@ def mix_sources(
     Sources in code point order, null last, take ``weights`` in turn. Rows are told apart by
     a hash of id, text and source; equal rows are interchangeable, each with its own place.
     Null and empty texts have no words and are never taken. A document longer than a block
-    spans several. ``slots``: (source_no, shard, slot, block, epoch), the order of the mix;
+    spans several. ``slots``: (source_no, shard, slot, block, epoch, upto), the order of the
+    mix, with the words taken from the block's begin (at least its length: all of it);
     ``spans``: (key, nth, size, epoch, from_word, words) of each block's part of each document.
     Each block is taken at most ``most`` times (rounded down), so no document is taken more
     often. Reruns with one seed agree. An empty table gives empty tables.
@@ -163,7 +177,7 @@ def mix_sources(
     sizes = [int(r["source_size"]) for r in order]
     targets = fill_targets(sizes, [weights[i % len(weights)] for i in range(len(order))], share, most) if order else []
     blocks = [-(-z // block) for z in sizes]
-    wanted = [min(round(t / block), int(most) * n) for t, n in zip(targets, blocks, strict=True)]
+    wanted = [slots_wanted(z, t, n, most) for z, t, n in zip(sizes, targets, blocks, strict=True)]
     table = [(i, r["source"], z, t, n) for i, (r, z, t, n) in enumerate(zip(order, sizes, targets, blocks, strict=True))]
     sources = spark.createDataFrame(table, "source_no int, source string, source_size long, target double, blocks long")
 
@@ -184,38 +198,55 @@ def mix_sources(
         places.select("id", "key", "nth", "size", "source_no", (F.col("in") + F.col("start")).alias("begin")), "begins"
     )
 
-    drawn = draw_counts(wanted, shards, seed) if order else np.zeros((0, 0), dtype=np.int64)
+    drawn = draw_counts([w for w, _ in wanted], shards, seed) if order else np.zeros((0, 0), dtype=np.int64)
     firsts = np.cumsum(drawn, axis=0) - drawn if order else drawn
     within = np.cumsum(drawn, axis=1) - drawn if order else drawn
     lots = [
-        (s, i, int(firsts[i, s]), int(within[i, s]), int(drawn[i, s]), blocks[s], (seed * 1_000_003 + s * 7919) % (1 << 40))
+        (s, i, int(firsts[i, s]), int(within[i, s]), int(drawn[i, s]), blocks[s], (seed * 1_000_003 + s * 7919) % (1 << 40),
+         *wanted[s], block)
         for i in range(drawn.shape[0])
         for s in range(drawn.shape[1])
         if drawn[i, s]
     ]
     lots = spark.createDataFrame(
-        lots, "source_no int, shard int, first long, place long, lot long, blocks long, seed long"
+        lots, "source_no int, shard int, first long, place long, lot long, blocks long, seed long, wanted long, rest long, length long"
     )
     chunks = lots.withColumn("c", F.explode(F.sequence(F.lit(0), ((F.col("lot") - 1) / CHUNK).cast("long"))))
     at = F.col("c") * CHUNK
     chunks = chunks.select(
         "source_no", "shard", (F.col("first") + at).alias("first"), (F.col("place") + at).alias("place"),
-        F.least(F.lit(CHUNK).cast("long"), F.col("lot") - at).alias("count"), "blocks", "seed",
+        F.least(F.lit(CHUNK).cast("long"), F.col("lot") - at).alias("count"), "blocks", "seed", "wanted", "rest", "length",
     )
     slots = chunks.repartition(bucket_target(spark)).mapInPandas(
-        _slots, "source_no int, shard int, slot long, block long, epoch int"
+        _slots, "source_no int, shard int, slot long, block long, epoch int, upto long"
     )
     slots = materialize(slots, "slots")
 
-    held = places.where(F.col("size") > 0)
-    last = F.floor((F.col("begin") + F.col("size") - 1) / block)
-    held = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / block), last)))
-    low = F.greatest(F.col("block") * block, F.col("begin"))
-    high = F.least((F.col("block") + 1) * block, F.col("begin") + F.col("size"))
+    # the first ``longer`` blocks of a source hold ``least`` + 1 words, the others ``least``
+    cuts = sources.where(F.col("blocks") > 0).select(
+        "source_no", F.expr("source_size div blocks").alias("least"), (F.col("source_size") % F.col("blocks")).alias("longer")
+    )
+    held = places.where(F.col("size") > 0).join(F.broadcast(cuts), "source_no")
+    edge = F.col("longer") * (F.col("least") + 1)
+
+    def block_of(word: Column) -> Column:
+        late = F.col("longer") + F.floor((word - edge) / F.col("least"))
+        return F.when(word < edge, F.floor(word / (F.col("least") + 1))).otherwise(late)
+
+    def begin_of(at: Column) -> Column:
+        return at * F.col("least") + F.least(at, F.col("longer"))
+
+    end = F.col("begin") + F.col("size")
+    held = held.withColumn("block", F.explode(F.sequence(block_of(F.col("begin")), block_of(end - 1))))
+    head = begin_of(F.col("block"))
+    low, high = F.greatest(head, F.col("begin")), F.least(begin_of(F.col("block") + 1), end)
     held = held.select(
-        "id", "key", "nth", "size", "source_no", "block", (low - F.col("begin")).alias("from_word"), (high - low).alias("words")
+        "id", "key", "nth", "size", "source_no", "block", (low - F.col("begin")).alias("from_word"), (high - low).alias("words"),
+        (low - head).alias("inside"),
     )
-    spans = slots.select("source_no", "block", "epoch").join(held, ["source_no", "block"])
+    spans = slots.select("source_no", "block", "epoch", "upto").join(held, ["source_no", "block"])
+    spans = spans.where(F.col("upto") > F.col("inside"))
+    spans = spans.withColumn("words", F.least(F.col("words"), F.col("upto") - F.col("inside"))).drop("upto", "inside")
     return Mix(sources, places, slots, spans)
 
 

@@ -422,6 +422,30 @@ def test_mix_meets_targets(spark, odd, none):
     assert mixing.taken_words(mixing.mix_sources(none)).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(10, 60, 130, 300, 4000), (10, 60, 130), (300, 130, 60, 10), (33, 129, 257)])
+def test_small_sources_come_near_their_target(spark, sizes):
+    # several documents a source, one of them without a source name; the last of the first case is far larger
+    data, n = [], 0
+    for s, size in enumerate(sizes):
+        for part in (size // 3, size - size // 3):
+            n += 1
+            data.append((n, prose(n, part), None if s == 1 else f"s{s}", "k"))
+    df = spark.createDataFrame(data, SCHEMA)
+    mix = mixing.mix_sources(df)
+    got = mixing.taken_words(mix).collect()
+    by = {}
+    for r in got:
+        size, target, taken = by.get(r["source_size"], (r["source_size"], r["target"], 0))
+        by[r["source_size"]] = size, target, taken + r["taken"]
+    assert set(by) == set(sizes) and all(r["taken"] <= 2 * r["size"] for r in got)
+    for size, target, taken in by.values():
+        assert taken == 2 * size if target == 2 * size else abs(taken - target) <= 1 + 0.01 * target
+    texts = mixing.mixed_documents(df, mix).collect()
+    assert sum(len(WORD.findall(r["text"])) for r in texts) == sum(taken for _, _, taken in by.values())
+    shards = mix.slots.groupBy("shard").count().collect()
+    assert np.ptp([r["count"] for r in shards]) <= 1
+
+
 # pipeline --------------------------------------------------------------------------------
 
 
