@@ -149,6 +149,41 @@ def test_quality_rules_keep_the_promise(spark, none):
     assert quality.fit_rules(empty, spark.createDataFrame([], "doc_id long, quality int")).cutoffs == {}
 
 
+def test_small_strata_get_the_floors(spark):
+    def words(seed, n=80):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(n))
+
+    def fit(sizes, make=words):
+        """Rules and kept ids by (stratum, label); ten junk documents a stratum."""
+        data = []
+        for no, (s, n) in enumerate(sizes.items()):
+            data += [(no * 10_000 + i, make(no * 10_000 + i), s, 1) for i in range(n)]
+            data += [(no * 10_000 + 5000 + i, " ".join(w + "#" for w in words(i).split()), s, 0) for i in range(10)]
+        docs = spark.createDataFrame(data, "doc_id long, text string, lang string, quality int")
+        f = quality.materialize(quality.with_features(docs).drop("quality"), "f")
+        rules = quality.fit_rules(f, docs.select("doc_id", "quality"))
+        out = f.where(~quality.base_failed() & ~rules.rejects(F.col("lang"))).join(docs.select("doc_id", "quality"), "doc_id")
+        return rules, collections.Counter((r["lang"], r["quality"]) for r in out.collect())
+
+    # alone on all labels, although half of them are too few; the two small ones together
+    rules, kept = fit({"de": 480, "es": 250, None: 240})
+    assert kept == {("de", 1): 480, ("es", 1): 250, (None, 1): 240}
+    assert [(c["stratum"], c["holdout"]) for c in rules.certificates] == [("de", 480)] * 3 + [(("es", None), 490)] * 3
+    assert rules.cutoffs["de"] == rules.cutoffs[None] == {rule: floor for rule, (_, _, _, floor) in quality.RULES.items()}
+    assert all(c["bound"] == quality.upper_bound(0, c["holdout"], 0.025) <= 0.01 for c in rules.certificates)
+    # all of them together; a pool filled up with a stratum that has its own test
+    assert fit({"en": 200, "de": 60, "fr": 60})[1] == {("en", 1): 200, ("de", 1): 60, ("fr", 1): 60}
+    rules, kept = fit({"de": 480, "es": 300})
+    assert kept == {("de", 1): 480, ("es", 1): 300} and rules.certificates[-1]["holdout"] == 780
+    # good documents with short words break the floors but not twice the floors
+    rules, kept = fit({"en": 480}, lambda i: prose(i, 80))
+    assert kept == {("en", 1): 480} and rules.cutoffs["en"]["short_words"] == 2.0
+    # too few rows, or good documents that break every multiple: rules stay off
+    assert fit({"en": 200, "de": 60})[1] == {("en", 1): 200, ("en", 0): 10, ("de", 1): 60, ("de", 0): 10}
+    assert fit({"en": 480}, lambda i: words(i) + " #" * (40 * (i % 20 == 0)))[1] == {("en", 1): 480, ("en", 0): 10}
+
+
 # 3 ---------------------------------------------------------------------------------------
 
 
