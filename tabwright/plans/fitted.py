@@ -19,6 +19,8 @@ from tabwright.sources import models, tables
 KERNELS = ["linear", "rbf", "poly_random"]
 # fixed values: forest sizes of the size curve
 ENSEMBLE_SIZES = [10, 20, 50, 100, 150, 200, 300, 400, 500]
+# fixed values: trees of explained and ranked forests, of the leak comparison; the reference has no depth limit
+TREES, LEAK_TREES, DEPTH, BINS = 400, 200, 10, 128
 
 
 def _encoded(spark, sf, drop="first"):
@@ -224,10 +226,10 @@ def complexity_curve(spark, sf):
         kept.unpersist()
 
 
-def _forest(spark, sf, n_trees=50):
+def _forest(spark, sf, n_trees=50, max_depth=6, max_bins=64):
     rows, design, table = _encoded(spark, sf, drop=None)
     weighted = encode.class_weights(_train(table), "y")
-    return rows, design, table, trees.fit_forest(weighted, n_trees=n_trees, max_depth=6, weight="weight", max_bins=64)
+    return rows, design, table, trees.fit_forest(weighted, n_trees=n_trees, max_depth=max_depth, weight="weight", max_bins=max_bins)
 
 
 @query("forest")
@@ -253,13 +255,13 @@ def oob(spark, sf):
 
 @query("importance")
 def importance(spark, sf):
-    _, design, _, model = _forest(spark, sf, 20)
+    _, design, _, model = _forest(spark, sf, TREES, DEPTH, BINS)
     return trees.impurity_importance(model, design.name_table(spark), 15)
 
 
 @query("sensitive_audit")
 def sensitive_audit(spark, sf):
-    _, design, _, model = _forest(spark, sf, 20)
+    _, design, _, model = _forest(spark, sf, TREES, DEPTH, BINS)
     return explain.sensitive_audit(trees.impurity_importance(model, design.name_table(spark)), ["segment", "priority"])
 
 
@@ -272,14 +274,14 @@ def leak_ablation_forest(spark, sf):
         design = encode.fit_design(
             _train(rows), numeric, ["priority", "segment"], ignore=["id", "y", "split", "status", "nation", "price"])
         table = materialize(design.assemble(rows).select("id", "y", "split", "features"), name)
-        model = trees.fit_forest(_train(table), n_trees=20, max_depth=6, max_bins=64)
+        model = trees.fit_forest(_train(table), n_trees=LEAK_TREES, max_depth=DEPTH, max_bins=BINS)
         variants[name] = linear.score_model(model, _test(table))
     return tune.ablation(variants)
 
 
 @query("permutation_importance_forest")
 def permutation_importance_forest(spark, sf):
-    rows, design, _, model = _forest(spark, sf, 20)
+    rows, design, _, model = _forest(spark, sf, TREES, DEPTH, BINS)
     held = materialize(_test(rows), "held")
 
     def scored(df):
@@ -294,6 +296,6 @@ def ranked_forest_list(spark, sf):
     rows, _, table = _encoded(spark, sf, drop=None)
     folded = materialize(split.stratified_folds(table.drop("split"), "id", "y", 3, "folds"), "folded")
     held = linear.out_of_fold(
-        folded, lambda d: trees.fit_forest(d, n_trees=10, max_depth=5, max_bins=64), linear.score_model, 3)
+        folded, lambda d: trees.fit_forest(d, n_trees=TREES, max_depth=DEPTH, max_bins=BINS), linear.score_model, 3)
     base = rows.withColumn("score", F.lit(0.0)).drop("split")
     return score.ranked_export(base, "id", "score", 5000, out_of_fold=held.select("id", "score"))
