@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, mixing, ngrams, packing, quality, repeats, sharding, tokens, topk, warc
+from tabwright.llm import align, html, lines, middle, mixing, ngrams, packing, quality, repeats, sharding, tokens, topk, warc
 from tabwright.llm.common import read
 from tabwright.session import materialize
 
@@ -170,3 +170,48 @@ def histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixing.taken_words(mix).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (
+      SELECT doc_id, t, w, len(w) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+    c AS (
+      SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+          WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM g),
+    x AS (
+      SELECT *, array_to_string(w[1:lo], '') AS p, array_to_string(w[lo + 1:hi], '') AS m, array_to_string(w[hi + 1:n], '') AS s FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM x""",
+)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query("op12_cross_tokenizer")
+def cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = align.align(read(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
+@query("op13_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract_main_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
