@@ -13,6 +13,7 @@ the vocabulary of pairs never meets in one task.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from array import array
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import join_spread
 from tabwright.session import materialize
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 SPACE = "▁"
 INNER_SPACE = re.compile(f"[^{SPACE}]{SPACE}")
 # spaces and what stands behind them
@@ -248,79 +249,94 @@ def _batches(rows: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Arr
             lo = hi
 
 
-def _one(kind: pa.DataType, value: pa.Array) -> pa.Array:
-    """A list array whose only row is ``value``."""
-    value = value.combine_chunks() if isinstance(value, pa.ChunkedArray) else value
-    return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), value.cast(kind))
-
-
-def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) per row.
+def align(
+    docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256[, groups]) per row.
 
     Side A tokenizes a space and the text, side B the text, before which its model puts a space.
     ``groups`` lists the ids between shared ends as ``a1,a2|b1;a3|b2,b3``. ``n_links`` counts
     overlapping pairs of tokens; ``count_sum`` adds up in how many documents of the table each link's
     pair of ids is linked, ``n_best`` counts links whose pair is the most frequent of its A id, ties
     included. Null and empty texts, and texts that a side does not give back byte by
-    byte, have zeros and an empty ``groups``. Rows that repeat are documents of their own.
-    Texts are whole, a longer one than ``chunk_bytes`` is a chunk by itself; an empty table gives
-    no rows; other columns are not needed and not returned.
+    byte, have zeros and an empty ``groups``, whose digest is empty too. Rows that repeat are
+    documents of their own. Texts are whole, a longer one than ``chunk_bytes`` is a chunk by
+    itself; an empty table gives no rows; other columns are not needed and not returned.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    plain = "n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<int>, groups array<string>"
-    schema = f"chunk long, ids array<{kind}>, {plain}, doc array<int>, at array<int>, times array<int>, pairs array<long>, counts array<int>"
+    id_field = rows.schema["id"]
+    kind = id_field.dataType.simpleString()
+    plain = "n_a long, n_b long, n_groups long, n_links long"
+    digest = "groups_sha256 string" + (", groups string" if keep else "")
+    schema = f"chunk long, id {kind}, {plain}, {digest}, at array<int>, times array<int>, pairs array<long>, counts array<int>"
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, part = Aligner(a_path, b_path), TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(_batches(parts, chunk_bytes)):
             got = aligner.chunk(texts)
-            held, counts = got["held"], got["counts"]
+            held, counts, n = got["held"].sort_by("doc"), got["counts"], len(texts)
+            edges = np.searchsorted(held["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32)
+            at = pc.index_in(held["pair"], counts["pair"]).cast(pa.int32())
+            # the pairs of a chunk stand in the row of its first document
+            first = np.full(n + 1, counts.num_rows, np.int32)
+            first[0] = 0
+            texts = got["groups"].to_pylist()
             columns = {
-                "chunk": pa.array([part << 32 | number], pa.int64()),
-                "ids": _one(ids.type, ids),
-                "n_a": _one(pa.int32(), pc.list_value_length(got["a_ids"])), "n_b": _one(pa.int32(), pc.list_value_length(got["b_ids"])),
-                "n_groups": _one(pa.int32(), pa.array(got["n_groups"])), "n_links": _one(pa.int32(), pa.array(got["n_links"])),
-                "groups": _one(pa.string(), got["groups"]),
-                "doc": _one(pa.int32(), held["doc"]),
-                "at": _one(pa.int32(), pc.index_in(held["pair"], counts["pair"])),
-                "times": _one(pa.int32(), held["count_all"]),
-                "pairs": _one(pa.int64(), counts["pair"]), "counts": _one(pa.int32(), counts["count_all"]),
+                "chunk": pa.array(np.full(n, part << 32 | number, np.int64)), "id": ids,
+                "n_a": pc.list_value_length(got["a_ids"]).cast(pa.int64()), "n_b": pc.list_value_length(got["b_ids"]).cast(pa.int64()),
+                "n_groups": pa.array(got["n_groups"], pa.int64()), "n_links": pa.array(got["n_links"], pa.int64()),
+                "groups_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() if x else "" for x in texts], pa.string()),
+                **({"groups": pa.array(texts, pa.string())} if keep else {}),
+                "at": _cut(edges, at), "times": _cut(edges, held["count_all"].cast(pa.int32())),
+                "pairs": _cut(first, counts["pair"]), "counts": _cut(first, counts["count_all"].cast(pa.int32())),
             }
             yield pa.RecordBatch.from_pydict(columns)
 
     chunks = materialize(rows.mapInArrow(cut, schema), "chunks")
-    found = chunks.select("chunk", F.posexplode(F.arrays_zip("pairs", "counts")).alias("at", "x")).select(
-        "chunk", "at", F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n")
-    )
+    found = chunks.where(F.size("pairs") > 0).select("chunk", F.posexplode(F.arrays_zip("pairs", "counts")).alias("at", "x"))
+    found = found.select("chunk", "at", F.col("x.pairs").alias("pair"), F.col("x.counts").alias("n"))
     total = found.groupBy("pair").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("chunks"))
-    total = materialize(total, "pairs")
-    best = total.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("n").alias("best"), F.count(F.lit(1)).alias("pairs"))
-    merged = join_spread(total.withColumn("a", F.shiftright("pair", 32)), materialize(best, "best"), ["a"], "pairs")
+    total = materialize(total.withColumn("a", F.shiftright("pair", 32)), "pairs")
+    best = materialize(total.groupBy("a").agg(F.max("n").alias("best"), F.count(F.lit(1)).alias("pairs")), "best")
+    merged = join_spread(total, best, ["a"], "pairs")
     merged = materialize(merged.select("pair", F.col("n").alias("all"), (F.col("n") == F.col("best")).alias("top"), "chunks"), "merged")
     back = join_spread(found.drop("n"), merged, ["pair"], "chunks")
     back = back.groupBy("chunk").agg(F.collect_list(F.struct("at", "all", "top")).alias("known"))
 
+    narrow = chunks.drop("pairs", "counts")
+    # a chunk's counts stand before its documents
+    sent = narrow.unionByName(back, allowMissingColumns=True)
+    sent = sent.repartition("chunk").sortWithinPartitions("chunk", F.col("known").isNull())
+    names = ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", *["groups"] * keep]
+
     def settle(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = top = np.zeros(0, np.int64)
         for batch in parts:
-            for i in range(batch.num_rows):
-                value = {name: batch.column(name)[i].values for name in batch.schema.names if name != "chunk"}
-                ids, doc, at, times, known = (value.get(c) for c in ("ids", "doc", "at", "times", "known"))
-                n = len(ids)
-                sums, tops = np.zeros(n, np.int64), np.zeros(n, np.int64)
-                if known is not None and len(known):
+            heads = np.flatnonzero(pc.is_valid(batch.column("known")).to_numpy(zero_copy_only=False)).tolist()
+            for lo, hi in zip([-1, *heads], [*heads, batch.num_rows], strict=True):
+                if lo >= 0:
+                    known = batch.column("known")[lo].values
                     place = known.field("at").to_numpy()
                     count, top = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
                     count[place] = known.field("all").to_numpy()
                     top[place] = known.field("top").to_numpy(zero_copy_only=False)
-                    doc, at, times = doc.to_numpy(), at.to_numpy(), times.to_numpy().astype(np.int64)
-                    np.add.at(sums, doc, times * count[at])
-                    np.add.at(tops, doc, times * top[at])
-                made = {c: value[c].cast(pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")}
-                yield pa.RecordBatch.from_pydict({"id": ids, **made, "n_best": tops, "count_sum": sums, "groups": value["groups"]})
-
-    whole = chunks.select("chunk", "ids", "n_a", "n_b", "n_groups", "n_links", "groups", "doc", "at", "times")
-    whole = whole.join(back, "chunk", "left")
-    out = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
-    return whole.mapInArrow(settle, f"id {kind}, {out}")
+                own = batch.slice(lo + 1, hi - lo - 1)
+                if own.num_rows:
+                    doc = pc.list_parent_indices(own.column("at")).to_numpy()
+                    at = pc.list_flatten(own.column("at")).to_numpy()
+                    times = pc.list_flatten(own.column("times")).to_numpy().astype(np.int64)
+                    made = {name: own.column(name) for name in names if name in own.schema.names}
+                    for name, values in (("count_sum", count), ("n_best", top)):
+                        # whole numbers: a sum of doubles would round beyond 2**53
+                        total = np.concatenate([[0], np.cumsum(times * values[at])])
+                        edges = np.searchsorted(doc, np.arange(own.num_rows + 1))
+                        made[name] = pa.array(total[edges[1:]] - total[edges[:-1]])
+                    yield pa.RecordBatch.from_pydict({name: made[name] for name in names})
+
+    return sent.mapInArrow(settle, f"id {kind}, {plain}, n_best long, count_sum long, {digest}")
+
+
+def _cut(edges: np.ndarray, values: pa.ChunkedArray) -> pa.ListArray:
+    """Flat values as lists between edges."""
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    return pa.ListArray.from_arrays(pa.array(edges), values)
