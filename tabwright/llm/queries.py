@@ -54,7 +54,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = quality.base_failed()
     return rows.select(
         "doc_id", *[F.col(f"features.{c}").alias(c) for c in quality.COUNTS], failed.alias("base_failed"),
-        (~failed & ~rules.rejects(F.col("lang"))).alias("kept"),
+        (~failed & ~rules.rejects(F.col("lang"))).alias("kept"), *quality.settled(rules, F.col("lang")),
     )
 
 
@@ -98,12 +98,16 @@ def kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         any_value(substr(h, 1, 2 * (SELECT min(lo) FROM s x WHERE x.doc_id = p.doc_id))) AS head
       FROM p JOIN d USING (doc_id) GROUP BY doc_id)
     SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-      sha256(unhex(coalesce(head || tail, h))) AS kept_sha256
+      sha256(unhex(coalesce(head || tail, h))) AS kept_sha256,
+      decode(unhex(array_to_string([x FOR x IN regexp_extract_all(coalesce(head || tail, h),
+        '[0-7].|C[2-9A-F][89AB].|D.[89AB].|E0[AB].[89AB].|E[1-9A-CEF][89AB].[89AB].|ED[89].[89AB].|F0[9AB].[89AB].[89AB].|F[1-3][89AB].[89AB].[89AB].|F48.[89AB].[89AB].|..')
+        IF x < '80' OR length(x) > 2], ''))) AS text
     FROM d LEFT JOIN t USING (doc_id)""",
 )
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.withColumnRenamed("id", "doc_id")
+    found = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=True)
+    # what is left as text; parts of characters at the edges of what was removed go
+    return found.withColumn("text", repeats.whole_characters("kept")).drop("kept").withColumnRenamed("id", "doc_id")
 
 
 @query(

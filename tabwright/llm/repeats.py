@@ -20,8 +20,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import join_spread, row_key
@@ -278,3 +279,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 def _without_kept(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in _kept(parts):
         yield part.drop(columns="kept")
+
+
+def whole_characters(data: str) -> Column:
+    """The characters of a binary column that are there as a whole; bytes of others go."""
+
+    def decode(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else bytes(v).decode("utf-8", "ignore") for v in values.to_pylist()], pa.string())
+
+    return F.arrow_udf(decode, "string")(F.col(data))

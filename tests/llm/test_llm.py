@@ -141,7 +141,7 @@ def test_quality_rules_keep_the_promise(spark, none):
     f = quality.with_features(docs).drop("quality")
     rules = quality.fit_rules(f, docs.select("doc_id", "quality"))
     assert rules.cutoffs["en"] and rules.cutoffs[None] is None
-    assert all(c["bound"] == quality.upper_bound(c["rejected"], c["holdout"], 0.025) for c in rules.certificates)
+    assert all(c["bound"] == quality.upper_bound(c["rejected"], c["holdout"], c["share"]) for c in rules.certificates)
     out = f.where(~quality.base_failed() & ~rules.rejects(F.col("lang"))).select("doc_id").collect()
     kept = {r[0] for r in out}
     assert not kept & {b[0] for b in bad} and len(kept & set(range(1200))) >= 0.99 * 1200 and {x[0] for x in few} <= kept
@@ -149,39 +149,59 @@ def test_quality_rules_keep_the_promise(spark, none):
     assert quality.fit_rules(empty, spark.createDataFrame([], "doc_id long, quality int")).cutoffs == {}
 
 
-def test_small_strata_get_the_floors(spark):
+def brute_levels(rejected, sizes, alpha, delta):
+    """Strictest certified level per stratum, by the definition: P(X <= k) at rate alpha is at most the share."""
+    at = dict.fromkeys(sizes, 0)
+    while True:
+        left = [s for s in sizes if at[s] < len(quality.MULTIPLES)]
+        share = delta / max(1, len(left))
+        tail = lambda s: sum(math.comb(sizes[s], i) * alpha**i * (1 - alpha) ** (sizes[s] - i) for i in range(rejected[s][at[s]] + 1))
+        pass_ = [s for s in left if tail(s) <= share]
+        if not pass_:
+            return {s: quality.MULTIPLES[n - 1] if n else None for s, n in at.items()}
+        for s in pass_:
+            at[s] += 1
+
+
+def test_kept_follows_from_certificates_of_each_stratum(spark):
     def words(seed, n=80):
         rng = random.Random(seed)
         return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(n))
 
     def fit(sizes, make=words):
-        """Rules and kept ids by (stratum, label); ten junk documents a stratum."""
+        """Levels, and kept ids by (stratum, label); ten junk documents a stratum; all checked against brute force."""
         data = []
         for no, (s, n) in enumerate(sizes.items()):
-            data += [(no * 10_000 + i, make(no * 10_000 + i), s, 1) for i in range(n)]
-            data += [(no * 10_000 + 5000 + i, " ".join(w + "#" for w in words(i).split()), s, 0) for i in range(10)]
-        docs = spark.createDataFrame(data, "doc_id long, text string, lang string, quality int")
+            data += [(no * 10_000 + i, make(no * 10_000 + i), s, 1, "x") for i in range(n)]
+            data += [(no * 10_000 + 5000 + i, " ".join(w + "#" for w in words(i).split()), s, 0, "x") for i in range(10)]
+        docs = spark.createDataFrame(data, "doc_id long, text string, lang string, quality int, i string")
         f = quality.materialize(quality.with_features(docs).drop("quality"), "f")
-        rules = quality.fit_rules(f, docs.select("doc_id", "quality"))
-        out = f.where(~quality.base_failed() & ~rules.rejects(F.col("lang"))).join(docs.select("doc_id", "quality"), "doc_id")
-        return rules, collections.Counter((r["lang"], r["quality"]) for r in out.collect())
-
-    # alone on all labels, although half of them are too few; the two small ones together
-    rules, kept = fit({"de": 480, "es": 250, None: 240})
-    assert kept == {("de", 1): 480, ("es", 1): 250, (None, 1): 240}
-    assert [(c["stratum"], c["holdout"]) for c in rules.certificates] == [("de", 480)] * 3 + [(("es", None), 490)] * 3
-    assert rules.cutoffs["de"] == rules.cutoffs[None] == {rule: floor for rule, (_, _, _, floor) in quality.RULES.items()}
-    assert all(c["bound"] == quality.upper_bound(0, c["holdout"], 0.025) <= 0.01 for c in rules.certificates)
-    # all of them together; a pool filled up with a stratum that has its own test
-    assert fit({"en": 200, "de": 60, "fr": 60})[1] == {("en", 1): 200, ("de", 1): 60, ("fr", 1): 60}
-    rules, kept = fit({"de": 480, "es": 300})
-    assert kept == {("de", 1): 480, ("es", 1): 300} and rules.certificates[-1]["holdout"] == 780
-    # good documents with short words break the floors but not twice the floors
-    rules, kept = fit({"en": 480}, lambda i: prose(i, 80))
-    assert kept == {("en", 1): 480} and rules.cutoffs["en"]["short_words"] == 2.0
-    # too few rows, or good documents that break every multiple: rules stay off
-    assert fit({"en": 200, "de": 60})[1] == {("en", 1): 200, ("en", 0): 10, ("de", 1): 60, ("de", 0): 10}
-    assert fit({"en": 480}, lambda i: words(i) + " #" * (40 * (i % 20 == 0)))[1] == {("en", 1): 480, ("en", 0): 10}
+        rules = quality.fit_rules(f, docs.select("doc_id", "quality", "i"))
+
+        def breaks(text, m):
+            v = dict(zip(quality.COUNTS + quality.EXTRA, quality.text_features(text), strict=True))
+            pairs = [(v[a] / max(v[b], 1), side, floor) for a, b, side, floor in quality.RULES.values()]
+            return any(x > floor * m if side == "high" else x < floor / m for x, side, floor in pairs)
+
+        rejected = {s: [sum(breaks(t, m) for _, t, g, y, _ in data if g == s and y) for m in quality.MULTIPLES] for s in sizes}
+        levels = brute_levels(rejected, sizes, 0.01, 0.05)
+        assert {s: m for s, m, *_ in rules.report()} == levels
+        out = f.where(~quality.base_failed() & ~rules.rejects(F.col("lang"))).select("doc_id").collect()
+        stays = {i for i, t, s, _, _ in data if levels[s] is None or not breaks(t, levels[s])}
+        assert {r[0] for r in out} == stays
+        return levels, collections.Counter((s, y) for i, _, s, y, _ in data if i in stays)
+
+    # what a stratum no longer needs goes to the others: 307 rows alone certify nothing at a quarter of delta
+    levels, kept = fit({"en": 900, "fr": 488, "de": 475, "es": 307})
+    assert set(levels.values()) == {1.0} and kept == {("en", 1): 900, ("fr", 1): 488, ("de", 1): 475, ("es", 1): 307}
+    # too few labels: rules off for that stratum only, never a pool
+    levels, kept = fit({"de": 480, "es": 250, None: 240})
+    assert levels == {"de": 1.0, "es": None, None: None} and kept["es", 0] == kept[None, 0] == 10
+    # good documents with short words break the floors but not a multiple of them
+    levels, kept = fit({"en": 480}, lambda i: prose(i, 80))
+    assert levels["en"] == 1.5 and kept == {("en", 1): 480}
+    # good documents that break every multiple
+    assert fit({"en": 480}, lambda i: words(i) + " #" * (80 * (i % 20 == 0)))[0] == {"en": None}
 
 
 # 3 ---------------------------------------------------------------------------------------
@@ -358,6 +378,8 @@ def test_bounds_and_best_fit():
 def test_packing_is_whole_and_gapless(spark, odd, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.token_pieces(odd, path, 64, 0, keep_ids=True)
+    short = packing.token_pieces(odd, path, 64, 0, keep_ids=True, task_words=3)
+    assert rows(short) == rows(pieces)
     out = packing.pack_best_fit(pieces, 64, group_rows=20).collect()
     whole = hf.Tokenizer.from_file(path)
     by = collections.Counter()
