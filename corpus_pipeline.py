@@ -53,7 +53,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces of all documents in sequences of 2048 tokens."""
-    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0, task_words=150_000)
     return packing.pack_best_fit(pieces, 2048).withColumnRenamed("id", "doc_id")
 
 
