@@ -7,6 +7,7 @@ minimises  mean loss + regParam * penalty, hence regParam = 1 / (C * sum of weig
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -100,41 +101,57 @@ def _monomials(p: int) -> tuple[np.ndarray, np.ndarray]:
     return triples, np.sqrt(np.array([1.0, 3.0, 6.0])[kinds])
 
 
-def kernel_map(
-    df: DataFrame, kernel: str, p: int, gamma: float, D: int = 2048, seed: int = 7, x: str = "x", out: str = "z"
-) -> DataFrame:
+@dataclass(frozen=True)
+class FeatureMap:
     """Explicit feature map whose dot products equal or approximate a kernel.
 
     rbf: random Fourier features. poly: (gamma x.y)^3 exactly, p (p + 1) (p + 2) / 6 features.
     poly_random: the same kernel approximated by D random products of projections; the
-    caller chooses between the two by name. A random map is p x D numbers drawn from the seed
-    inside each task; rows are mapped batch by batch.
+    caller chooses between the two by name. A random map is p x D numbers drawn from the seed.
     """
-    if kernel not in KERNELS:
-        raise ValueError(f"kernel {kernel!r} is none of {KERNELS}")
+
+    kernel: str
+    gamma: float = 1.0
+    D: int = 2048
+    seed: int = 7
+
+    def __post_init__(self):
+        if self.kernel not in KERNELS:
+            raise ValueError(f"kernel {self.kernel!r} is none of {KERNELS}")
+
+    def width(self, p: int) -> int:
+        """Number of features of mapped rows of ``p`` numbers."""
+        return {"linear": p, "poly": p * (p + 1) * (p + 2) // 6}.get(self.kernel, self.D)
+
+    def rows(self, m: np.ndarray) -> np.ndarray:
+        """Mapped rows of a block."""
+        p, scale3 = m.shape[1], self.gamma**1.5
+        if self.kernel == "linear":
+            return m
+        if self.kernel == "poly":
+            triples, root = _monomials(p)
+            return scale3 * root * m[:, triples[:, 0]] * m[:, triples[:, 1]] * m[:, triples[:, 2]]
+        rng = np.random.default_rng(self.seed)
+        if self.kernel == "rbf":
+            w = rng.normal(0.0, np.sqrt(2.0 * self.gamma), (p, self.D))
+            b = rng.uniform(0.0, 2.0 * np.pi, self.D)
+            return np.sqrt(2.0 / self.D) * np.cos(m @ w + b)
+        signs = rng.choice([-1.0, 1.0], (3, p, self.D))
+        return scale3 / np.sqrt(self.D) * (m @ signs[0]) * (m @ signs[1]) * (m @ signs[2])
+
+
+def kernel_map(
+    df: DataFrame, kernel: str, p: int, gamma: float, D: int = 2048, seed: int = 7, x: str = "x", out: str = "z"
+) -> DataFrame:
+    """``df`` with the mapped rows of an array column of ``p`` numbers, batch by batch."""
+    features = FeatureMap(kernel, gamma, D, seed)
     if kernel == "linear":
         return df.withColumn(out, F.col(x))
-    exact = kernel == "poly"
-    scale3 = gamma**1.5
-    triples, root = _monomials(p) if exact else (None, None)
 
     @F.pandas_udf("array<double>")
     def mapped(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        rng = np.random.default_rng(seed)
-        if kernel == "rbf":
-            w = rng.normal(0.0, np.sqrt(2.0 * gamma), (p, D))
-            b = rng.uniform(0.0, 2.0 * np.pi, D)
-        elif not exact:
-            signs = rng.choice([-1.0, 1.0], (3, p, D))
         for batch in batches:
-            m = np.array(batch.tolist(), dtype=float).reshape(-1, p)
-            if kernel == "rbf":
-                z = np.sqrt(2.0 / D) * np.cos(m @ w + b)
-            elif exact:
-                z = scale3 * root * m[:, triples[:, 0]] * m[:, triples[:, 1]] * m[:, triples[:, 2]]
-            else:
-                z = scale3 / np.sqrt(D) * (m @ signs[0]) * (m @ signs[1]) * (m @ signs[2])
-            yield pd.Series(list(z))
+            yield pd.Series(list(features.rows(np.array(batch.tolist(), dtype=float).reshape(-1, p))))
 
     return df.withColumn(out, mapped(F.col(x)))
 

@@ -1,12 +1,10 @@
-"""Trees and forests on Spark ML, plus what it does not expose: out-of-bag votes,
-size curves from one forest, and rules as a table."""
+"""Trees and forests on Spark ML, plus what it does not expose: votes of single trees and rules
+as a table. ``forest`` has forests with their own bags."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -17,8 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators.curves import curve_table, roc_auc
-from tabwright.operators.encode import Design, bag_count
+from tabwright.operators.encode import Design
 from tabwright.session import fitted, fresh_path
 
 
@@ -81,71 +78,6 @@ def tree_votes(model, df: DataFrame, keep: Sequence[str], positive: int = 1) ->
     return rows.withColumn("leaf", F.col("_l").cast("int")).drop("_l").join(leaves, ["tree", "leaf"]).drop("leaf")
 
 
-def ensemble_curve(
-    model: RandomForestClassificationModel, df: DataFrame, sizes: Sequence[int], label: str = "y"
-) -> DataFrame:
-    """AUC of the first s trees for every s, from one fitted forest: (n_trees, roc_auc, best).
-
-    Leaf shares are looked up and averaged inside each row, so only one score per size
-    leaves it; the lookup table is as large as the fitted model.
-    """
-    shares = leaf_table(model, df.sparkSession).collect()
-    table = np.zeros((model.getNumTrees, 1 + max(r["leaf"] for r in shares)))
-    for r in shares:
-        table[r["tree"], r["leaf"]] = r["p"]
-    ends = np.array(sizes, dtype=int)
-
-    @F.pandas_udf("array<double>")
-    def prefixes(leaf: pd.Series) -> pd.Series:
-        votes = table[np.arange(len(table)), np.array(leaf.tolist(), dtype=int).reshape(-1, len(table))]
-        return pd.Series(list(np.cumsum(votes, axis=1)[:, ends - 1] / ends))
-
-    scores = model.transform(df).select(label, prefixes(vector_to_array("leaf")).alias("_s"))
-    cells = F.arrays_zip(F.lit([int(s) for s in sizes]).alias("n_trees"), F.col("_s").alias("score"))
-    long = scores.select(label, F.explode(cells).alias("c")).select(label, "c.n_trees", "c.score")
-    area = roc_auc(curve_table(long, label, "score", ["n_trees"]), ["n_trees"])
-    top = Window.partitionBy().orderBy(F.desc("roc_auc"), "n_trees")
-    return area.withColumn("best", (F.row_number().over(top) == 1).cast("int"))
-
-
-def oob_votes(
-    df: DataFrame, id_col: str = "id", label: str = "y", features: str = "features", n_trees: int = 20,
-    subset: str = "sqrt", max_depth: int = 8, balanced: bool = True, seed: str = "bag",
-) -> DataFrame:
-    """(id, y, score, trees): mean probability over the trees whose bag misses the row.
-
-    Bags are hashed from (seed, tree, id), so membership is known afterwards without
-    storing it: a row is out of bag where its count is 0.
-    """
-    # class sums of every bag in one pass: trees x classes numbers of fitted state
-    sums = {
-        r[label]: [r[f"b{t}"] for t in range(n_trees)]
-        for r in df.groupBy(label).agg(*[F.sum(bag_count(seed, t, id_col)).alias(f"b{t}") for t in range(n_trees)]).collect()
-    }
-    parts = []
-    for tree in range(n_trees):
-        bagged = df.withColumn("_bag", bag_count(seed, tree, id_col).cast("double"))
-        weight = F.col("_bag")
-        if balanced:
-            mine = {c: s[tree] for c, s in sums.items() if s[tree]}
-            factor = F.lit(0.0)
-            for c, s in mine.items():
-                factor = F.when(F.col(label) == F.lit(c), sum(mine.values()) / (len(mine) * s)).otherwise(factor)
-            weight = weight * factor
-        one = RandomForestClassifier(
-            featuresCol=features, labelCol=label, numTrees=1, bootstrap=False, featureSubsetStrategy=subset,
-            maxDepth=max_depth, weightCol="_w", seed=tree, maxBins=64,
-        ).fit(bagged.where("_bag > 0").withColumn("_w", weight))
-        held = one.transform(bagged.where("_bag = 0")).select(
-            id_col, label, vector_to_array("probability")[1].alias("_p")
-        )
-        parts.append(held)
-    votes = parts[0]
-    for part in parts[1:]:
-        votes = votes.unionByName(part)
-    return votes.groupBy(id_col, label).agg(F.avg("_p").alias("score"), F.count(F.lit(1)).alias("trees"))
-
-
 def oob_score(votes: DataFrame, label: str = "y") -> DataFrame:
     """Accuracy of out-of-bag votes over the rows that have any."""
     hit = (F.col("score") > 0.5).cast("int") == F.col(label)

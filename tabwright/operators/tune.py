@@ -7,14 +7,12 @@ from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators import text
 from tabwright.operators.curves import curve_table, roc_auc
 from tabwright.operators.decide import apply_threshold
-from tabwright.operators.linear import converged, fit_linear_svm, kernel_map, margins
 from tabwright.operators.metrics import binary_scores, classification_report
 from tabwright.session import materialize
 
@@ -217,33 +215,6 @@ def report_at_threshold(scored: DataFrame, choose: Callable[[DataFrame], DataFra
     return classification_report(test, y, "pred").withColumn("threshold", F.lit(float(cut)))
 
 
-def svm_kernel_grid(
-    rows: DataFrame, kernels: Sequence[str], gammas: Mapping[str, float], costs: Sequence[float], p: int, k: int = 5,
-    D: int = 2048, scorer: str = "f2", positive=0, max_iter: int = 30,
-) -> DataFrame:
-    """(kernel, gamma, C, mean_score, std_score, folds, converged, rank) over mapped-kernel linear machines.
-
-    ``rows`` is (id, x, y, fold, weight). Each (kernel, gamma) map is computed once and shared
-    by every C and fold; the linear kernel has no gamma and is searched once.
-    """
-    parts = []
-    for kernel in kernels:
-        for name, gamma in gammas.items() if kernel != "linear" else [("none", 0.0)]:
-            mapped = kernel_map(rows, kernel, p, gamma, D).select(
-                "id", "y", "fold", "weight", array_to_vector("z").alias("features"))
-            found = grid_search(
-                materialize(mapped, "mapped"),
-                lambda d, g: fit_linear_svm(d, C=g["C"], weight="weight", max_iter=max_iter, tol=1e-4),
-                lambda m, d: margins(m, d).withColumn("pred", (F.col("margin") > 0).cast("int")),
-                [{"C": float(c)} for c in costs], scorer, positive, k=k, settled=lambda m: converged(m, max_iter))
-            parts.append(found.select(F.lit(kernel).alias("kernel"), F.lit(name).alias("gamma"), "C", "mean_score", "std_score", "folds", "converged"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    order = Window.partitionBy().orderBy(F.round("mean_score", 9).desc())
-    return out.withColumn("rank", F.rank().over(order).cast("long"))
-
-
 def ablation(scored: Mapping[str, DataFrame], label: str = "y") -> DataFrame:
     """AUC per variant and its gap to the best: a large gap flags a leaky column."""
     parts = [df.select(F.lit(name).alias("variant"), F.col(label).alias("y"), "score") for name, df in scored.items()]

@@ -80,8 +80,12 @@ def kernel_poly_exact(spark, sf):
 
 # ---- logistic and calibration --------------------------------------------------------------
 
+def urgent_flag(spark, sf):
+    return campaign(spark, sf).select("id", "y", (F.col("priority") == "1-URGENT").cast("double").alias("urgent"))
+
+
 def _urgent(spark, sf):
-    rows = campaign(spark, sf).select("id", "y", (F.col("priority") == "1-URGENT").cast("double").alias("urgent"))
+    rows = urgent_flag(spark, sf)
     return materialize(VectorAssembler(inputCols=["urgent"], outputCol="features").transform(rows), "urgent")
 
 
@@ -154,6 +158,13 @@ s AS (SELECT level, n1, n - n1 AS n0, p1, p - p1 AS p0, p1 * (n / (2e0 * p)) AS
 b AS (SELECT *, u1 / (u1 + v1) AS r1, u0 / (u0 + v0) AS r0 FROM s ORDER BY u1 * v1 / (u1 + v1) + u0 * v0 / (u0 + v0), level LIMIT 1)"""
 
 
+def urgent_levels(spark, sf):
+    """(id, y, features): one indicator per order priority."""
+    rows = materialize(campaign(spark, sf).select("id", "y", "priority"), "rows")
+    design = encode.fit_design(rows, [], ["priority"], ignore=["id", "y"])
+    return materialize(design.assemble(rows).select("id", "y", "features"), "encoded")
+
+
 def _stump(spark, sf):
     rows = materialize(campaign(spark, sf).select("id", "y", "priority"), "rows")
     design = encode.fit_design(rows, [], ["priority"], ignore=["id", "y"])

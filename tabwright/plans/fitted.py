@@ -17,8 +17,6 @@ from tabwright.session import fresh_path, materialize
 from tabwright.sources import models, tables
 
 KERNELS = ["linear", "rbf", "poly_random"]
-# fixed values: forest sizes of the size curve
-ENSEMBLE_SIZES = [10, 20, 50, 100, 150, 200, 300, 400, 500]
 # fixed values: trees of explained and ranked forests, of the leak comparison; the reference has no depth limit
 TREES, LEAK_TREES, DEPTH, BINS = 400, 200, 10, 128
 
@@ -157,25 +155,6 @@ def support_census(spark, sf):
     return linear.support_census(linear.margins(model, _train(table)))
 
 
-@query("svm_grid")
-def svm_grid(spark, sf):
-    _, _, table = _encoded(spark, sf)
-    folded = split.stratified_folds(encode.class_weights(_train(table), "y"), "id", "y", 5, "folds")
-    return tune.grid_search(
-        materialize(folded, "folded"),
-        lambda d, p: linear.fit_linear_svm(d, C=p["C"], weight="weight"),
-        lambda m, d: linear.margins(m, d).withColumn("pred", (F.col("margin") > 0).cast("int")),
-        [{"C": c} for c in (0.1, 1.0, 10.0, 100.0)], scorer="f2", positive=0, settled=lambda m: linear.converged(m, 200))
-
-
-@query("svm_kernel_grid")
-def svm_kernel_grid(spark, sf):
-    rows = split.stratified_folds(_train(_vector_table(spark, sf)).drop("split"), "id", "y", 5, "folds")
-    rows = materialize(rows, "folded")
-    gammas = {"scale": linear.gamma_scale(rows), "0.001": 0.001, "0.01": 0.01, "0.1": 0.1}
-    return tune.svm_kernel_grid(rows, KERNELS, gammas, [0.1, 1.0, 10.0, 100.0], 64, max_iter=15)
-
-
 # ---- trees -------------------------------------------------------------------------------
 
 def _tree(spark, sf):
@@ -226,33 +205,12 @@ def complexity_curve(spark, sf):
         kept.unpersist()
 
 
-def _forest(spark, sf, n_trees=50, max_depth=6, max_bins=64):
+def _forest(spark, sf, n_trees, max_depth, max_bins):
     rows, design, table = _encoded(spark, sf, drop=None)
     weighted = encode.class_weights(_train(table), "y")
     return rows, design, table, trees.fit_forest(weighted, n_trees=n_trees, max_depth=max_depth, weight="weight", max_bins=max_bins)
 
 
-@query("forest")
-def forest(spark, sf):
-    _, _, table, model = _forest(spark, sf)
-    return linear.score_model(model, _test(table)).select("id", "y", "score", "pred")
-
-
-@query("ensemble_curve")
-def ensemble_curve(spark, sf):
-    _, _, table, model = _forest(spark, sf, ENSEMBLE_SIZES[-1])
-    return trees.ensemble_curve(model, _test(table), ENSEMBLE_SIZES)
-
-
-@query("oob")
-def oob(spark, sf):
-    _, _, table = _encoded(spark, sf, drop=None)
-    kept = _train(table).persist()
-    votes = materialize(trees.oob_votes(kept, n_trees=10, max_depth=5), "oob")
-    kept.unpersist()
-    return trees.oob_score(votes)
-
-
 @query("importance")
 def importance(spark, sf):
     _, design, _, model = _forest(spark, sf, TREES, DEPTH, BINS)

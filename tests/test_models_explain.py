@@ -185,17 +185,6 @@ def test_leaf_votes_rebuild_the_forest(data):
     votes = trees.tree_votes(model, table, ["id"]).groupBy("id").agg(F.avg("p").alias("p"))
     whole = model.transform(table).select("id", vector_to_array("probability")[1].alias("q"))
     assert votes.join(whole, "id").where(F.abs(F.col("p") - F.col("q")) > 1e-9).count() == 0
-    curve = {r["n_trees"]: r["roc_auc"] for r in trees.ensemble_curve(model, table, [1, 6, 12]).collect()}
-    direct = curves.roc_auc(curves.curve_table(whole.join(table.select("id", "y"), "id"), "y", "q")).first()[0]
-    assert curve[12] == pytest.approx(direct, abs=1e-6)
-
-
-def test_oob_votes_come_from_trees_without_the_row(data):
-    _, _, table, _, _ = data
-    votes = trees.oob_votes(table, n_trees=6, max_depth=3)
-    bags = encode.bag_weights(table, "id", "y", 6).where("bag = 0").groupBy("id").count()
-    assert votes.join(bags, "id").where("trees <> count").count() == 0 and votes.count() == bags.count()
-    assert trees.oob_score(votes).first()["oob_accuracy"] > 0.6
 
 
 def test_importance_and_audit(spark, data):
