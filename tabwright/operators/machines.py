@@ -1,19 +1,23 @@
 """Many margin machines at once: one pass over the rows serves every cost, fold and feature map.
 
 A machine minimises |w|^2 / 2 + C * sum of weight * loss(1 - s (w z + b)), s = -1 or 1, over the rows
-outside its fold. The loss is the hinge with its corner rounded over a width ``SOFT``: at most
-SOFT / 2 below the hinge, and smooth, so that the fit has a gradient that vanishes at its
-optimum. A pass computes the margins of a block for all machines of one map as one matrix
-product and the gradients as another; feature maps are recomputed inside the pass, so mapped
-rows are never written. Sums are merged per machine by Spark. The driver keeps the machines'
-parameters and runs L-BFGS on each; a machine whose gradient has vanished takes no part in
-later passes.
+outside its fold. The loss is the hinge with its corner rounded over a width: at most half of
+the width below the hinge, and smooth, so that the fit has a gradient that vanishes at its
+optimum. The width starts wide and shrinks to ``SOFT`` while the machine follows its optimum by
+Newton steps, so a fit takes some tens of passes whatever C is.
+
+A pass computes the margins of a block for all machines of one map as one matrix product,
+then gradients and curvatures; feature maps are recomputed inside the pass, so mapped rows
+are never written. Sums are merged and the steps solved per machine by Spark; a second pass
+evaluates all step lengths at once, as margins are linear in them. The driver keeps only
+the parameters. A machine whose gradient has vanished takes no part in later passes. Curvatures
+are width x width numbers per machine and block, so maps should have some hundred features.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,7 +32,10 @@ from tabwright.operators.tune import cv_results
 from tabwright.session import materialize
 
 SOFT = 0.05
-MEMORY = 20
+# widths of the rounded corner on the way to SOFT
+WIDTHS = (2.0, 1.0, 0.5, 0.2, 0.1, SOFT)
+STEPS = np.array([2.0, 1.5, 1.0, 0.75, *(0.5**j for j in range(1, 15))])
+FULL = 1 + STEPS.tolist().index(1.0)
 BLOCK = 4096
 
 
@@ -40,54 +47,20 @@ class Machine:
     C: float
     fold: int | None
     w: np.ndarray
-    value: float = np.inf
-    grad: np.ndarray | None = None
-    step: np.ndarray | None = None
-    size: float = 1.0
+    level: int = 0
+    damping: float = 1e-9
     passes: int = 0
     converged: bool = False
-    stuck: bool = False
-    past: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-
-    def trial(self) -> np.ndarray:
-        return self.w if self.step is None else self.w + self.size * self.step
-
-    def _direction(self) -> np.ndarray:
-        d, kept = -self.grad, []
-        for s, y in reversed(self.past):
-            a = (s @ d) / (s @ y)
-            d = d - a * y
-            kept.append(a)
-        if self.past:
-            s, y = self.past[-1]
-            d = d * ((s @ y) / (y @ y))
-        for (s, y), a in zip(self.past, reversed(kept), strict=True):
-            d = d + s * (a - (y @ d) / (s @ y))
-        return d
-
-    def take(self, loss: float, slope: np.ndarray, tol: float) -> None:
-        """Value and gradient of the loss at the trial point: accept it or try a shorter step."""
-        self.passes += 1
-        at = self.trial()
-        own = at.copy()
-        own[-1] = 0.0
-        value, grad = 0.5 * own @ own + self.C * loss, own + self.C * slope
-        if self.step is not None:
-            if not value <= self.value + 1e-4 * self.size * (self.grad @ self.step):
-                self.size /= 2
-                if self.size < 1e-12:
-                    # no descent left at working precision
-                    self.stuck = True
-                return
-            s, y = at - self.w, grad - self.grad
-            if s @ y > 1e-12 * (y @ y):
-                self.past = [*self.past[-MEMORY + 1 :], (s, y)]
-        self.w, self.value, self.grad = at, value, grad
-        self.converged = bool(np.sqrt(grad @ grad) <= tol * max(1.0, float(np.sqrt(own @ own))))
-        self.step = self._direction()
-        if self.step @ grad >= 0:
-            self.past, self.step = [], -grad
-        self.size = 1.0 if self.past else min(1.0, 1.0 / max(float(np.sqrt(grad @ grad)), 1e-300))
+
+    @property
+    def soft(self) -> float:
+        return WIDTHS[self.level]
+
+
+def _rounded(gap: np.ndarray, soft: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(loss, slope) of the rounded hinge."""
+    inside = np.clip(gap / soft, 0.0, 1.0)
+    return np.where(gap >= soft, gap - soft / 2, inside * inside * soft / 2), inside
 
 
 def _spread(rows: DataFrame, spaces: int, block: int) -> DataFrame:
@@ -100,54 +73,122 @@ def _spread(rows: DataFrame, spaces: int, block: int) -> DataFrame:
     return materialize(dealt, "spread")
 
 
+def _blocks(parts: Iterator[pd.DataFrame], spaces: Sequence[FeatureMap], live: list[dict]) -> Iterator[tuple]:
+    """Per block and map: its machines, mapped rows with a one behind, signs, weights (rows x machines)."""
+    for part in parts:
+        for space, own in part.groupby("space"):
+            mine = [m for m in live if m["space"] == space]
+            if mine:
+                z = spaces[space].rows(np.array(own["x"].tolist(), float))
+                z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+                sign = np.where(own["y"].to_numpy() == 1, 1.0, -1.0)[:, None]
+                folds = np.array([-1 if m["fold"] is None else m["fold"] for m in mine])
+                weight = own["weight"].to_numpy()[:, None] * (own["fold"].to_numpy()[:, None] != folds[None, :])
+                yield mine, z, sign, weight
+
+
 def fit_machines(
-    rows: DataFrame, spaces: Sequence[FeatureMap], wanted: Sequence[tuple[int, float, int | None]], tol: float = 1e-3, max_passes: int = 400,
+    rows: DataFrame, spaces: Sequence[FeatureMap], wanted: Sequence[tuple[int, float, int | None]], tol: float = 1e-3, max_rounds: int = 60,
     block: int = BLOCK,
 ) -> tuple[list[Machine], DataFrame]:
     """Fitted machines for (map number, C, held-out fold or none), and the rows they were fitted on, once per map.
 
     ``rows`` is (x, y, fold, weight): x an array of doubles, y 0 or 1; further columns are carried. A
     fit ends when the length of its gradient is at most ``tol`` times that of w (1 at least):
-    w is then within that distance of the optimum. ``converged`` tells which did.
+    w is then within that distance of the optimum. ``converged`` tells which did. A round is
+    two passes over the rows.
     """
     spark = rows.sparkSession
     table = _spread(rows, len(spaces), block)
+    read = table.select("space", "x", "y", "fold", "weight")
     width = len(rows.select("x").first()["x"])
     machines = [Machine(s, float(C), fold, np.zeros(spaces[s].width(width) + 1)) for s, C, fold in wanted]
-    for _ in range(max_passes):
-        live = [k for k, m in enumerate(machines) if not (m.converged or m.stuck)]
+
+    for _ in range(max_rounds):
+        live = [
+            {"k": k, "space": m.space, "fold": m.fold, "C": m.C, "soft": m.soft, "damping": m.damping, "w": m.w}
+            for k, m in enumerate(machines) if not m.converged
+        ]
         if not live:
             break
-        shared = spark.sparkContext.broadcast([(k, machines[k].space, machines[k].fold, machines[k].trial()) for k in live])
-
-        def sums(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            state: dict[int, tuple] = {}
-            for part in parts:
-                for space, own in part.groupby("space"):
-                    if space not in state:
-                        mine = [(k, f, w) for k, s, f, w in shared.value if s == space]
-                        if not mine:
-                            continue
-                        w = np.stack([w for *_, w in mine], axis=1)
-                        folds = np.array([-1 if f is None else f for _, f, _ in mine])
-                        state[space] = [k for k, *_ in mine], folds, w, np.zeros(len(mine)), np.zeros_like(w)
-                    _, folds, w, loss, slope = state[space]
-                    z = spaces[space].rows(np.array(own["x"].tolist(), float))
-                    sign = np.where(own["y"].to_numpy() == 1, 1.0, -1.0)[:, None]
-                    weight = own["weight"].to_numpy()[:, None] * (own["fold"].to_numpy()[:, None] != folds[None, :])
-                    gap = 1.0 - sign * (z @ w[:-1] + w[-1])
-                    inside = np.clip(gap / SOFT, 0.0, 1.0)
-                    loss += (weight * np.where(gap >= SOFT, gap - SOFT / 2, inside * inside * SOFT / 2)).sum(axis=0)
-                    pull = -sign * weight * inside
-                    slope[:-1] += z.T @ pull
-                    slope[-1] += pull.sum(axis=0)
-            for ids, _, _, loss, slope in state.values():
-                yield pd.DataFrame({"k": ids, "loss": loss, "slope": list(slope.T)})
-
-        found = table.select("space", "x", "y", "fold", "weight").mapInPandas(sums, "k int, loss double, slope array<double>")
-        found = found.groupBy("k").agg(F.sum("loss").alias("loss"), Summarizer.sum(array_to_vector("slope")).alias("slope"))
-        for r in found.collect():
-            machines[r["k"]].take(r["loss"], r["slope"].toArray(), tol)
+        shared = spark.sparkContext.broadcast(live)
+
+        def curves(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            sums: dict[int, list] = {}
+            for mine, z, sign, weight in _blocks(parts, spaces, shared.value):
+                soft = np.array([m["soft"] for m in mine])
+                gap = 1.0 - sign * (z @ np.stack([m["w"] for m in mine], axis=1))
+                _, inside = _rounded(gap, soft)
+                slope = z.T @ (-sign * weight * inside)
+                bend = np.where((gap > 0) & (gap < soft), weight / soft, 0.0)
+                for c, m in enumerate(mine):
+                    use = np.flatnonzero(bend[:, c])
+                    held = sums.setdefault(m["k"], [np.zeros((2, z.shape[1])), np.zeros((z.shape[1],) * 2)])
+                    held[0][0] += slope[:, c]
+                    held[0][1] += weight[:, c] / soft[c] @ (z * z)
+                    held[1] += (z[use] * bend[use, c, None]).T @ z[use]
+            for k, (slope, bend) in sums.items():
+                yield pd.DataFrame({"k": [k], "slope": [slope.tobytes()], "bend": [bend.tobytes()]})
+
+        def solve(part: pd.DataFrame) -> pd.DataFrame:
+            m = next(m for m in shared.value if m["k"] == part["k"].iloc[0])  # noqa: B023, run before the next round
+            slope, most = sum(np.frombuffer(b).reshape(2, -1) for b in part["slope"])
+            bend = sum(np.frombuffer(b) for b in part["bend"]).reshape(len(slope), -1)
+            own = np.append(m["w"][:-1], 0.0)
+            grad = own + m["C"] * slope
+            whole = m["C"] * bend + np.diag(np.append(np.ones(len(own) - 1), 0.0))
+            # a share of the curvature that all rows together could have
+            whole += m["damping"] * np.diag(1.0 + m["C"] * most)
+            step = -np.linalg.solve(whole, grad)
+            return pd.DataFrame({"k": [m["k"]], "size": [float(np.sqrt(grad @ grad))], "step": [step.tobytes()]})
+
+        found = read.mapInPandas(curves, "k int, slope binary, bend binary")
+        found = {r["k"]: r for r in found.groupBy("k").applyInPandas(solve, "k int, size double, step binary").collect()}
+        shared.unpersist()
+        moving = []
+        for m in live:
+            own, r = machines[m["k"]], found.get(m["k"])
+            own.passes += 1
+            if r is None:  # no rows outside the fold
+                own.converged = True
+            elif own.level == len(WIDTHS) - 1 and r["size"] <= tol * max(1.0, float(np.sqrt(own.w[:-1] @ own.w[:-1]))):
+                own.converged = True
+            else:
+                moving.append(m | {"step": np.frombuffer(r["step"])})
+        if not moving:
+            continue
+        shared = spark.sparkContext.broadcast(moving)
+
+        def losses(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            sums: dict[int, np.ndarray] = {}
+            for mine, z, sign, weight in _blocks(parts, spaces, shared.value):
+                soft = np.array([m["soft"] for m in mine])
+                gap = 1.0 - sign * (z @ np.stack([m["w"] for m in mine], axis=1))
+                turn = -sign * (z @ np.stack([m["step"] for m in mine], axis=1))
+                # the point itself, then all step lengths
+                each = np.stack([(weight * _rounded(gap + t * turn, soft)[0]).sum(axis=0) for t in (0.0, *STEPS)], axis=1)
+                for c, m in enumerate(mine):
+                    sums[m["k"]] = sums.get(m["k"], 0.0) + each[c]
+            for k, loss in sums.items():
+                yield pd.DataFrame({"k": [k], "loss": [loss.tolist()]})
+
+        found = read.mapInPandas(losses, "k int, loss array<double>")
+        found = found.groupBy("k").agg(Summarizer.sum(array_to_vector("loss")).alias("loss")).collect()
+        by = {m["k"]: m for m in moving}
+        for r in found:
+            own, step = machines[r["k"]], by[r["k"]]["step"]
+            points = [own.w + t * step for t in (0.0, *STEPS)]
+            values = [0.5 * p[:-1] @ p[:-1] + own.C * x for p, x in zip(points, r["loss"].toArray(), strict=True)]
+            best, last = int(np.argmin(values)), own.level == len(WIDTHS) - 1
+            if best:
+                own.w, own.damping = points[best], max(own.damping / 10, 1e-10)
+                # the path goes on where a step of about full length was right
+                own.level += not last and 0.5 <= STEPS[best - 1] <= 1.5
+            elif values[FULL] - values[0] <= 1e-11 * abs(values[0]):
+                # level at working precision
+                own.w, own.level = points[FULL], own.level + (not last)
+            else:
+                own.damping = max(own.damping * 30, 1e-6)
         shared.unpersist()
     return machines, table
 
@@ -178,7 +219,7 @@ def machine_margins(machines: Sequence[Machine], spaces: Sequence[FeatureMap], t
 
 def machine_grid(
     rows: DataFrame, points: Sequence[tuple[str, str, FeatureMap]], costs: Sequence[float], k: int = 5, scorer: str = "f2", positive=0,
-    tol: float = 1e-3, max_passes: int = 400,
+    tol: float = 1e-3, max_rounds: int = 60,
 ) -> DataFrame:
     """(kernel, gamma, C, mean_score, std_score, folds, converged, rank) over all maps, costs and folds, fitted together.
 
@@ -187,7 +228,7 @@ def machine_grid(
     spark = rows.sparkSession
     spaces = [m for *_, m in points]
     wanted = [(s, float(C), f) for s in range(len(spaces)) for C in costs for f in range(k)]
-    machines, table = fit_machines(rows, spaces, wanted, tol, max_passes)
+    machines, table = fit_machines(rows, spaces, wanted, tol, max_rounds)
     names = spark.createDataFrame(
         [(n, points[m.space][0], points[m.space][1], m.C, m.fold, m.converged) for n, m in enumerate(machines)],
         "machine int, kernel string, gamma string, C double, fold int, ok boolean",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tabwright.operators import decide, encode, linear, machines, neighbors, spl
 from tabwright.operators.linear import FeatureMap
 from tabwright.plans.closed import urgent_flag
 from tabwright.plans.encoders import fixed_design, split_campaign
-from tabwright.plans.frames import CAMPAIGN_SQL, sql_tidy, vectors
+from tabwright.plans.frames import CAMPAIGN_SQL, VECTORS_SQL, sql_tidy, vectors
 from tabwright.plans.registry import query
 from tabwright.session import materialize
 
@@ -24,8 +26,8 @@ def _points(rows):
     """(kernel, name of gamma, map) of the search; the linear kernel has no gamma."""
     scale = linear.gamma_scale(rows)
     out = [("linear", "none", FeatureMap("linear"))]
-    for kernel in ("rbf", "poly_random"):
-        out += [(kernel, name, FeatureMap(kernel, scale if name == "scale" else float(name))) for name in GAMMAS]
+    for kernel in ("rbf", "poly"):
+        out += [(kernel, name, linear.fit_landmarks(rows, kernel, scale if name == "scale" else float(name))) for name in GAMMAS]
     return out
 
 
@@ -81,6 +83,51 @@ def svm_tuned_report(spark, sf):
     return report.withColumns({c: F.lit(best[c]) for c in ("kernel", "gamma", "C")})
 
 
+# ---- how well feature maps keep the kernel -------------------------------------------------
+
+def _pairs(spark, sf):
+    """Rows and their neighbours in id order."""
+    rows = vectors(spark, sf).select("id", "x")
+    return materialize(rows.join(rows.select((F.col("id") - 1).alias("id"), F.col("x").alias("z")), "id"), "pairs")
+
+
+def _on_pairs(pairs, values, schema):
+    """``values(x, z)`` per block of pairs, as columns behind the id."""
+
+    def each(parts):
+        for part in parts:
+            x, z = (np.array(part[c].tolist(), float).reshape(len(part), -1) for c in ("x", "z"))
+            yield pd.DataFrame({"id": part["id"], **values(x, z)})
+
+    return pairs.mapInPandas(each, f"id long, {schema}")
+
+
+def _exact(kernel, gamma, x, z):
+    return np.concatenate([linear.kernel_values(kernel, gamma, a[None], b[None])[0] for a, b in zip(x, z, strict=True)])
+
+
+@query("kernel_exact_pairs", f"""
+WITH v AS ({VECTORS_SQL}), p AS (SELECT a.id AS id, a.x AS x, b.x AS z FROM v a JOIN v b ON b.id = a.id + 1)
+SELECT id, {sql_tidy("exp(-0.5e0 * (list_dot_product(x, x) + list_dot_product(z, z) - 2e0 * list_dot_product(x, z)))")} AS rbf,
+       {sql_tidy("pow(0.5e0 * list_dot_product(x, z), 3)")} AS poly FROM p""")
+def kernel_exact_pairs(spark, sf):
+    """The kernels themselves, which the maps are held against."""
+    found = _on_pairs(_pairs(spark, sf), lambda x, z: {k: _exact(k, 0.5, x, z) for k in ("rbf", "poly")}, "rbf double, poly double")
+    return found.select("id", tidy(F.col("rbf")).alias("rbf"), tidy(F.col("poly")).alias("poly"))
+
+
+@query("kernel_map_error")
+def kernel_map_error(spark, sf):
+    """(kernel, map, pairs, mean_error, max_error): mapped dot products against the exact kernel."""
+    pairs, parts = _pairs(spark, sf), []
+    for kernel in ("rbf", "poly"):
+        spaces = {"landmarks": linear.fit_landmarks(pairs, kernel, 0.5), "random": FeatureMap("rbf" if kernel == "rbf" else "poly_random", 0.5)}
+        for name, space in spaces.items():
+            gaps = _on_pairs(pairs, lambda x, z, k=kernel, m=space: {"gap": np.abs((m.rows(x) * m.rows(z)).sum(axis=1) - _exact(k, 0.5, x, z))}, "gap double")
+            parts.append(gaps.agg(F.lit(kernel).alias("kernel"), F.lit(name).alias("map"), F.count(F.lit(1)).alias("pairs"), F.avg("gap").alias("mean_error"), F.max("gap").alias("max_error")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 # ---- one indicator: the optimum of each of its two levels is a ratio of weights ------------
 
 _HINGE_SQL = f"""

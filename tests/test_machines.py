@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tabwright.operators import machines
+from tabwright.operators import linear, machines
 from tabwright.operators.linear import FeatureMap
 
 
@@ -47,4 +47,18 @@ def test_grid_has_every_point_and_reports_unsettled_fits(spark):
     grid = machines.machine_grid(df, points, [0.1, 1.0], k=3).collect()
     assert {(r["kernel"], r["gamma"], r["C"]) for r in grid} == {(k, g, c) for k, g, _ in points for c in (0.1, 1.0)}
     assert all(r["converged"] and r["folds"] == 3 and 0 <= r["mean_score"] <= 1 for r in grid) and min(r["rank"] for r in grid) == 1
-    assert not any(r["converged"] for r in machines.machine_grid(df, points, [1.0], k=3, max_passes=1).collect())
+    assert not any(r["converged"] for r in machines.machine_grid(df, points, [1.0], k=3, max_rounds=1).collect())
+
+
+def test_landmarks_keep_the_kernel(spark):
+    df, x, *_ = problem(spark, 120, 3)
+    for kernel in ("rbf", "poly"):
+        exact = linear.kernel_values(kernel, 0.4, x, x)
+        want = np.exp(-0.4 * ((x[:, None] - x[None]) ** 2).sum(axis=2)) if kernel == "rbf" else (0.4 * x @ x.T) ** 3
+        assert np.allclose(exact, want)
+        # with every row a landmark the map is exact; with few it is exact between these
+        z = linear.fit_landmarks(df, kernel, 0.4, m=500).rows(x)
+        assert np.abs(z @ z.T - exact).max() < 1e-4
+        few = linear.fit_landmarks(df, kernel, 0.4, m=30)
+        z = few.rows(few.points)
+        assert len(few.points) == 30 and np.abs(z @ z.T - linear.kernel_values(kernel, 0.4, few.points, few.points)).max() < 1e-4
