@@ -189,10 +189,11 @@ _PERM_SQL = f"""
 WITH t AS (SELECT id, price, balance, priority, y FROM ({CAMPAIGN_SQL})),
 b AS (SELECT *, row_number() OVER (ORDER BY md5('perm~base~' || id), id) AS r FROM t),
 k AS (SELECT c, CAST(n AS INTEGER) AS rep FROM (VALUES ('price'), ('balance'), ('priority')) v(c), range(3) q(n)),
-d AS (SELECT c, rep, price, balance, priority, row_number() OVER (PARTITION BY c, rep ORDER BY md5('perm~' || c || '~' || rep || '~' || id)) AS r FROM t, k),
-p AS (SELECT d.c AS c, d.rep AS rep, b.y AS y, CASE WHEN c = 'price' THEN d.price ELSE b.price END AS price,
+n AS (SELECT count(*) AS n FROM t),
+h AS (SELECT c, rep, n, CAST(floor(CAST('0x' || substr(md5('perm~' || c || '~' || rep), 1, 12) AS BIGINT) / CAST(281474976710656 AS DOUBLE) * n) AS BIGINT) AS at FROM k, n),
+p AS (SELECT h.c AS c, h.rep AS rep, b.y AS y, CASE WHEN c = 'price' THEN d.price ELSE b.price END AS price,
       CASE WHEN c = 'balance' THEN d.balance ELSE b.balance END AS balance, CASE WHEN c = 'priority' THEN d.priority ELSE b.priority END AS priority
-      FROM b JOIN d ON b.r = d.r),
+      FROM b CROSS JOIN h JOIN b d ON d.r = ((b.r - 1) * 1000003 + h.at) % h.n + 1),
 z AS (SELECT c, rep, y, {_FIXED_RAW} AS score FROM p UNION ALL SELECT 'whole', 0, y, {_FIXED_RAW} FROM t),
 e AS (SELECT c, rep, score, count(*) AS n, sum(y) AS pos FROM z GROUP BY 1, 2, 3),
 cu AS (SELECT *, CAST(sum(n) OVER w AS BIGINT) AS seen, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(pos) OVER (PARTITION BY c, rep) AS BIGINT) AS positives
