@@ -25,7 +25,7 @@ def fit_tree(
 ) -> DecisionTreeClassificationModel:
     est = DecisionTreeClassifier(
         featuresCol=features, labelCol=label, impurity=impurity, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-        maxBins=max_bins, seed=seed,
+        maxBins=max_bins, leafCol="leaf", seed=seed,
     )
     return (est.setWeightCol(weight) if weight else est).fit(df)
 
@@ -160,16 +160,35 @@ def complexity_curve(
     train: DataFrame, test: DataFrame, depths: Sequence[int] = tuple(range(1, 16)), label: str = "y", features: str = "features",
     **options,
 ) -> DataFrame:
-    """(max_depth, train_accuracy, test_accuracy); both accuracies in one pass per depth."""
-    both = train.select(label, features, F.lit("train").alias("_s")).unionByName(
-        test.select(label, features, F.lit("test").alias("_s"))
-    )
-    rows = []
-    for depth in depths:
-        model = fit_tree(train, label, features, max_depth=depth, **options)
-        hit = (F.col("prediction") == F.col(label)).cast("double")
-        scores = model.transform(both).agg(
-            F.avg(F.when(F.col("_s") == "train", hit)).alias("a"), F.avg(F.when(F.col("_s") == "test", hit)).alias("b")
-        ).first()
-        rows.append((depth, scores["a"], scores["b"]))
-    return train.sparkSession.createDataFrame(rows, "max_depth int, train_accuracy double, test_accuracy double")
+    """(max_depth, train_accuracy, test_accuracy) for every depth, from one fit of the deepest tree.
+
+    Trees grow from the top, so a shallower tree is the deepest one cut off: at depth d a row is
+    predicted by the node it passes there. Each leaf carries the predictions of the nodes
+    on its path, so one join by leaf serves all depths; the leaf table is as large as the model.
+    """
+    depths = [int(d) for d in depths]
+    model = fit_tree(train, label, features, max_depth=max(depths), **options)
+    spark = train.sparkSession
+    nodes = {r["id"]: r for r in node_table(model, spark).collect()}
+    leaves: list[tuple[int, list[float]]] = []
+    stack: list[tuple[int, list[float]]] = [(0, [])]
+    while stack:
+        at, above = stack.pop()
+        path = [*above, float(nodes[at]["prediction"])]
+        if nodes[at]["left"] < 0:
+            leaves.append((at, [path[min(d, len(path) - 1)] for d in depths]))
+        else:
+            stack += [(nodes[at]["left"], path), (nodes[at]["right"], path)]
+    table = spark.createDataFrame([(n, told) for n, (_, told) in enumerate(sorted(leaves))], "leaf int, told array<double>")
+    both = train.select(label, features, F.lit("train").alias("_s")).unionByName(test.select(label, features, F.lit("test").alias("_s")))
+    rows = model.transform(both).select(label, "_s", F.col("leaf").cast("int").alias("leaf")).join(table, "leaf")
+
+    def share(k: int, side: str) -> Column:
+        return F.avg(F.when(F.col("_s") == side, (F.col("told")[k] == F.col(label)).cast("double")))
+
+    wide = rows.agg(*[share(k, side).alias(f"{side}{k}") for k in range(len(depths)) for side in ("train", "test")])
+    cells = [
+        F.struct(F.lit(d).alias("max_depth"), F.col(f"train{k}").alias("train_accuracy"), F.col(f"test{k}").alias("test_accuracy"))
+        for k, d in enumerate(depths)
+    ]
+    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")

@@ -217,6 +217,33 @@ def stump_rules_text(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "rule")
 
 
+def _best_level(source, out, name):
+    """Best single indicator by weighted Gini inside ``source``: its level and the class of both sides."""
+    return f"""{name}g AS (SELECT level, sum(wp) AS a, sum(wn) AS b FROM {source} GROUP BY 1), {name}a AS (SELECT sum(wp) AS p, sum(wn) AS q FROM {source}),
+{out} AS (SELECT level, CAST(a > b AS INTEGER) AS yes, CAST(p - a > q - b AS INTEGER) AS no FROM {name}g, {name}a
+ORDER BY (a * a + b * b) / (a + b) + ((p - a) * (p - a) + (q - b) * (q - b)) / (p - a + q - b) DESC, level LIMIT 1)"""
+
+
+_DEPTHS_SQL = f"""
+WITH t AS (SELECT id, y, priority AS level, id % 4 = 0 AS held FROM ({CAMPAIGN_SQL})),
+n AS (SELECT count(*) AS n, sum(y) AS p FROM t WHERE NOT held),
+f AS (SELECT level, y * (n / (2e0 * p)) AS wp, (1 - y) * (n / (2e0 * (n - p))) AS wn FROM t, n WHERE NOT held),
+{_best_level('f', 'b1', 'x')}, r AS (SELECT f.* FROM f, b1 WHERE f.level <> b1.level), {_best_level('r', 'b2', 'z')},
+s AS (SELECT held, y, CASE WHEN t.level = b1.level THEN b1.yes ELSE b1.no END AS d1,
+      CASE WHEN t.level = b1.level THEN b1.yes WHEN t.level = b2.level THEN b2.yes ELSE b2.no END AS d2 FROM t, b1, b2)"""
+
+
+@query("complexity_closed", f"""{_DEPTHS_SQL} """ + " UNION ALL ".join(
+    f"SELECT {d} AS max_depth, {sql_tidy(f'avg(CAST(d{d} = y AS INTEGER)) FILTER (WHERE NOT held)')} AS train_accuracy, "
+    f"{sql_tidy(f'avg(CAST(d{d} = y AS INTEGER)) FILTER (WHERE held)')} AS test_accuracy FROM s" for d in (1, 2)))
+def complexity_closed(spark, sf):
+    """Depths 1 and 2 over disjoint indicators, cut from one tree."""
+    table = urgent_levels(spark, sf)
+    train = encode.class_weights(table.where("id % 4 <> 0"), "y")
+    curve = trees.complexity_curve(train, table.where("id % 4 = 0"), (1, 2), weight="weight")
+    return curve.withColumns({c: tidy(F.col(c)) for c in ("train_accuracy", "test_accuracy")})
+
+
 # ---- ranking beyond what one heap holds ----------------------------------------------------
 
 @query("top_k_ranked", f"""

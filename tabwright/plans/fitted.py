@@ -198,11 +198,7 @@ def tree_grid(spark, sf):
 @query("complexity_curve")
 def complexity_curve(spark, sf):
     _, _, table = _encoded(spark, sf, drop=None)
-    kept = table.persist()
-    try:
-        return trees.complexity_curve(_train(kept), _test(kept), max_bins=64)
-    finally:
-        kept.unpersist()
+    return trees.complexity_curve(encode.class_weights(_train(table), "y"), _test(table), weight="weight")
 
 
 def _forest(spark, sf, n_trees, max_depth, max_bins):

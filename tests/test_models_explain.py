@@ -187,6 +187,16 @@ def test_leaf_votes_rebuild_the_forest(data):
     assert votes.join(whole, "id").where(F.abs(F.col("p") - F.col("q")) > 1e-9).count() == 0
 
 
+def test_cut_trees_equal_trees_of_their_depth(data):
+    _, _, table, _, _ = data
+    train, test = encode.class_weights(table.where("id % 3 <> 0"), "y"), table.where("id % 3 = 0")
+    curve = {r["max_depth"]: (r["train_accuracy"], r["test_accuracy"]) for r in trees.complexity_curve(train, test, (1, 2, 4, 7), weight="weight", min_leaf=3).collect()}
+    for depth, both in curve.items():
+        model = trees.fit_tree(train, max_depth=depth, weight="weight", min_leaf=3)
+        own = [model.transform(d).agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0] for d in (train, test)]
+        assert both == pytest.approx(own)
+
+
 def test_importance_and_audit(spark, data):
     _, design, table, _, _ = data
     imp = trees.impurity_importance(trees.fit_forest(table, n_trees=5, max_depth=3), design.name_table(spark))
