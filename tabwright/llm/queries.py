@@ -105,9 +105,8 @@ def kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM d LEFT JOIN t USING (doc_id)""",
 )
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=True)
-    # what is left as text; parts of characters at the edges of what was removed go
-    return found.withColumn("text", repeats.whole_characters("kept")).drop("kept").withColumnRenamed("id", "doc_id")
+    found = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), keep="text")
+    return found.withColumnRenamed("id", "doc_id")
 
 
 @query(

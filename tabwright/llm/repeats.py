@@ -20,9 +20,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import join_spread, row_key
@@ -235,33 +234,42 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     return covered.unionByName(covered_blocks).unionByName(single)
 
 
-def _kept(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in parts:
-        removed, spans, digests, texts = [], [], [], []
-        for text, ranges in zip(part.pop("text"), part.pop("ranges"), strict=True):
-            data = _bytes(text)
-            gone: list[list[int]] = []
-            for lo, hi in sorted((r["from"], r["to"]) for r in ranges) if ranges is not None else ():
-                if gone and lo <= gone[-1][1]:
-                    gone[-1][1] = max(gone[-1][1], hi)
-                else:
-                    gone.append([lo, hi])
-            edges = [0, *[x for g in gone for x in g], len(data)]
-            kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            removed.append(len(data) - len(kept))
-            spans.append(len(gone))
-            digests.append(hashlib.sha256(kept).hexdigest())
-            texts.append(kept)
-        yield part.assign(n_removed=removed, n_spans=spans, kept_sha256=digests, kept=texts)
-
-
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) per row: texts without repeated strings.
+def _kept(keep: str | None):
+    """Removes the ranges from the texts, some hundred rows at a time."""
+
+    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in parts:
+            for at in range(0, len(whole), 500):
+                part = whole.iloc[at : at + 500].copy()
+                removed, spans, digests, texts = [], [], [], []
+                for text, ranges in zip(part.pop("text"), part.pop("ranges"), strict=True):
+                    data = _bytes(text)
+                    gone: list[list[int]] = []
+                    for lo, hi in sorted((r["from"], r["to"]) for r in ranges) if ranges is not None else ():
+                        if gone and lo <= gone[-1][1]:
+                            gone[-1][1] = max(gone[-1][1], hi)
+                        else:
+                            gone.append([lo, hi])
+                    edges = [0, *[x for g in gone for x in g], len(data)]
+                    kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                    removed.append(len(data) - len(kept))
+                    spans.append(len(gone))
+                    digests.append(hashlib.sha256(kept).hexdigest())
+                    texts.append(kept.decode("utf-8", "ignore") if keep == "text" else kept)
+                made = part.assign(n_removed=removed, n_spans=spans, kept_sha256=digests)
+                yield made.assign(**{keep: texts}) if keep else made
+
+    return cut
+
+
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept or text]) per row: texts without repeated strings.
 
     Texts are whole UTF-8 texts (null: empty). Every byte goes that a string of ``length``
     bytes covers which also starts anywhere else, in the same text too; overlaps count, and
     strings never cross texts. Rows that repeat id and text are texts of their own, so each
-    repeats the other. Texts shorter than ``length`` stay. ``kept`` are the bytes left. An
+    repeats the other. Texts shorter than ``length`` stay. With ``keep``
+    "kept" the bytes left are returned, with "text" the whole characters among them. An
     empty table gives no rows; other columns are not needed and not returned.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
@@ -270,21 +278,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     ranges = ranges.groupBy("a", "b").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
     base = base.select("id", "key.a", "key.b", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    last = {None: "", "kept": ", kept binary", "text": ", text string"}[keep]
+    schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string{last}"
     whole = base.join(ranges, ["a", "b"], "left").select("id", "text", "n_bytes", "ranges")
-    made = whole.mapInPandas(_kept if keep else _without_kept, schema if keep else schema.removesuffix(", kept binary"))
-    return made
-
-
-def _without_kept(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in _kept(parts):
-        yield part.drop(columns="kept")
-
-
-def whole_characters(data: str) -> Column:
-    """The characters of a binary column that are there as a whole; bytes of others go."""
-
-    def decode(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else bytes(v).decode("utf-8", "ignore") for v in values.to_pylist()], pa.string())
-
-    return F.arrow_udf(decode, "string")(F.col(data))
+    return whole.mapInPandas(_kept(keep), schema)

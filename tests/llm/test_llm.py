@@ -293,6 +293,8 @@ def test_repeats_equal_brute_force(spark, none, length):
     df = spark.createDataFrame(data, "doc_id long, text string, a string")
     want = sorted(((i, *r) for (i, *_), r in zip(data, brute_repeats([(t or "").encode() for _, t, _ in data], length), strict=True)), key=repr)
     assert rows(repeats.remove_repeats(df, length)) == want
+    left = {keep: {(r["id"], r["kept_sha256"]): r[keep] for r in repeats.remove_repeats(df, length, keep=keep).collect()} for keep in ("kept", "text")}
+    assert all(hashlib.sha256(raw).hexdigest() == key[1] and left["text"][key] == bytes(raw).decode("utf-8", "ignore") for key, raw in left["kept"].items())
     assert repeats.remove_repeats(none, length).count() == 0
 
 
