@@ -18,7 +18,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,10 @@ from tabwright.llm.common import join_spread
 from tabwright.session import materialize
 
 CHUNK_BYTES = 1 << 19
+# words whose ids a task remembers before it starts anew
+WORDS = 400_000
+# a document's bytes are counted in so many bits, its place in a chunk in the rest
+END_BITS = 36
 SPACE = "▁"
 INNER_SPACE = re.compile(f"[^{SPACE}]{SPACE}")
 # spaces and what stands behind them
@@ -150,12 +154,13 @@ def _links(a: pa.Table, b: pa.Table) -> pa.Table:
     ``both`` marks rows that end at a shared end. Between two neighbouring ends of either side
     lies one token of each, and two tokens share one such stretch at most, so stretches and links are the same.
     """
-    sides = [t.select(["doc", "end"]).append_column(name, pa.array(np.arange(t.num_rows, dtype=np.int64))) for t, name in ((a, "a"), (b, "b"))]
-    met = sides[0].join(sides[1], ["doc", "end"], join_type="full outer", use_threads=False)
-    met = met.sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
+    # document and end in one number: a join and a sort on one key
+    key = lambda t: pc.bit_wise_or(pc.shift_left(t["doc"].cast(pa.int64()), END_BITS), t["end"])
+    sides = [pa.table({"key": key(t), name: pa.array(np.arange(t.num_rows, dtype=np.int64))}) for t, name in ((a, "a"), (b, "b"))]
+    met = sides[0].join(sides[1], "key", join_type="full outer", use_threads=False).sort_by("key").combine_chunks()
     both = pc.and_(pc.is_valid(met["a"]), pc.is_valid(met["b"]))
     # a stretch that ends inside a token belongs to the next end of that side; the last end of a document is shared
-    return pa.table({"doc": met["doc"], "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]), "both": both})
+    return pa.table({"doc": pc.shift_right(met["key"], END_BITS).cast(pa.int32()), "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]), "both": both})
 
 
 def _joined(ids: pa.Array, sizes: np.ndarray, words: pa.Array) -> pa.Array:
@@ -164,41 +169,89 @@ def _joined(ids: pa.Array, sizes: np.ndarray, words: pa.Array) -> pa.Array:
     return pc.binary_join(pa.LargeListArray.from_arrays(edges, words.take(ids)), ",")
 
 
+class Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Aligner:
-    """Tokens, groups and links of chunks of documents."""
+    """Tokens, groups and links of chunks of documents.
 
-    def __init__(self, a_path: str, b_path: str):
+    The ids of a word are remembered for later chunks, of up to ``words`` words and those of one chunk.
+    """
+
+    def __init__(self, a_path: str, b_path: str, words: int = WORDS):
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.a_bytes, self.b_bytes = pa.array(self.a.bytes, pa.binary()), pa.array(self.b.bytes, pa.binary())
         self.by_words = self.a.fast is not None and self.b.by_words
         self.words = pa.array([str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))])
+        self.most = words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.known, self.right = Numbers(), [_lists([]), _lists([])], np.zeros(0, bool)
+
+    def _numbered(self, words: list[str]) -> np.ndarray:
+        """Numbers of words whose ids are known from here on; each new word is encoded once."""
+        if len(self.numbers) > self.most:
+            self._forget()
+        before = len(self.numbers)
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        if len(self.numbers) > before:
+            *sides, right = self._encoded(list(islice(self.numbers, before, None)))
+            self.known = [pa.concat_arrays([old, new]) for old, new in zip(self.known, sides, strict=True)]
+            self.right = np.concatenate([self.right, right])
+        return numbers
 
     def _encoded(self, spaced: list[str]) -> tuple[pa.ListArray, pa.ListArray, np.ndarray]:
         """Ids of both sides and whether both give back the bytes; every string begins with a space."""
-        a, b = _lists(self.a.encode(spaced)), _lists(self.b.encode([s[1:] for s in spaced]))
+        a, b = self._a_ids(spaced), _lists(self.b.encode([s[1:] for s in spaced]))
         text = pa.array(spaced, pa.string())
         return a, b, _same_bytes(a, self.a_bytes, text) & _same_bytes(b, self.b_bytes, text)
 
+    def _a_ids(self, spaced: list[str]) -> pa.ListArray:
+        """Ids of side A. Words that cannot merge with a neighbour are one text, cut at their ends."""
+        alone = np.array([len(w) < 2 or w[1] == " " or w[-1].isspace() for w in spaced], bool)
+        if not self.by_words or alone.all():
+            return _lists(self.a.encode(spaced))
+        near = np.flatnonzero(~alone)
+        words = [spaced[i] for i in near.tolist()]
+        one = _lists(self.a.encode(["".join(words)])).values
+        ends = np.cumsum(pc.binary_length(self.a_bytes.take(one)).to_numpy())
+        wanted = np.cumsum([len(w.encode()) for w in words])
+        edges = np.searchsorted(ends, wanted)
+        if edges[-1] >= len(ends) or (ends[edges] != wanted).any():
+            return _lists(self.a.encode(spaced))
+        joined = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], edges + 1]), pa.int32()), one)
+        if not alone.any():
+            return joined
+        rest = np.flatnonzero(alone)
+        place = np.empty(len(spaced), np.int64)
+        place[near], place[rest] = np.arange(len(near)), len(near) + np.arange(len(rest))
+        return pa.concat_arrays([joined, _lists(self.a.encode([spaced[i] for i in rest.tolist()]))]).take(pa.array(place))
+
     def tokens(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.ListArray]:
         """Ids of both sides; none where a side does not give back a space and the text.
 
         Neither side merges across the place where a space follows another character, and the word
         pattern looks no further than the next character. So ids of a text are those of its words
-        with the spaces before them, and each distinct word of a chunk is encoded once.
+        with the spaces before them.
         """
         spaced = [" " + t if t else "" for t in texts]
         whole = {i for i, t in enumerate(spaced) if t and (not self.by_words or RUN.search(t))}
         cut = [SEGMENT.findall(t) if i not in whole else [] for i, t in enumerate(spaced)]
-        coded = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
-        a, b, right = self._encoded(coded.dictionary.to_pylist())
-        at = coded.indices.to_numpy()
+        at = self._numbered(list(chain.from_iterable(cut)))
         edges = np.cumsum([0, *map(len, cut)])
+        right = self.right[at]
         if not right.all():
             # words that do not come back alone are left to their whole texts
-            whole |= set(np.repeat(np.arange(len(cut)), np.diff(edges))[~right[at]].tolist())
+            whole |= set(np.repeat(np.arange(len(cut)), np.diff(edges))[~right].tolist())
         sides = []
-        for words in (a, b):
-            taken = words.take(coded.indices)
+        for words in self.known:
+            taken = words.take(pa.array(at))
             ends = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, 4 * taken.offset)
             sides.append(pa.ListArray.from_arrays(pa.array(ends[edges] - ends[0]), pc.list_flatten(taken)))
         if not whole:

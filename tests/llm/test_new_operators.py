@@ -169,6 +169,10 @@ def test_words_have_the_ids_of_whole_texts():
             none += 1
             assert b.decode(b.encode(t)) != t or " ".join(t.split()) != t or not t.isascii()
     assert 0 < none < 2000
+    # a task that forgets its words, and one that meets them in another order
+    for other in (align.Aligner(A_PATH, B_PATH, words=3), aligner):
+        found = [[side.to_pylist() for side in other.tokens(texts[lo : lo + 500])] for lo in range(0, len(texts), 500)]
+        assert [[x for part in found for x in part[i]] for i in (0, 1)] == [side.to_pylist() for side in aligner.tokens(texts)]
 
 
 def test_other_byte_level_files_take_their_own_pipeline(tmp_path):
