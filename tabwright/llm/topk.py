@@ -19,12 +19,17 @@ from tabwright.session import bucket_target, materialize
 SHARD_ROWS = 65_536
 BLOCK_ROWS = 8_192
 LEAF = 256
+REACH = 2.0**61
 
 
 def quantized(vector: Column, scale: int) -> Column:
-    """floor(scale * x) per component; null for vectors that are null, or hold null, NaN or infinity."""
+    """floor(scale * x) per component; null for vectors that are null, or hold null, NaN or infinity.
+
+    Components beyond the root of ``REACH`` / width count as that, so that every score fits into a long.
+    """
     fine = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    return F.when(fine, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
+    most = F.floor(F.sqrt(F.lit(REACH) / F.greatest(F.size(vector), F.lit(1)))).cast("double")
+    return F.when(fine, F.transform(vector, lambda x: F.floor(F.greatest(F.least(x.cast("double") * scale, most), -most)).cast("long")))
 
 
 def kd_leaves(x: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
@@ -43,20 +48,17 @@ def kd_leaves(x: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
     return out
 
 
-def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple:
-    """(query row, id, score) of each query's k best rows with a score of at least ``floor``.
+def search(ids: np.ndarray, rows: np.ndarray, x: np.ndarray, query_rows: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple:
+    """(query, id, score) of each query's k best rows with a score of at least ``floor``.
 
-    Ties go to smaller ids; a query never meets its own id. ``ids`` are distinct.
+    Ties go to smaller ids; a query never meets its own row. ``rows`` are distinct, ``ids`` may repeat.
     """
-    order = np.argsort(ids)
-    ids, x = ids[order], x[order]
-    bits = max(1, int(len(ids)).bit_length())
+    order = np.lexsort((rows, ids))
+    ids, rows, x = ids[order], rows[order], x[order]
     reach = int(np.abs(x).max(initial=0)) * int(np.abs(q).max(initial=0)) * max(1, x.shape[1])
-    if reach >= 1 << (62 - bits):
-        raise ValueError("components too large for exact scores in a long")
     kind = np.float32 if reach < 1 << 24 else np.float64 if reach < 1 << 53 else np.int64
     leaves = kd_leaves(x)
-    # of equal vectors no more than the k + 1 smallest ids can be in any answer
+    # of equal vectors no more than the k + 1 first rows can be in any answer
     leaves = [np.sort(r)[: k + 1] if len(r) > k + 1 and not (x[r].max(axis=0) - x[r].min(axis=0)).any() else r for r in leaves]
     low = np.stack([x[r].min(axis=0) for r in leaves]).astype(kind)
     high = np.stack([x[r].max(axis=0) for r in leaves]).astype(kind)
@@ -64,45 +66,81 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
     qk = q.astype(kind)
     bound = (np.maximum(qk, 0) @ high.T + np.minimum(qk, 0) @ low.T).astype(np.int64)
     visit = np.argsort(-bound, axis=1, kind="stable")
-    mask = (1 << bits) - 1
-    least = np.iinfo(np.int64).min
-    # one number holds score and tie-break: larger is a higher score, then a smaller id
-    best = np.full((len(q), k), least, np.int64)
+    best = Best(len(q), k, len(ids), reach)
     floor = floor.astype(np.int64)
-    own = np.searchsorted(ids, query_ids)
-    own = np.where((own < len(ids)) & (ids[np.minimum(own, len(ids) - 1)] == query_ids), own, -1)
+    by_row = np.argsort(rows)
+    at = np.minimum(np.searchsorted(rows[by_row], query_rows), len(rows) - 1)
+    own = np.where(rows[by_row[at]] == query_rows, by_row[at], -1)
     for turn in range(len(leaves)):
         at = visit[:, turn]
-        kth = np.where(best[:, 0] == least, floor, np.maximum(best[:, 0] >> bits, floor))
-        live = np.flatnonzero(bound[np.arange(len(q)), at] >= kth)
+        live = np.flatnonzero(bound[np.arange(len(q)), at] >= np.maximum(best.kth(), floor))
         if not len(live):
             break
         live = live[np.argsort(at[live], kind="stable")]
         cuts = np.flatnonzero(np.diff(at[live])) + 1
-        for rows in np.split(live, cuts):
-            leaf = at[rows[0]]
+        for asked in np.split(live, cuts):
+            leaf = at[asked[0]]
             members = leaves[leaf]
-            score = (qk[rows] @ points[leaf].T).astype(np.int64)
-            code = (score << bits) | (mask - members)[None, :]
-            code[(score < floor[rows][:, None]) | (members[None, :] == own[rows][:, None])] = least
-            both = np.concatenate([best[rows], code], axis=1)
-            best[rows] = np.sort(np.partition(both, both.shape[1] - k, axis=1)[:, -k:], axis=1)
-    row, col = np.nonzero(best != least)
-    code = best[row, col]
-    return row, ids[mask - (code & mask)], code >> bits
+            score = (qk[asked] @ points[leaf].T).astype(np.int64)
+            lost = (score < floor[asked][:, None]) | (members[None, :] == own[asked][:, None])
+            best.add(asked, score, members, lost)
+    row, member, score = best.found()
+    return row, ids[member], score
+
+
+class Best:
+    """The k best (score, member) of every query: a higher score first, then the smaller member.
+
+    One long holds both where it is wide enough, else they are two arrays.
+    """
+
+    LEAST = np.iinfo(np.int64).min
+
+    def __init__(self, queries: int, k: int, members: int, reach: int):
+        self.k, self.bits = k, max(1, members.bit_length())
+        self.packed = reach < 1 << (62 - self.bits)
+        self.mask = (1 << self.bits) - 1
+        self.score = np.full((queries, k), self.LEAST, np.int64)
+        self.member = None if self.packed else np.zeros((queries, k), np.int64)
+
+    def kth(self) -> np.ndarray:
+        """The k-th score of each query, least where there are fewer."""
+        last = self.score.min(axis=1)
+        return np.where(last == self.LEAST, last, last >> self.bits) if self.packed else last
+
+    def add(self, queries: np.ndarray, score: np.ndarray, members: np.ndarray, lost: np.ndarray) -> None:
+        if self.packed:
+            score = score << self.bits | (self.mask - members)[None, :]
+        score[lost] = self.LEAST
+        both = np.concatenate([self.score[queries], score], axis=1)
+        if self.packed:
+            self.score[queries] = np.partition(both, both.shape[1] - self.k, axis=1)[:, -self.k :]
+            return
+        held = np.concatenate([self.member[queries], np.broadcast_to(members, score.shape)], axis=1)
+        first = np.lexsort((held, -(both + 1)), axis=1)[:, : self.k]
+        self.score[queries], self.member[queries] = (np.take_along_axis(v, first, 1) for v in (both, held))
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, col = np.nonzero(self.score != self.LEAST)
+        score = self.score[row, col]
+        if self.packed:
+            return row, self.mask - (score & self.mask), score >> self.bits
+        return row, self.member[row, col], score
 
 
 def _tile(k: int):
     def run(key, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
         dim = len(vectors["v"].iloc[0])
         x = np.stack(vectors["v"].to_numpy()) if dim else np.zeros((len(vectors), 0), np.int64)
         q = np.stack(queries["v"].to_numpy()) if dim else np.zeros((len(queries), 0), np.int64)
         row, ids, score = search(
-            vectors["id"].to_numpy(), x, queries["id"].to_numpy(), q, queries["floor"].to_numpy(np.int64), k
+            vectors["id"].to_numpy(), vectors["row"].to_numpy(), x, queries["row"].to_numpy(), q, queries["floor"].to_numpy(np.int64), k
         )
-        return pd.DataFrame({"query_id": queries["id"].to_numpy()[row], "vec_id": ids, "score": score})
+        return pd.DataFrame({
+            "query": queries["row"].to_numpy()[row], "query_id": queries["id"].to_numpy()[row], "vec_id": ids, "score": score,
+        })
 
     return run
 
@@ -112,10 +150,11 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the highest integer inner product.
 
-    Rows where ``is_query`` holds are queries (all rows of a repeated id, if one is); every other row is a candidate. Rows
+    Rows where ``is_query`` holds are queries; every row but the query's own is a candidate, so
+    rows that repeat an id are rows of their own, and a repeated query has an answer each. Rows
     without an id, and vectors that are null, or hold null or non-finite components, take no
-    part. Of rows that repeat an id the smallest vector counts. Vectors of different widths
-    are never compared. Fewer than k candidates give fewer rows; ties go to the smaller id.
+    part; ``quantized`` says what counts for components that are too large for a long. Vectors of
+    different widths are never compared. Fewer than k candidates give fewer rows; ties go to the smaller id.
     Queries meet shards in blocks, so a task holds one shard and one block.
     """
     rows = vectors.select(
@@ -123,30 +162,30 @@ def top_k(
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")).withColumn("dim", F.size("v"))
-    rows = materialize(rows, "vectors")
+    # the number that tells rows apart is read back from the written table
+    rows = materialize(rows.withColumns({"dim": F.size("v"), "row": F.monotonically_increasing_id()}), "vectors")
     n, width = rows.count(), bucket_target(vectors.sparkSession)
     shards = max(1, -(-n // SHARD_ROWS), min(width, -(-n // 8_192)))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     asked = rows.where("asks")
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(max(1, -(-n // BLOCK_ROWS // 8)))).cast("int"))
-    schema = "query_id long, vec_id long, score long"
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(max(1, -(-n // BLOCK_ROWS // 8)))).cast("int"))
+    schema = "query long, query_id long, vec_id long, score long"
     lowest = F.lit(-(1 << 62)).cast("long")
     home = (
         rows.groupBy("dim", "shard").cogroup(asked.withColumn("floor", lowest).groupBy("dim", "shard")).applyInPandas(_tile(k), schema)
     )
     home = materialize(home, "home")
-    kth = home.groupBy("query_id").agg(F.min("score").alias("s"), F.count(F.lit(1)).alias("n"))
-    kth = kth.select(F.col("query_id").alias("id"), F.when(F.col("n") >= k, F.col("s")).alias("s"))
-    told = materialize(asked.join(kth, "id", "left").withColumn("floor", F.coalesce("s", lowest)).drop("s"), "told")
+    kth = home.groupBy("query").agg(F.min("score").alias("s"), F.count(F.lit(1)).alias("n"))
+    kth = kth.select(F.col("query").alias("row"), F.when(F.col("n") >= k, F.col("s")).alias("s"))
+    told = materialize(asked.join(kth, "row", "left").withColumn("floor", F.coalesce("s", lowest)).drop("s"), "told")
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))
-    sent = told.withColumn("to", F.explode(others)).select("id", "v", "floor", "dim", "block", F.col("to").alias("shard"))
+    sent = told.withColumn("to", F.explode(others)).select("id", "row", "v", "floor", "dim", "block", F.col("to").alias("shard"))
     blocks = told.select("dim", "block").distinct()
     # own column instances on both sides of the cogroup
-    tiles = rows.join(blocks, "dim").select("id", "v", *[(F.col(c) + 0).alias(c) for c in ("dim", "shard", "block")])
+    tiles = rows.join(blocks, "dim").select("id", "row", "v", *[(F.col(c) + 0).alias(c) for c in ("dim", "shard", "block")])
     tile = ["dim", "shard", "block"]
     away = tiles.groupBy(*tile).cogroup(sent.groupBy(*tile)).applyInPandas(_tile(k), schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     found = home.unionByName(away).withColumn("rank", F.row_number().over(best))
     return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

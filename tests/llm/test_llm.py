@@ -8,6 +8,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -245,22 +246,46 @@ def test_top_k_equals_brute_force(spark):
     data += [(6000 + 20 * i, [0.5, 0.25], 1) for i in range(4)] + [(20, data[20][1], 1), (7000, [], 1)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>, score int")
     got = rows(topk.top_k(df, F.col("vec_id") % 20 == 0))
-    fine = {i: [math.floor(64 * np.float64(np.float32(c))) for c in v] for i, v, _ in data
-            if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)}
+    fine = [(i, [math.floor(64 * np.float64(np.float32(c))) for c in v]) for i, v, _ in data
+            if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     want = []
-    for q in fine:
+    for at, (q, x) in enumerate(fine):
         if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(fine[q], fine[c], strict=True)), c) for c in fine if c != q and len(fine[c]) == len(fine[q]))
+            # every row but the query's own, the other row of a repeated id too
+            others = [(c, y) for m, (c, y) in enumerate(fine) if m != at and len(y) == len(x)]
+            best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), c) for c, y in others)
             want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best[:20])]
     assert got == sorted(want, key=repr)
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 1 << 19])
+def test_kd_rows_that_repeat_an_id(spark, size):
+    """Packed and wide scores; each row is its own candidate and its own query."""
+    rng = random.Random(4)
+    data = [(rng.choice([20, 40, 41, 42]), [float(rng.randint(-9, 9) * size) for _ in range(3)]) for _ in range(60)]
+    data += data[:5]
+    got = Counter(rows(topk.top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 4)))
+    want = Counter()
+    for n, (i, v) in enumerate(data):
+        if i % 20 == 0:
+            others = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(v, w, strict=True)), j) for m, (j, w) in enumerate(data) if m != n)
+            want.update((i, at, j, -score) for at, (score, j) in enumerate(others[:4], 1))
+    assert got == want
+
+
+def test_kd_huge_components_count_as_the_largest(spark):
+    data = [(20, [1e30, -1e30]), (21, [1.0, 0.0]), (22, [-1e300, 0.0]), (23, [3e5, 3e5])]
+    got = topk.top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") == 20).collect()
+    most = math.isqrt(1 << 60)
+    assert [(r["vec_id"], r["score"]) for r in got] == [(21, 64 * most), (23, 0), (22, -most * most)]
+
+
 def test_kd_search_with_small_leaves():
     rng = np.random.default_rng(1)
     x, ids = rng.integers(-9, 9, (3000, 5)), rng.permutation(9000)[:3000]
     q, own = x[:50], ids[:50]
-    row, got, score = topk.search(ids, x, own, q, np.full(50, -(1 << 62)), 7)
+    row, got, score = topk.search(ids, ids, x, own, q, np.full(50, -(1 << 62)), 7)
     for n in range(50):
         want = sorted((-int(s), int(i)) for s, i in zip(x @ q[n], ids, strict=True) if i != own[n])[:7]
         assert sorted((-int(s), int(i)) for s, i in zip(score[row == n], got[row == n], strict=True)) == want
