@@ -9,6 +9,8 @@ the bytes in between.
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import zlib
@@ -113,10 +115,30 @@ def _record() -> Column:
     )
 
 
-VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r?\n")
+VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/\d+\.\d+\r?\n")
 GZIP = b"\x1f\x8b\x08"
 
 
+class Damaged(ValueError):
+    """A record whose block differs from its digest, but ends at ``end`` as its header says."""
+
+    def __init__(self, reason: str, end: int):
+        super().__init__(reason)
+        self.end = end
+
+
+def _sha1(label: str) -> str | None:
+    """Bare lower-case hex of a labelled SHA-1 in hex or base32; None for any other digest."""
+    algorithm, _, digest = label.partition(":")
+    if algorithm.lower() != "sha1":
+        return None
+    try:
+        raw = base64.b32decode(digest, casefold=True) if len(digest) == 32 else bytes.fromhex(digest)
+    except (ValueError, binascii.Error):
+        return None
+    return raw.hex() if len(raw) == 20 else None
+
+
 def _parse(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """(headers, block, end) of the record at ``at``; ValueError where a check fails."""
     if not VERSION.match(data, at):
@@ -138,9 +160,8 @@ def _parse(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise ValueError("block does not end where it should")
     block = data[start:stop]
-    algorithm, _, digest = head.get("warc-block-digest", "").partition(":")
-    if algorithm == "sha1" and len(digest) == 40 and hashlib.sha1(block).hexdigest() != digest.lower():
-        raise ValueError("block digest differs")
+    if _sha1(head.get("warc-block-digest", "")) not in (None, hashlib.sha1(block).hexdigest()):
+        raise Damaged("block digest differs", stop + 4)
     return head, block, stop + 4
 
 
@@ -161,6 +182,11 @@ def salvage(data: bytes) -> Iterator[tuple]:
         except ValueError as e:
             if lost < 0:
                 lost, why = at, str(e)
+            end = e.end if isinstance(e, Damaged) else -1
+            if end == len(data) or (end > 0 and VERSION.match(data, end)):
+                # the length holds: what looks like a record inside the block is none
+                at = end
+                continue
             found = VERSION.search(data, at + 1)
             at = found.start() if found else len(data)
             continue
@@ -226,11 +252,12 @@ def _rows(parts: Iterator[pd.DataFrame], keep: bool) -> Iterator[pd.DataFrame]:
                     continue
                 body = block.partition(b"\r\n\r\n")[2] if head.get("content-type", "").startswith("application/http") else block
                 n, digest = len(body), hashlib.sha1(body).hexdigest()
-                said = head.get("warc-payload-digest", "").removeprefix("sha1:")
+                label = head.get("warc-payload-digest", "")
+                said = _sha1(label)
                 if head["warc-type"] == "revisit":
                     length = head.get("x-payload-length", "")
-                    n, digest = int(length) if length.isdigit() else None, said or None
-                elif len(said) == 40 and said != digest:
+                    n, digest = int(length) if length.isdigit() else None, said or label or None
+                elif said not in (None, digest):
                     out.append((name, start, end, "gap", "payload digest differs", *[None] * 7, *[None] * keep))
                     continue
                 out.append(
@@ -254,6 +281,8 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
     first reason; reading goes on at the next version line or gzip member. An empty archive
     gives no rows. With ``payload`` the payload bytes come along (empty for revisits). One
     archive is held in memory at a time.
+    SHA-1 digests count in hex and in base32, others are not checked. A record that only differs from
+    its block digest is passed over whole, so that records quoted inside it are not taken for real ones.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     schema = FIELDS + (", payload binary" if payload else "")

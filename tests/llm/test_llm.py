@@ -1,5 +1,6 @@
 """Operators of the subpackage against brute force, round trips and odd tables."""
 
+import base64
 import collections
 import gzip
 import hashlib
@@ -108,6 +109,26 @@ def test_salvage_finds_all_but_the_damaged(packed):
     assert [x[0] for x in warc.salvage(b"no archive at all")] == ["gap"]
 
 
+def test_salvage_checks_base32_digests():
+    hexa = lambda raw: hashlib.sha1(raw).hexdigest().encode()
+    block = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    good = _record(1, b"body").replace(hexa(block), base64.b32encode(hashlib.sha1(block).digest()))
+    assert [x[0] for x in warc.salvage(good + _record(2, b""))] == ["record", "record"]
+    assert [x[0] for x in warc.salvage(good.replace(b"body", b"bodY") + _record(2, b""))] == ["gap", "record"]
+    other = good.replace(b"Digest: sha1:", b"Digest: md5:")  # digests of other kinds are not checked
+    assert [x[0] for x in warc.salvage(other.replace(b"body", b"bodY"))] == ["record"]
+
+
+def test_salvage_skips_records_quoted_in_a_damaged_block():
+    outer, after = _record(1, b"x\r\n" + _record(7, b"quoted")), _record(2, b"")
+    bad = outer.replace(b"200 OK", b"200 KO", 1)
+    found = [(x[0], x[1], x[2]) for x in warc.salvage(bad + after)]
+    assert found == [("gap", 0, len(outer)), ("record", len(outer), len(outer) + len(after))]
+    # with the length damaged too, the search goes on inside
+    short = bad.replace(b"Content-Length: 2", b"Content-Length: 3", 1)
+    assert [x[3]["warc-record-id"] for x in warc.salvage(short + after) if x[0] == "record"] == ["<urn:page:7>", "<urn:page:2>"]
+
+
 # 2 ---------------------------------------------------------------------------------------
 
 
