@@ -7,12 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tabwright.functions.keys import hash_uniform, poisson_count
-from tabwright.functions.ordering import exact_quantiles
-from tabwright.session import fitted, materialize
+from tabwright.functions.ordering import exact_quantiles, hash_rank
+from tabwright.operators.text import join_terms
+from tabwright.session import fitted, fresh_path, materialize
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
@@ -66,7 +69,7 @@ def fit_levels(fit_df: DataFrame, cols: Sequence[str], max_levels: int = 10_000)
     """Sorted training levels per column, as text.
 
     Levels become columns of a plan, so a column of more than ``max_levels`` levels is
-    refused by name; ``one_hot_long`` encodes it without a limit.
+    refused by name; ``fit_wide_design`` and ``one_hot_long`` encode it without a limit.
     """
     levels = level_table(fit_df, cols)
     if cols:
@@ -193,6 +196,87 @@ def fit_design(
     return Design(tuple(Feature(i, n, s, q) for i, (n, s, q) in enumerate(feats)))
 
 
+@dataclass(frozen=True)
+class WideDesign:
+    """Fitted encoder whose levels are a written table (column, level, at), of any number.
+
+    Numeric columns take the first places of a vector, levels the places behind them.
+    """
+
+    numeric: tuple[tuple[str, str], ...]
+    categorical: tuple[str, ...]
+    levels: DataFrame
+    size: int
+
+    def name_table(self) -> DataFrame:
+        """(idx, feature, source_column)"""
+        found = self.levels.select("at", F.concat_ws("_", F.lit("cat_"), "column", "level"), "column")
+        spark = self.levels.sparkSession
+        first = [(i, f"num__{c}", c) for i, (c, _) in enumerate(self.numeric)]
+        names = spark.createDataFrame(first, "idx int, feature string, source_column string")
+        return names.unionByName(found.toDF("idx", "feature", "source_column"))
+
+    def packed(self, df: DataFrame, id_col: str, out: str = "features") -> DataFrame:
+        """``df`` plus the fields of a sparse vector as Spark ML stores it; ``id_col`` must be unique.
+
+        A row meets its levels by join: a small dictionary is broadcast, of a larger one only its
+        frequent levels are. Unseen levels and nulls have no entry, numeric nulls are NaN.
+        """
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("level")) for c in self.categorical]
+        long = df.select(F.col(id_col).alias("_key"), F.explode(F.array(*pairs)).alias("p")).select("_key", "p.*").where("level IS NOT NULL")
+        hit = join_terms(long, self.levels, ["column", "level"]).groupBy("_key").agg(F.sort_array(F.collect_list("at")).alias("_at"))
+        at = F.coalesce("_at", F.array().cast("array<int>"))
+        values = [F.coalesce(F.expr(q), F.lit(float("nan"))) for _, q in self.numeric]
+        front = F.array(*[F.lit(i) for i in range(len(values))]).cast("array<int>")
+        vector = F.struct(
+            F.lit(0).cast("byte").alias("type"), F.lit(self.size).cast("int").alias("size"), F.concat(front, at).alias("indices"),
+            F.concat(F.array(*values).cast("array<double>"), F.transform(at, lambda _: F.lit(1.0))).alias("values"),
+        )
+        rows = df.join(hit, F.col(id_col) == F.col("_key"), "left")
+        return rows.select(*[F.col(f"`{c}`") for c in df.columns], vector.alias(out))
+
+    def assemble(self, df: DataFrame, id_col: str, out: str = "features") -> DataFrame:
+        """``df`` plus sparse vectors, written once."""
+        spark = df.sparkSession
+        path = fresh_path(spark, "wide-design")
+        self.packed(df, id_col, out).write.parquet(path)
+        return spark.read.schema(StructType([*df.schema.fields, StructField(out, VectorUDT())])).parquet(path)
+
+
+def fit_wide_design(
+    df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (), scale: bool = True, impute: bool = False,
+    drop: str | None = None,
+) -> WideDesign:
+    """Encoder for columns of many levels: no level visits the driver or becomes part of a plan.
+
+    Levels of one column stand together, in hash order. ``drop`` "first" leaves out the smallest
+    level of every column, by number and then by text. Rows with a null give no level.
+    """
+    raw = {c: f"CAST(`{c}` AS DOUBLE)" for c in numeric}
+    if impute and numeric:
+        raw = {c: f"coalesce({raw[c]}, {m!r}D)" for c, m in fit_medians(df, numeric).items()}
+    if scale and numeric:
+        clean = df.select(*[F.expr(raw[c]).alias(c) for c in numeric])
+        raw = {c: f"(({raw[c]} - {m!r}D) / {s!r}D)" for c, (m, s) in fit_scaler(clean, numeric).items()}
+    spark = df.sparkSession
+    if not categorical:
+        none = spark.createDataFrame([], "column string, level string, at int")
+        return WideDesign(tuple((c, raw[c]) for c in numeric), (), none, len(raw))
+    found = materialize(level_table(df, categorical), "levels")
+    if drop == "first":
+        first = found.groupBy("column").agg(F.min(F.struct("number", "level")).alias("_first"))
+        found = found.join(F.broadcast(first), "column").where(F.col("level") != F.col("_first.level"))
+    ranked = materialize(hash_rank(found.select("column", "level"), "level", "levels", by=["column"], rank="_at"), "level-ranks")
+    sizes = {r["column"]: r["count"] for r in ranked.groupBy("column").count().collect()}
+    before, start = {}, len(raw)
+    for c in categorical:
+        before[c] = start
+        start += sizes.get(c, 0)
+    offset = F.create_map(*[F.lit(v) for pair in before.items() for v in pair])
+    levels = ranked.select("column", "level", (F.element_at(offset, F.col("column")) + F.col("_at") - 1).cast("int").alias("at"))
+    return WideDesign(tuple((c, raw[c]) for c in numeric), tuple(categorical), materialize(levels, "level-places"), start)
+
+
 def fit_pipeline(design: Design, estimator, df: DataFrame) -> PipelineModel:
     """Transforms and estimator as one model that can be applied to raw rows anywhere."""
     return Pipeline(stages=[*design.stages(), estimator]).fit(df)

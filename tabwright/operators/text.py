@@ -68,8 +68,9 @@ def prune_vocab(counts: DataFrame, n_docs: int, min_df: int = 2, max_df: float =
 
 
 def _table_bytes(table: DataFrame) -> int:
-    """Size of a per-term table in memory, from its row count and term lengths."""
-    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term")).alias("b")).first()
+    """Size of a per-term table in memory, from its row count and the lengths of its texts."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in table.dtypes if kind == "string"]
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(texts, F.lit(0))).alias("b")).first()
     return (row["b"] or 0) + row["n"] * (32 + 8 * len(table.columns))
 
 

@@ -131,16 +131,24 @@ def apply_rules(df: DataFrame, paths, out: str = "leaf") -> DataFrame:
     return df.withColumn(out, rule)
 
 
-def tree_rules(df: DataFrame, paths, label: str = "y", merge: bool = False) -> DataFrame:
+def leaf_numbers(model, df: DataFrame, out: str = "leaf") -> DataFrame:
+    """``df`` (with features) and the number of the leaf each row falls in, numbered as in ``tree_paths``.
+
+    The model walks its nodes, so the plan is the same for a tree of any depth.
+    """
+    return model.transform(df).withColumn(out, F.col("leaf").cast("int")).drop("rawPrediction", "probability", "prediction")
+
+
+def tree_rules(df: DataFrame, paths, label: str = "y", merge: bool = False, leaf: str | None = None) -> DataFrame:
     """(leaf, rule, class, support, purity) with support and purity counted on ``df``.
 
-    ``merge`` collapses leaves of one class into one row per class.
+    ``leaf`` names a column of leaf numbers (see ``leaf_numbers``); without it the rules' own SQL
+    decides, one condition per leaf. ``merge`` collapses leaves of one class into one row per class.
     """
-    cells = F.array(
-        *[F.struct(F.lit(n).alias("leaf"), F.lit(words).alias("words"), F.lit(int(c)).alias("class")) for n, words, _, c in paths]
-    )
-    table = df.sparkSession.range(1).select(F.explode(cells).alias("c")).select("c.*")
-    hits = apply_rules(df, paths).groupBy("leaf", F.col(label).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+    spark = df.sparkSession
+    table = spark.createDataFrame([(n, words, int(c)) for n, words, _, c in paths], "leaf int, words string, class int")
+    found = df.withColumn("leaf", F.col(leaf)) if leaf else apply_rules(df, paths)
+    hits = found.groupBy("leaf", F.col(label).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
     counted = table.join(hits, "leaf", "left").groupBy("leaf", "words", "class").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("support"),
         F.coalesce(F.sum(F.when(F.col("_y") == F.col("class"), F.col("_n"))), F.lit(0)).alias("_hit"),

@@ -200,8 +200,9 @@ r AS (SELECT leaf, 'IF ' || words || ' THEN class ' || class AS rule, class, CAS
 
 
 def _rules(spark, sf):
-    rows, design, _, model = _stump(spark, sf)
-    return trees.tree_rules(rows, trees.tree_paths(model, design, spark)).withColumn("purity", tidy(F.col("purity")))
+    _, design, table, model = _stump(spark, sf)
+    placed = trees.leaf_numbers(model, table)
+    return trees.tree_rules(placed, trees.tree_paths(model, design, spark), leaf="leaf").withColumn("purity", tidy(F.col("purity")))
 
 
 @query("stump_rules", f"{_RULES_SQL} SELECT leaf, rule, class, support, purity FROM r")

@@ -173,7 +173,8 @@ def tree_scores(spark, sf):
 @query("tree_rules")
 def tree_rules(spark, sf):
     rows, design, model = _tree(spark, sf)
-    return trees.tree_rules(_train(rows), trees.tree_paths(model, design, spark))
+    placed = trees.leaf_numbers(model, design.assemble(_train(rows)))
+    return trees.tree_rules(placed, trees.tree_paths(model, design, spark), leaf="leaf")
 
 
 @query("rules_text")
