@@ -102,17 +102,17 @@ def l1_critical(spark, sf):
 WITH l AS (SELECT 'o_custkey' AS col, CAST(o_custkey AS VARCHAR) AS level FROM orders UNION SELECT 'o_orderpriority', o_orderpriority FROM orders),
 k AS (SELECT col, level, row_number() OVER (PARTITION BY col ORDER BY {sql_hash('levels', 'level')}, level) AS r FROM l),
 n AS (SELECT count(*) AS n FROM k WHERE col = 'o_custkey'), m AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM orders),
-c AS (SELECT o_orderkey AS id, 0 AS at, (o_totalprice - m) / s AS value FROM orders, m UNION ALL
+c AS (SELECT o_orderkey AS id, 0 AS place, (o_totalprice - m) / s AS value FROM orders, m UNION ALL
       SELECT o_orderkey, r, 1e0 FROM orders JOIN k ON col = 'o_custkey' AND level = CAST(o_custkey AS VARCHAR) UNION ALL
       SELECT o_orderkey, n + r, 1e0 FROM orders JOIN k ON col = 'o_orderpriority' AND level = o_orderpriority, n)
-SELECT id, CAST(at AS INTEGER) AS at, {sql_tidy('value')} AS value FROM c""")
+SELECT id, CAST(place AS INTEGER) AS place, {sql_tidy('value')} AS value FROM c""")
 def design_matrix_wide(spark, sf):
     """A level per customer: the entries of sparse vectors of that width."""
     rows = tables.read_parquet(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
     design = encode.fit_wide_design(rows, ["o_totalprice"], ["o_custkey", "o_orderpriority"])
     cells = F.arrays_zip(F.col("features.indices").alias("at"), F.col("features.values").alias("value"))
     entries = design.packed(rows, "o_orderkey").select(F.col("o_orderkey").alias("id"), F.explode(cells).alias("c"))
-    return entries.select("id", F.col("c.at").alias("at"), tidy(F.col("c.value")).alias("value"))
+    return entries.select("id", F.col("c.at").alias("place"), tidy(F.col("c.value")).alias("value"))
 
 
 # ---- a stream scored by a saved fit --------------------------------------------------------
