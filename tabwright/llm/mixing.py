@@ -142,6 +142,12 @@ class Mix:
         self.sources, self.places, self.slots, self.spans = sources, places, slots, spans
 
 
+def _key(*cols: str) -> Column:
+    """Two longs that tell rows apart by id, text and source, nulls included."""
+    parts = [p for c in cols for p in (F.col(c).cast("string"), F.col(c).isNull())]
+    return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[float] = (5.0, 2.0, 1.0),
@@ -166,7 +172,7 @@ def mix_sources(
     often. Reruns with one seed agree. An empty table gives empty tables.
     """
     spark = docs.sparkSession
-    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.col(source_col))
+    key = _key(id_col, text_col, source_col)
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), key.alias("key"),
         word_count(F.col(text_col)).alias("size"),
@@ -280,7 +286,7 @@ def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col:
     takes = runs.groupBy(F.col("key").alias(name["_key"])).agg(
         F.collect_list(F.struct("epoch", "nth", "size", "runs")).alias(name["_takes"])
     )
-    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.col(source_col))
+    key = _key(id_col, text_col, source_col)
     once = docs.withColumn(name["_key"], key).dropDuplicates([name["_key"]])
     joined = once.join(takes, name["_key"])
     pieces = _cut(F.col(text_col), F.col(name["_takes"]))
