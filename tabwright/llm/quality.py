@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.session import materialize
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_distinct", "n_top", "n_letters", "n_upper", "n_chars")
@@ -108,10 +107,12 @@ def upper_bound(k: int, n: int, delta: float) -> float:
     """Exact binomial (Clopper-Pearson) upper bound: the rate p with P(X <= k; n, p) = delta."""
     if n == 0 or k >= n:
         return 1.0
-    terms = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1)]
+    # far below k the terms fall at least like a geometric series and no longer count
+    least = max(0, k - 100 - int(12 * math.sqrt(k + 1)) - 4000)
+    terms = [(i, math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)) for i in range(least, k + 1)]
 
     def below(p: float) -> float:
-        logs = [t + i * math.log(p) + (n - i) * math.log1p(-p) for i, t in enumerate(terms)]
+        logs = [t + i * math.log(p) + (n - i) * math.log1p(-p) for i, t in terms]
         top = max(logs)
         return math.exp(top) * sum(math.exp(x - top) for x in logs)
 
@@ -146,11 +147,7 @@ class Rules:
         for name, cut in self.cutoffs.items():
             if cut is None:
                 continue
-            broken = F.lit(False)
-            for rule, (over, under, side, _) in RULES.items():
-                value = F.col(f"{f}.{over}") / F.greatest(F.col(f"{f}.{under}"), F.lit(1))
-                broken = broken | (value > cut[rule] if side == "high" else value < cut[rule])
-            hit = hit | (stratum.eqNullSafe(F.lit(name)) & broken)
+            hit = hit | (stratum.eqNullSafe(F.lit(name)) & _breaks(cut, f))
         return hit
 
 
@@ -168,22 +165,23 @@ def _multiple(times: float) -> dict[str, float]:
     return {rule: floor * times if side == "high" else floor / times for rule, (_, _, side, floor) in RULES.items()}
 
 
-def _broken(values: np.ndarray, cut: dict[str, float]) -> np.ndarray:
-    hit = np.zeros(len(values), bool)
-    for j, (rule, (_, _, side, _)) in enumerate(RULES.items()):
-        hit |= values[:, j] > cut[rule] if side == "high" else values[:, j] < cut[rule]
-    return hit
+def _breaks(cut: dict[str, float], f: str) -> Column:
+    """True where a rule is broken."""
+    broken = F.lit(False)
+    for rule, (over, under, side, _) in RULES.items():
+        value = F.col(f"{f}.{over}") / F.greatest(F.col(f"{f}.{under}"), F.lit(1))
+        broken = broken | (value > cut[rule] if side == "high" else value < cut[rule])
+    return broken
 
 
 def fit_rules(
     rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratum_col: str = "lang", label_col: str = "quality",
-    f: str = "features", alpha: float = 0.01, delta: float = 0.05, max_rows: int = 20_000, seed: int = 11,
+    f: str = "features", alpha: float = 0.01, delta: float = 0.05,
 ) -> Rules:
     """Choose cutoffs per stratum on labelled good documents (label 1) that pass the base checks.
 
-    ``rows`` holds id, stratum and features; columns of any other name stay out of the way. At
-    most ``max_rows`` labelled documents per stratum are used, those first in hash order: a
-    documented bound on what the driver gets. Ids labelled both ways or null are left out; a
+    ``rows`` holds id, stratum and features; columns of any other name stay out of the way. All
+    labelled documents are tested by Spark; the driver gets counts per stratum. Ids labelled both ways or null are left out; a
     null stratum is one of its own; rows that repeat count as often as they stand there. The
     length of a text plays no part here. Strata without any good label keep all rules off, and
     so do all strata of an empty table. Which strata exist is a matter of the labels' table.
@@ -191,27 +189,19 @@ def fit_rules(
     marks = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y"))
     sure = marks.groupBy("i").agg(F.min("y").alias("low"), F.max("y").alias("high"), F.count("y").alias("n"), F.count(F.lit(1)).alias("m"))
     sure = sure.where("low = 1 AND high = 1 AND n = m").select("i")
-    ratio = [F.col(f"{f}.{a}") / F.greatest(F.col(f"{f}.{b}"), F.lit(1)) for a, b, _, _ in RULES.values()]
-    draw = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
-    good = rows.where(~base_failed(f)).select(F.col(id_col).alias("i"), F.col(stratum_col).alias("s"), draw.alias("h"), F.array(*ratio).alias("x"))
-    good = materialize(good.join(sure, "i").drop("i"), "labelled")
-    # a cut through the hashes takes about max_rows of each stratum without gathering one in a task
-    span = 1 << 20
-    found = {r["s"]: r["n"] for r in good.groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = F.lit(False)
-    for s, n in found.items():
-        share = min(span, math.ceil(span * 1.02 * max_rows / n))
-        wanted = wanted | (F.col("s").eqNullSafe(F.lit(s)) & (F.pmod("h", F.lit(span)) < share))
-    by: dict[str | None, list] = {}
-    for r in sorted(good.where(wanted).collect(), key=lambda r: (r["h"] % span, r["h"])):
-        by.setdefault(r["s"], []).append(r["x"])
-    return certify({s: np.array(by[s][:max_rows], dtype=float) for s in sorted(by, key=lambda s: (s is None, s))}, alpha, delta)
-
-
-def certify(values: dict[str | None, np.ndarray], alpha: float, delta: float) -> Rules:
-    """The strictest level of each stratum that its holdout certifies, by the shared-out confidence."""
+    good = rows.where(~base_failed(f)).select(F.col(id_col).alias("i"), F.col(stratum_col).alias("s"), F.col(f).alias("f"))
+    counts = [F.sum(_breaks(_multiple(m), "f").cast("long")).alias(f"r{k}") for k, m in enumerate(MULTIPLES)]
+    found = good.join(sure, "i").groupBy("s").agg(F.count(F.lit(1)).alias("n"), *counts).collect()
+    found = sorted(found, key=lambda r: (r["s"] is None, r["s"]))
+    return certify({r["s"]: (r["n"], [r[f"r{k}"] for k in range(len(MULTIPLES))]) for r in found}, alpha, delta)
+
+
+def certify(values: dict[str | None, tuple[int, list[int]]], alpha: float, delta: float) -> Rules:
+    """The strictest level of each stratum that its holdout certifies, by the shared-out confidence.
+
+    ``values`` has the size of each holdout and how many of it every level rejects.
+    """
     rules = Rules(dict.fromkeys(values))
-    rejected = {s: [int(_broken(x, _multiple(m)).sum()) for m in MULTIPLES] for s, x in values.items()}
     level = dict.fromkeys(values, 0)
     tried: dict[str | None, float] = {}
     moved = True
@@ -222,7 +212,7 @@ def certify(values: dict[str | None, np.ndarray], alpha: float, delta: float) ->
         for s in left:
             while level[s] < len(MULTIPLES) and tried.get(s, 0.0) < each:
                 at = level[s]
-                k, n = rejected[s][at], len(values[s])
+                k, n = values[s][1][at], values[s][0]
                 bound = upper_bound(k, n, each)
                 ok = bound <= alpha
                 rules.certificates.append(
