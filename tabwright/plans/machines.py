@@ -96,8 +96,10 @@ def _on_pairs(pairs, values, schema):
 
     def each(parts):
         for part in parts:
-            x, z = (np.array(part[c].tolist(), float).reshape(len(part), -1) for c in ("x", "z"))
-            yield pd.DataFrame({"id": part["id"], **values(x, z)})
+            for lo in range(0, len(part), 512):
+                own = part.iloc[lo : lo + 512]
+                x, z = (np.array(own[c].tolist(), float).reshape(len(own), -1) for c in ("x", "z"))
+                yield pd.DataFrame({"id": own["id"], **values(x, z)})
 
     return pairs.mapInPandas(each, f"id long, {schema}")
 
