@@ -64,9 +64,14 @@ def _rounded(gap: np.ndarray, soft: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _spread(rows: DataFrame, spaces: int, block: int) -> DataFrame:
-    """(space, x, s, weight, fold): every row once per map, blocks of one map in files of their own."""
+    """(space, x, s, weight, fold): every row once per map, blocks of one map in files of their own.
+
+    A pass sends one curvature per machine and file, so there are no more files than keep all
+    cores busy, however many rows they hold.
+    """
     n = rows.count()
-    blocks = max(1, -(-n // block))
+    files = -(-2 * rows.sparkSession.sparkContext.defaultParallelism // spaces)
+    blocks = max(1, min(-(-n // block), files))
     one = rows.withColumn("_b", F.pmod(F.xxhash64(*rows.columns), F.lit(blocks)))
     each = one.withColumn("space", F.explode(F.array(*[F.lit(k) for k in range(spaces)])))
     dealt = each.repartition(min(spaces * blocks, 4096), "space", "_b").drop("_b")
