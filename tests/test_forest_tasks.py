@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tabwright.operators import linear, trees
+from tabwright.operators import explain, linear, trees
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +61,15 @@ def test_batches_are_one_forest(spark, rows, monkeypatch):
     assert np.mean([s["pred"] == s["y"] for s in scored.values()]) > 0.9
     shares = np.array([t.featureImportances.toArray() for m in model.members for t in m.trees])
     assert model.featureImportances.toArray() == pytest.approx(shares.mean(axis=0))
+
+
+def test_shuffled_rows_are_scored_by_many_tasks(spark):
+    df = spark.range(300).select("id", (F.col("id") % 2).cast("int").alias("y"), F.pmod(F.xxhash64("id"), F.lit(11)).cast("double").alias("a"))
+    tasks = []
+
+    def score(rows):
+        tasks.append(rows.rdd.getNumPartitions())
+        return rows.withColumn("score", F.col("a"))
+
+    explain.permutation_importance(df, "id", "y", ["a"], score, repeats=2).collect()
+    assert tasks[1] == 2 * spark.sparkContext.defaultParallelism
