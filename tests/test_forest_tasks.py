@@ -28,16 +28,16 @@ def test_a_narrow_table_is_dealt_to_many_tasks(spark, rows, monkeypatch):
             raise Asked(df)
 
     monkeypatch.setattr(trees, "RandomForestClassifier", Classifier)
-    wide = rows.crossJoin(spark.range(20).withColumnRenamed("id", "copy")).coalesce(1)
+    wide = rows.crossJoin(spark.range(60).withColumnRenamed("id", "copy")).coalesce(1)
     found = []
     for _ in range(2):
         with pytest.raises(Asked) as got:
             trees.fit_forest(wide, n_trees=400)
         df = got.value.args[0]
-        assert df.rdd.getNumPartitions() == 4
+        assert df.rdd.getNumPartitions() == 11
         found.append(df.withColumn("_t", F.spark_partition_id()).select("_t", "id", "copy").collect())
     # the same rows in the same order, so the same bags; none is lost
-    assert found[0] == found[1] and len({(r["id"], r["copy"]) for r in found[0]}) == len(found[0]) == 18_000
+    assert found[0] == found[1] and len({(r["id"], r["copy"]) for r in found[0]}) == len(found[0]) == 54_000
 
 
 def test_few_rows_stay_where_they_are(rows, monkeypatch):
