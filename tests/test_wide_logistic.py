@@ -49,5 +49,6 @@ def test_one_class_and_odd_labels(table, monkeypatch):
     model = linear.fit_logistic(rows)
     assert model.intercept == float("inf")
     assert {(r["pred"], r["score"]) for r in linear.score_model(model, rows).collect()} == {(1, 1.0)}
-    with pytest.raises(ValueError):
-        linear.fit_logistic(table(SCHEMA, [(1, 2, 1.0, Vectors.sparse(700, [1], [1.0]))]))
+    for label in (2, None):
+        with pytest.raises(ValueError):
+            linear.fit_logistic(table(SCHEMA, [(1, label, 1.0, Vectors.sparse(700, [1], [1.0]))]))
