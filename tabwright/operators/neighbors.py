@@ -9,6 +9,7 @@ the k best, by a bound with a margin above the rounding, get their distance in d
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -20,33 +21,67 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.ordering import exact_quantiles
-from tabwright.session import bucket_target, fitted, materialize
+from tabwright.session import SMALL_ROWS, bucket_target, fitted, materialize
 
 BLOCK = 4096
 # blocks of training rows that one task compares at most
 STRIP = 64
 METRICS = ("euclidean", "manhattan")
+# pairs that make a task of its own worth while, and how many tasks there may be for each partition of a shuffle
+_WORK, _WAVES = 1 << 28, 8
 # numbers held at once while distances of near pairs are computed
 _CELLS = 2_000_000
 
 
-def _tile_plan(q: DataFrame, t: DataFrame, width: int) -> DataFrame:
-    """(space, nq, nt): query blocks and training strips per space; a crowded space gets more.
+def _tile_plan(q: DataFrame, t: DataFrame, width: int, k: int) -> DataFrame:
+    """(space, nq, nt, pairs): query blocks and training strips per space, and what they compare; a crowded space gets more.
 
-    Strips hold up to STRIP blocks, fewer where that is needed to use ``width`` tasks; then
-    the query side is cut further.
+    Every training row is sent once per query block, so where vectors and k are small enough a
+    query block holds up to 4 * BLOCK rows. Strips hold up to STRIP blocks. Where more tiles are
+    needed to use ``width`` tasks (several times that, if each still has _WORK pairs), query
+    blocks get smaller down to BLOCK, then strips, then query blocks again.
     """
     sizes = fitted(
         q.groupBy("space").agg(F.count(F.lit(1)).alias("_q")).join(
-            t.groupBy("space").agg(F.count(F.lit(1)).alias("_t")), "space"
+            t.groupBy("space").agg(F.count(F.lit(1)).alias("_t"), F.max(F.size("tx")).alias("_w")), "space"
         )
     )
-    spaces = max(1, sizes.count())
-    nq, blocks = F.ceil(F.col("_q") / BLOCK), F.ceil(F.col("_t") / BLOCK)
-    wanted = F.ceil(F.lit(width) / (spaces * nq))
-    nt = F.greatest(F.ceil(F.col("_t") / (BLOCK * STRIP)), F.least(blocks, wanted))
-    spread = F.least(F.col("_q"), F.ceil(F.lit(width) / (spaces * nt)))
-    return sizes.select("space", F.greatest(nq, spread).cast("long").alias("nq"), nt.cast("long").alias("nt"))
+    spaces, pairs = sizes.agg(F.count(F.lit(1)), F.sum(F.col("_q") * F.col("_t").cast("double"))).first()
+    tiles = math.ceil(max(width, min(_WAVES * width, (pairs or 0) / _WORK)) / max(1, spaces))
+    most = min(4 * BLOCK, 128 * BLOCK // max(1, k))
+    wide = F.greatest(F.lit(BLOCK), F.least(F.lit(most), F.floor(256 * BLOCK / F.greatest(F.col("_w"), F.lit(1)))))
+    strips, blocks = F.ceil(F.col("_t") / (BLOCK * STRIP)), F.ceil(F.col("_t") / BLOCK)
+    nq = F.greatest(F.ceil(F.col("_q") / wide), F.least(F.ceil(F.col("_q") / BLOCK), F.ceil(F.lit(tiles) / strips)))
+    nt = F.greatest(strips, F.least(blocks, F.ceil(F.lit(tiles) / nq)))
+    spread = F.least(F.col("_q"), F.ceil(F.lit(tiles) / nt))
+    return sizes.select(
+        "space", F.greatest(nq, spread).cast("long").alias("nq"), nt.cast("long").alias("nt"),
+        (F.col("_q") * F.col("_t").cast("double")).alias("pairs"),
+    )
+
+
+def _dealt(plan: DataFrame, width: int) -> tuple[DataFrame | None, int]:
+    """(space, qb, tb, part) of every tile, and the number of parts; equal work for all parts.
+
+    Tiles are few and heavy, so by hash some parts would get several and others none. The
+    largest come first, each into the part with the least work. None if there are more than
+    SMALL_ROWS: so many are even enough by hash.
+    """
+    tasks, pairs = plan.agg(F.sum(F.col("nq") * F.col("nt")), F.sum("pairs")).first()
+    tasks, pairs = tasks or 1, pairs or 0
+    parts = min(tasks, max(4 * width, math.ceil(pairs / _WORK)))
+    if tasks > SMALL_ROWS:
+        return None, max(parts, math.ceil(tasks / 64))
+    tiles = [
+        (r["pairs"] / (r["nq"] * r["nt"]), r["space"], qb, tb)
+        for r in plan.collect() for qb in range(r["nq"]) for tb in range(r["nt"])
+    ]
+    held, rows = [(0.0, part) for part in range(parts)], []
+    for work, *tile in sorted(tiles, reverse=True):
+        load, part = heapq.heappop(held)
+        heapq.heappush(held, (load + work, part))
+        rows.append((*tile, part))
+    return plan.sparkSession.createDataFrame(rows, "space long, qb long, tb long, part int"), parts
 
 
 # one row per query and neighbour of a tile; numbers only, the metric is its position in the list
@@ -82,17 +117,19 @@ def _strip_function(metrics: Sequence[str], k: int):
             at = np.nan_to_num(np.rint(np.clip((x - of["low"]) / of["step"], 0, of["most"]))).astype(of["whole"])
         return {"x": near, "turned": np.ascontiguousarray(-2 * near.T), "square": square, "safe": safe, "at": at, "at_turned": np.ascontiguousarray(at.T)}
 
-    def near(q: dict, part: slice, t: dict, use: slice, limit: np.ndarray, metric: str, of: dict) -> np.ndarray:
-        """Pairs whose distance may be below ``limit``: a bound from rough values, with a margin above their rounding."""
-        width, size = q["x"].shape[1], (len(limit), len(t["x"][use]))
+    def near(q: dict, part: slice, t: dict, use: slice, limit: np.ndarray, metric: str, of: dict, out: np.ndarray) -> None:
+        """Marks pairs whose distance may be below ``limit``: a bound from rough values, with a margin above their rounding."""
+        width, size = q["x"].shape[1], out.shape
         if metric == "euclidean":
             if not (q["safe"] and t["safe"]):
-                return np.ones(size, bool)
+                out[:] = True
+                return
             lost = (width + 16) * 2.0**-22
             low = q["x"][part] @ t["turned"][:, use]
             low += (t["square"][use] * (1 - lost)).astype(np.float32)
             reach = limit * limit * (1 + 1e-6) + 1e-30 - q["square"][part] * (1 - lost)
-            return low <= reach.astype(np.float32)[:, None]
+            np.less_equal(low, reach.astype(np.float32)[:, None], out=out)
+            return
         rows, most = q["at"][part], np.iinfo(of["whole"]).max
         low, gap = np.zeros(size, of["whole"]), np.empty(size, of["whole"])
         for j in range(width):
@@ -101,16 +138,26 @@ def _strip_function(metrics: Sequence[str], k: int):
             low += gap
         # a value is half a step off at most
         reach = np.minimum(limit / of["step"] * (1 + 1e-6) + width + 1, most)
-        return low <= reach.astype(of["whole"])[:, None]
+        np.less_equal(low, reach.astype(of["whole"])[:, None], out=out)
+
+    def marked(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of the few marks, looked for in words of eight."""
+        words = np.flatnonzero(found.view(np.uint64).ravel())
+        which, byte = np.nonzero(found.reshape(-1, 8)[words])
+        return np.divmod(words[which] * 8 + byte, found.shape[1])
 
     def nearer(q: np.ndarray, best: dict, t: np.ndarray, tid: np.ndarray, y: np.ndarray, metric: str, q_rough: dict, t_rough: dict, of: dict) -> None:
         """Merge training rows into the k best of every query row."""
         step = max(1, cells // max(1, q.shape[1]))
+        all_marks = np.zeros((lines, -(-len(t) // 8) * 8), bool)
         for lo in range(0, len(q), lines):
             part = slice(lo, lo + lines)
             limit = best["distance"][part, -1]
-            tiles = [near(q_rough, part, t_rough, slice(c, c + columns), limit, metric, of) for c in range(0, len(t), columns)]
-            rows, use = np.nonzero(np.concatenate(tiles, axis=1))
+            marks = all_marks[: len(limit)]
+            for c in range(0, len(t), columns):
+                use = slice(c, min(c + columns, len(t)))
+                near(q_rough, part, t_rough, use, limit, metric, of, marks[:, use])
+            rows, use = marked(marks)
             parts = []
             for at in range(0, len(rows), step):
                 piece = slice(at, at + step)
@@ -213,27 +260,25 @@ def knn_neighbors(
     ).drop("_c")
     t = materialize(t, "train")
     width = bucket_target(train.sparkSession)
-    plan = _tile_plan(q, t, width)
-    q_tiles = (
-        q.join(plan, "space")
-        .withColumn("qb", F.pmod(F.xxhash64("id"), F.col("nq")))
-        .withColumn("tb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nt") - 1)))
-    )
-    t_tiles = (
-        t.join(plan, "space")
-        .withColumn("tb", F.pmod(F.xxhash64("tid"), F.col("nt")))
-        .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nq") - 1)))
-    )
+    plan = _tile_plan(q, t, width, k)
     tile = ["space", "qb", "tb"]
     # a fixed number of partitions: strips are small in bytes but heavy in work, so they must
-    # not be merged by size; a few strips per task at most
-    tasks = plan.agg(F.sum(F.col("nq") * F.col("nt"))).first()[0] or 1
-    parts = max(min(tasks, width), math.ceil(tasks / 4))
-    both = q_tiles.select(*tile, F.lit(0).alias("side"), "id", "x", F.lit(0).cast("long").alias("y")).unionByName(
-        t_tiles.select(*tile, F.lit(1).alias("side"), F.col("tid").alias("id"), F.col("tx").alias("x"), "y")
+    # not be merged by size
+    dealt, parts = _dealt(plan, width)
+
+    def placed(rows: DataFrame, own: str, other: str, count: str) -> DataFrame:
+        if dealt is not None:
+            return rows.join(F.broadcast(dealt), ["space", own])
+        every = rows.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)))
+        return every.withColumn("part", F.pmod(F.xxhash64(*tile), F.lit(parts)).cast("int"))
+
+    q_tiles = placed(q.join(plan, "space").withColumn("qb", F.pmod(F.xxhash64("id"), F.col("nq"))), "qb", "tb", "nt")
+    t_tiles = placed(t.join(plan, "space").withColumn("tb", F.pmod(F.xxhash64("tid"), F.col("nt"))), "tb", "qb", "nq")
+    both = q_tiles.select(*tile, "part", F.lit(0).alias("side"), "id", "x", F.lit(0).cast("long").alias("y")).unionByName(
+        t_tiles.select(*tile, "part", F.lit(1).alias("side"), F.col("tid").alias("id"), F.col("tx").alias("x"), "y")
     )
     found = (
-        both.repartition(parts, *tile)
+        both.repartitionById(parts, "part").drop("part")
         .sortWithinPartitions(*tile, "side", "id")
         .mapInPandas(
             _strip_function(tuple(metrics), k),

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from tabwright.operators import neighbors
+from tabwright.session import SMALL_ROWS as SMALL
 
 
 def _frames(q, t, batch=10_000):
@@ -56,3 +57,30 @@ def test_a_task_holds_tiles_not_all_differences():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 60 << 20
+
+
+def _counted(metrics, k):
+    """In place of the search: one row per task, with the pairs it would compare as the neighbour."""
+
+    def count(batches):
+        from pyspark import TaskContext
+
+        rows = pd.concat([pd.DataFrame(columns=["space", "qb", "tb", "side"]), *batches], ignore_index=True)
+        tiles = rows.groupby(["space", "qb", "tb", "side"]).size().unstack(fill_value=0).reindex(columns=[0, 1], fill_value=0)
+        one = {"metric": 0, "space": 0, "query": TaskContext.get().partitionId(), "neighbor": int((tiles[0] * tiles[1]).sum())}
+        yield pd.DataFrame([one | {"y": 0, "distance": 0.0}])
+
+    return count
+
+
+@pytest.mark.parametrize("rows", [SMALL, 0], ids=["dealt", "by hash"])
+def test_tiles_are_dealt_evenly(table, monkeypatch, rows):
+    monkeypatch.setattr(neighbors, "_strip_function", _counted)
+    monkeypatch.setattr(neighbors, "SMALL_ROWS", rows)
+    schema = "id long, x array<double>, y int, s int"
+    train = table(schema, [(i, [float(i)], 0, i % 5) for i in range(1000)])
+    query = table(schema, [(i, [float(i)], 0, i % 5) for i in range(1000)])
+    work = [r["neighbor"] for r in neighbors.knn_neighbors(train, query, 300, space="s").collect()]
+    assert sum(work) == 5 * 200 * 200  # every pair once
+    if rows:
+        assert max(work) < 2 * 5 * 200 * 200 / 10  # ten tiles: no task gets two
