@@ -1,11 +1,14 @@
 import math
 from collections import Counter
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
+from tabwright import session
 from tabwright.operators import bayes, encode, text, tune
 from tabwright.operators.linear import score_model
 from tabwright.session import fresh_path
@@ -271,3 +274,20 @@ def test_scratch_scope_removes_what_was_written_inside(spark, table):
         assert inner.count() == 1 and not os.path.exists(deep.removeprefix("file://"))
         gone = inner.inputFiles()[0].removeprefix("file://")
     assert kept.count() == 1 and not os.path.exists(gone)
+
+
+def test_finished_steps_of_the_grid_give_their_disk_back(spark, monkeypatch):
+    """Term counts and pairs are removed once read, and values of all folds and ranges are not written."""
+    columns, files = {}, {}
+
+    def keep(df, label="table"):
+        out = session.materialize(df, label)
+        columns[label], files[label] = out.columns, out.inputFiles()
+        return out
+
+    monkeypatch.setattr(tune, "materialize", keep)
+    docs = spark.createDataFrame([(i, f"w{i % 3} w{i % 4} w{i % 5}", i % 2, i % 3) for i in range(30)], "id long, text string, y int, fold int")
+    assert tune.nb_grid(docs, "id", "text", "y", "fold", [1, 2], [0.1], 3).count() == 2
+    there = {label for label, names in files.items() if names and all(Path(unquote(urlparse(n).path)).exists() for n in names)}
+    assert {"grid-values", "grid-sums"} <= there and not {"grid-counts", "grid-idf", "grid-pairs"} & there
+    assert files["grid-pairs"] and not {"term", "hi", "_v0"} & set(columns["grid-values"])
